@@ -91,8 +91,8 @@ def full_audit_select(source: str, users: str, decreases: str) -> str:
                             ("surplus_rows", "COALESCE(SUM(n), 0) - COUNT(*)")):
             parts.append(f"SELECT 'duplicates', '{kind}_duplicate_{name}', (SELECT {value} FROM {groups}), {rows}")
     body = "\nUNION ALL ".join(parts)
-    return (f"SELECT section, item, CAST(item_count AS BIGINT) AS item_count, CASE WHEN section = 'structure' "
-            f"AND item = 'rows' THEN 1.0::DOUBLE ELSE ROUND(item_count::DOUBLE / denominator, 6) END AS item_rate FROM ({body})")
+    return (f"SELECT section, item, CAST(item_count AS BIGINT) AS item_count, CASE WHEN section <> 'structure' "
+            f"THEN ROUND(item_count::DOUBLE / denominator, 6) END AS item_rate FROM ({body})")
 
 
 def _audit_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
