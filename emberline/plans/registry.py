@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,12 +25,3 @@ def rounded(df: DataFrame, places: int) -> DataFrame:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
         for f in df.schema.fields])
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach; a local one is used only where none is configured."""
-    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    return folder or tempfile.mkdtemp(prefix="emberline-")
-
-
-def scratch_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"

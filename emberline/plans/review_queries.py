@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberline import schema as S
+from emberline.functions.storage import scratch_path
 from emberline.operators import audit, cleaning, duplicates, prepare
 from emberline.plans.oracle import per_column, with_reviews
-from emberline.plans.registry import Query, rounded, scratch_path
+from emberline.plans.registry import Query, rounded
 from emberline.sources import readers, sinks
 from emberline.sources.testdata import reviews, table
 
