@@ -6,7 +6,7 @@ from importlib import import_module
 
 from emberline.plans.registry import Query
 
-_MODULES = ["review_queries", "user_queries", "catalog_queries"]
+_MODULES = ["review_queries", "user_queries", "catalog_queries", "profile_queries"]
 
 
 def all_queries() -> dict[str, Query]:
