@@ -52,15 +52,26 @@ def is_missing(df: DataFrame, column: str, nan: bool = False, blank: bool = Fals
     return test
 
 
-def long_form(one_row: DataFrame, names: list[str], value_columns: dict[str, list[Column]],
+def rate_sql(count: str, total: str) -> str:
+    return f"try_divide(CAST({count} AS DOUBLE), CAST({total} AS DOUBLE))"
+
+
+def count_each(df: DataFrame, tests: dict[str, str]) -> DataFrame:
+    """One row: ``_rows`` and, per name, how many rows pass the SQL test. One pass over the data."""
+    return df.selectExpr("count(*) AS _rows", *[f"count_if({test}) AS `{name}`" for name, test in tests.items()])
+
+
+def long_form(one_row: DataFrame, names: list[str], values: dict[str, str],
               name_column: str = "column_name") -> DataFrame:
-    """Turn a one-row wide aggregate into one row per name."""
+    """Turn a one-row wide aggregate into one row per name.
+
+    ``values`` maps each output column to SQL text in which ``{c}`` stands for the quoted name.
+    """
     entries = [
-        F.struct(F.lit(name).alias(name_column),
-                 *[values[i].alias(column) for column, values in value_columns.items()])
-        for i, name in enumerate(names)
-    ]
-    return one_row.select(F.inline(F.array(*entries)))
+        f"named_struct('{name_column}', '{name}', "
+        + ", ".join(f"'{column}', " + text.replace("{c}", f"`{name}`") for column, text in values.items()) + ")"
+        for name in names]
+    return one_row.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberline import schema as S
-from emberline.functions.columns import long_form, safe_rate, union_all
+from emberline.functions.columns import count_each, long_form, rate_sql, safe_rate, union_all
 from emberline.operators import duplicates
 from emberline.operators.quantiles import COUNT, NAME, VALUE, describe, value_counts
 
@@ -71,12 +71,20 @@ def violations(df: DataFrame, name: str) -> DataFrame:
 
 def row_rule_summary(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """(issue_name, violation_count, violation_rate) of all rules from a single aggregate."""
-    names = [r.name for r in rules]
-    wide = df.agg(F.count("*").alias("rows"), *[F.count_if(F.expr(r.predicate)).alias(r.name) for r in rules])
-    return long_form(wide, names, {
-        "violation_count": [F.col(n) for n in names],
-        "violation_rate": [safe_rate(F.col(n), F.col("rows")) for n in names],
-    }, "issue_name")
+    return _counts_and_rates(df, {r.name: r.predicate for r in rules}, "issue_name", "violation")
+
+
+def _counts_and_rates(df: DataFrame, tests: dict[str, str], name_column: str, measure: str) -> DataFrame:
+    return long_form(count_each(df, tests), list(tests), {
+        f"{measure}_count": "{c}", f"{measure}_rate": rate_sql("{c}", "_rows")}, name_column)
+
+
+def _null_tests(columns: list[str]) -> dict[str, str]:
+    return {c: f"`{c}` IS NULL" for c in columns}
+
+
+def _noise_tests() -> dict[str, str]:
+    return {**{c: f"{c} = 0" for c in S.NUMERIC_COLUMNS}, **{c: f"NOT {c}" for c in S.BOOLEAN_COLUMNS}}
 
 
 def structure_report(df: DataFrame) -> DataFrame:
@@ -97,22 +105,14 @@ def schema_audit(df: DataFrame, expected: dict[str, T.DataType] = S.REVIEW_SCHEM
 
 
 def null_report(df: DataFrame) -> DataFrame:
-    names = df.columns
-    wide = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in names])
-    return long_form(wide, names, {
-        "null_count": [F.col(c) for c in names],
-        "null_rate": [safe_rate(F.col(c), F.col("_rows")) for c in names],
-    }).orderBy(F.desc("null_rate"), "column_name")
+    return _counts_and_rates(df, _null_tests(df.columns), "column_name", "null").orderBy(
+        F.desc("null_rate"), "column_name")
 
 
 def noise_report(df: DataFrame) -> DataFrame:
     """How often a numeric column is zero or a boolean column is false."""
-    tests = {**{c: F.col(c) == 0 for c in S.NUMERIC_COLUMNS}, **{c: ~F.col(c) for c in S.BOOLEAN_COLUMNS}}
-    wide = df.agg(F.count("*").alias("_rows"), *[F.count_if(t).alias(c) for c, t in tests.items()])
-    return long_form(wide, list(tests), {
-        "zero_or_false_count": [F.col(c) for c in tests],
-        "zero_or_false_rate": [safe_rate(F.col(c), F.col("_rows")) for c in tests],
-    }).orderBy(F.desc("zero_or_false_rate"), "column_name")
+    return _counts_and_rates(df, _noise_tests(), "column_name", "zero_or_false").orderBy(
+        F.desc("zero_or_false_rate"), "column_name")
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -211,28 +211,23 @@ def full_audit(df: DataFrame) -> DataFrame:
     Rows, nulls, zero values and all row rules come from one aggregate over the data; users,
     playtime order, distinct values and duplicates need a shuffle each.
     """
-    nulls = {f"null|{c}": F.col(c).isNull() for c in df.columns}
-    noise = {**{f"noise|{c}": F.col(c) == 0 for c in S.NUMERIC_COLUMNS},
-             **{f"noise|{c}": ~F.col(c) for c in S.BOOLEAN_COLUMNS}}
-    row_rules = {**{f"consistency|{r.name}": F.expr(r.predicate) for r in CONSISTENCY_RULES},
-                 **{f"validity|{r.name}": F.expr(r.predicate) for r in VALIDITY_RULES},
-                 **{f"anomaly|{r.name}": F.expr(r.predicate) for r in ANOMALY_RULES}}
-    tests = {**nulls, **noise, **row_rules}
-    one_pass = df.agg(F.count("*").alias("_rows"), *[F.count_if(t).alias(k) for k, t in tests.items()])
-    entries = [("structure", "rows", F.col("_rows")),
-               ("structure", "columns", F.lit(len(df.columns)).cast("long")),
-               ("structure", "cells", F.col("_rows") * len(df.columns)),
-               *[(*k.split("|", 1), F.col(f"`{k}`")) for k in tests]]
-    base = one_pass.select(F.inline(F.array(*[
-        F.struct(F.lit(section).alias("section"), F.lit(item).alias("item"), count.alias("item_count"),
-                 (F.lit(None).cast("long") if section == "structure" else F.col("_rows")).alias("denominator"))
-        for section, item, count in entries])))
-
-    def part(source: DataFrame, section: str, item, count, denominator=None) -> DataFrame:
-        return source.select(
-            F.lit(section).alias("section"), (F.lit(item) if isinstance(item, str) else item).alias("item"),
-            count.cast("long").alias("item_count"),
-            (F.lit(-1) if denominator is None else denominator).cast("long").alias("denominator"))
+    sections = {"null": _null_tests(df.columns), "noise": _noise_tests(),
+                **{section: {r.name: r.predicate for r in rules} for section, rules in (
+                    ("consistency", CONSISTENCY_RULES), ("validity", VALIDITY_RULES), ("anomaly", ANOMALY_RULES))}}
+    counted = count_each(df, {f"{section}|{item}": test for section, tests in sections.items()
+                              for item, test in tests.items()})
+    width = len(df.columns)
+    cells = [("structure", "rows", "_rows", "CAST(NULL AS BIGINT)"),
+             ("structure", "columns", f"CAST({width} AS BIGINT)", "CAST(NULL AS BIGINT)"),
+             ("structure", "cells", f"_rows * {width}", "CAST(NULL AS BIGINT)"),
+             *[(section, item, f"`{section}|{item}`", "_rows") for section, tests in sections.items() for item in tests]]
+    base = counted.selectExpr("inline(array(" + ", ".join(
+        f"named_struct('section', '{section}', 'item', '{item}', 'item_count', {count}, 'denominator', {total})"
+        for section, item, count, total in cells) + "))")
+
+    def part(source: DataFrame, section: str, item: str, count: str, denominator: str = "-1") -> DataFrame:
+        return source.selectExpr(f"'{section}' AS section", f"{item} AS item", f"CAST({count} AS BIGINT) AS item_count",
+                                 f"CAST({denominator} AS BIGINT) AS denominator")
 
     users = _user_minimum(df).agg(
         F.count("*").alias("users"), F.count_if(F.col("min_author_num_reviews") <= 0).alias("n"))
@@ -241,10 +236,10 @@ def full_audit(df: DataFrame) -> DataFrame:
     dups = duplicates.duplicate_totals(df)
     table = union_all([
         base,
-        part(users, "consistency", ZERO_REVIEW_RULE, F.col("n"), F.col("users")),
-        part(decreases, "consistency", DECREASE_RULE, F.col("n")),
-        part(distinct, "uniqueness", F.col("column_name"), F.col("n_unique")),
-        part(dups, "duplicates", F.col("item"), F.col("item_count")),
+        part(users, "consistency", f"'{ZERO_REVIEW_RULE}'", "n", "users"),
+        part(decreases, "consistency", f"'{DECREASE_RULE}'", "n"),
+        part(distinct, "uniqueness", "column_name", "n_unique"),
+        part(dups, "duplicates", "item", "item_count"),
     ])
     # A report of under a hundred rows, so one window over all of it is bounded by the rule list.
     everything = Window.partitionBy(F.lit(1))

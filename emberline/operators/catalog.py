@@ -79,7 +79,7 @@ def release_years(parsed: DataFrame) -> DataFrame:
 def missingness(df: DataFrame, columns: list[str]) -> DataFrame:
     """Missing values per column, where NaN and blank text count as missing."""
     wide = df.agg(*[F.count_if(is_missing(df, c, nan=True, blank=True)).alias(c) for c in columns])
-    return long_form(wide, columns, {"missing_count": [F.col(c) for c in columns]})
+    return long_form(wide, columns, {"missing_count": "{c}"})
 
 
 def missing_names(parsed: DataFrame) -> DataFrame:

@@ -21,12 +21,9 @@ def cardinality(df: DataFrame) -> DataFrame:
 
 def extremes(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, min_value, max_value, mean_value) of numeric columns in one pass."""
-    wide = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns
-                    for n, f in (("min", F.min), ("max", F.max), ("mean", F.avg))])
-    return long_form(wide, columns, {
-        "min_value": [F.col(f"min_{c}").cast("double") for c in columns],
-        "max_value": [F.col(f"max_{c}").cast("double") for c in columns],
-        "mean_value": [F.col(f"mean_{c}") for c in columns]})
+    wide = df.selectExpr(*[f"struct(min({c}) AS lo, max({c}) AS hi, avg({c}) AS mid) AS {c}" for c in columns])
+    return long_form(wide, columns, {"min_value": "CAST({c}.lo AS DOUBLE)", "max_value": "CAST({c}.hi AS DOUBLE)",
+                                     "mean_value": "{c}.mid"})
 
 
 def time_range(df: DataFrame, column: str = S.CREATED) -> DataFrame:

@@ -107,13 +107,12 @@ def extreme_values(df: DataFrame, columns: list[str], n: int = 5) -> DataFrame:
 def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
     """All column pairs from one aggregate."""
     pairs = list(combinations(columns, 2))
-    wide = df.select([F.col(c).cast("double").alias(c) for c in columns]).agg(
-        *[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    wide = df.selectExpr(*[f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS `{a}|{b}`" for a, b in pairs])
     return _pair_table(wide, pairs, "pearson")
 
 
 def _pair_table(wide: DataFrame, pairs: list[tuple[str, str]], measure: str) -> DataFrame:
-    long = long_form(wide, [f"{a}|{b}" for a, b in pairs], {measure: [F.col(f"`{a}|{b}`") for a, b in pairs]})
+    long = long_form(wide, [f"{a}|{b}" for a, b in pairs], {measure: "{c}"})
     parts = F.split(NAME, r"\|")
     return long.select(parts[0].alias("column_1"), parts[1].alias("column_2"), measure,
                        (F.abs(measure) > CORRELATION_LIMIT).alias("highly_correlated"))
@@ -133,20 +132,18 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
         rows = rows.join(own, c, "left")
     pairs = list(combinations(columns, 2))
 
-    def sums(a: str, b: str) -> Column:
-        x, y = F.col(f"_r_{a}"), F.col(f"_r_{b}")
-        both = x.isNotNull() & y.isNotNull()
-        w = F.when(both, F.col("_n").cast("double"))
-        return F.struct(F.sum(w).alias("n"), F.sum(w * x).alias("x"), F.sum(w * y).alias("y"),
-                        F.sum(w * x * x).alias("xx"), F.sum(w * y * y).alias("yy"), F.sum(w * x * y).alias("xy"))
 
-    def rho(s: Column) -> Column:
-        up = s["n"] * s["xy"] - s["x"] * s["y"]
-        down = F.sqrt((s["n"] * s["xx"] - s["x"] * s["x"]) * (s["n"] * s["yy"] - s["y"] * s["y"]))
-        return F.try_divide(up, down)
+    def sums(a: str, b: str) -> str:
+        x, y = f"_r_{a}", f"_r_{b}"
+        w = f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN CAST(_n AS DOUBLE) END"
+        return (f"struct(sum({w}) AS n, sum({w} * {x}) AS x, sum({w} * {y}) AS y, sum({w} * {x} * {x}) AS xx, "
+                f"sum({w} * {y} * {y}) AS yy, sum({w} * {x} * {y}) AS xy) AS `{a}|{b}`")
 
-    wide = rows.agg(*[sums(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    return _pair_table(wide.select([rho(F.col(f"`{a}|{b}`")).alias(f"{a}|{b}") for a, b in pairs]), pairs, "spearman")
+    wide = rows.selectExpr(*[sums(a, b) for a, b in pairs])
+    rho = ("try_divide({c}.n * {c}.xy - {c}.x * {c}.y, "
+           "sqrt(({c}.n * {c}.xx - {c}.x * {c}.x) * ({c}.n * {c}.yy - {c}.y * {c}.y)))")
+    return _pair_table(wide.selectExpr(*[rho.replace("{c}", f"`{a}|{b}`") + f" AS `{a}|{b}`" for a, b in pairs]),
+                       pairs, "spearman")
 
 
 def nullity_correlation(df: DataFrame) -> DataFrame:
@@ -161,15 +158,15 @@ def nullity_correlation(df: DataFrame) -> DataFrame:
     lookup = seen.agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "c1", "c2"), "n")))).scalar()
     total = df.agg(F.count("*").cast("double").alias("n"), lookup.alias("m"))
 
-    def n_of(a: str, b: str) -> Column:
-        return F.coalesce(F.try_element_at("m", F.lit(f"{a}|{b}")), F.lit(0)).cast("double")
+    def n_of(a: str, b: str) -> str:
+        return f"CAST(coalesce(try_element_at(m, '{a}|{b}'), 0) AS DOUBLE)"
 
-    pairs = list(combinations(df.columns, 2))
-    cells = [F.struct(F.lit(a).alias("column_1"), F.lit(b).alias("column_2"), n_of(a, a).alias("n1"),
-                      n_of(b, b).alias("n2"), n_of(a, b).alias("n12")) for a, b in pairs]
+    cells = ", ".join(
+        f"named_struct('column_1', '{a}', 'column_2', '{b}', 'n1', {n_of(a, a)}, 'n2', {n_of(b, b)}, 'n12', {n_of(a, b)})"
+        for a, b in combinations(df.columns, 2))
     n, n1, n2, n12 = (F.col(c) for c in ("n", "n1", "n2", "n12"))
     phi = F.try_divide(n * n12 - n1 * n2, F.sqrt(n1 * (n - n1) * n2 * (n - n2)))
-    return (total.select("n", F.inline(F.array(*cells)))
+    return (total.selectExpr("n", f"inline(array({cells}))")
             .select("column_1", "column_2", phi.alias("nullity_correlation"))
             .where(F.col("nullity_correlation").isNotNull()))
 
@@ -214,8 +211,7 @@ def interactions(df: DataFrame, targets: list[str], bins: int = 10) -> DataFrame
 def rejected_columns(df: DataFrame, id_share: float = 0.95) -> DataFrame:
     """Why a column would be left out of a profile: constant, all NULL, or close to one value per row."""
     rows = df.agg(F.count("*").alias("n")).scalar()
-    known = long_form(df.agg(*[F.count(c).alias(c) for c in df.columns]), df.columns,
-                      {"n_known": [F.col(c) for c in df.columns]})
+    known = long_form(df.selectExpr(*[f"count(`{c}`) AS `{c}`" for c in df.columns]), df.columns, {"n_known": "{c}"})
     unique = distinct_counts(df, df.columns)
     return known.join(unique, NAME).select(
         NAME, "n_known", "n_unique",

@@ -21,8 +21,8 @@ NAME, VALUE, COUNT = "column_name", "value", "value_count"
 
 def value_counts(df: DataFrame, columns: list[str], value_type: str = "double") -> DataFrame:
     """(column_name, value, value_count) of every non-null value; partial counts run before the shuffle."""
-    typed = df.select([F.col(c).cast(value_type).alias(c) for c in columns])
-    return (typed.unpivot([], columns, NAME, VALUE).where(F.col(VALUE).isNotNull())
+    typed = df.selectExpr(*[f"CAST(`{c}` AS {value_type}) AS `{c}`" for c in columns])
+    return (typed.unpivot([], columns, NAME, VALUE).where(f"{VALUE} IS NOT NULL")
             .groupBy(NAME, VALUE).agg(F.count("*").alias(COUNT)))
 
 

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -20,8 +19,6 @@ class Query:
 
 def rounded(df: DataFrame, places: int) -> DataFrame:
     """Round the floating columns, so that results do not depend on the order of summation."""
-    return df.select([
-        F.round(F.col(f"`{f.name}`"), places).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
+    return df.selectExpr(*[
+        f"round(`{f.name}`, {places}) AS `{f.name}`" if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else f"`{f.name}`"
         for f in df.schema.fields])
-
