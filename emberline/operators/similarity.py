@@ -153,15 +153,15 @@ def _best_in_block(k: int):
     return run
 
 
-def _block_top_k(queries: DataFrame, items: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _block_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """Best k items per query, group and block pair.
 
     ``queries`` is (grp, query, vector columns), ``items`` is (grp, item, vector columns). Each group
-    is split by hash into blocks of about ``block_rows`` on either side, and every pair of blocks of
+    is split by hash into blocks of about ``BLOCK_ROWS`` on either side, and every pair of blocks of
     a group is one task's work, so no task holds more than two blocks however large the group is.
     """
     def sizes(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("grp").agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
+        return df.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias(name))
 
     blocks = sizes(queries, "query_blocks").join(sizes(items, "item_blocks"), "grp")
 
@@ -217,12 +217,14 @@ def _top_token_shapes(vectors: DataFrame, k: int) -> DataFrame:
 _PIVOTS = 64
 
 
+def _length(vector: str) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
+
+
 def _top_vector_shapes(vectors: DataFrame, k: int) -> DataFrame:
     """k best shapes per shape by cosine for dense vectors (shape, vector)."""
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    units = materialize(
-        vectors.withColumn("norm", norm).where(F.col("norm") > 0)
-        .select("shape", F.transform("vector", lambda x: x / F.col("norm")).alias("vector")), "vectors")
+    units = materialize(vectors.withColumn("norm", _length("vector")).select(
+        "shape", F.transform("vector", lambda x: x / F.col("norm")).alias("vector")), "vectors")
     # A fixed number of vectors, chosen by hash, used for routing only.
     pivots = (units.orderBy(F.xxhash64("shape"), "shape").limit(_PIVOTS)
               .agg(F.sort_array(F.collect_list(F.struct("shape", "vector"))).alias("p"))
@@ -292,7 +294,7 @@ def similar_games(parsed: DataFrame, k: int = 50, compat_spaces: bool = False) -
 
 def similar_vectors(df: DataFrame, k: int, item_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(item, neighbour, similarity, rank) of the k nearest vectors by cosine. Zero vectors have none."""
-    items = df.select(item_id, F.col(vector).cast("array<double>").alias("vector"))
+    items = df.select(item_id, F.col(vector).cast("array<double>").alias("vector")).where(_length("vector") > 0)
     members = materialize(_lowest_members(items, item_id, "vector", [], k), "members")
     best = _top_vector_shapes(members.select("shape", "vector"), k)
     lists = _lists(items, "vector", members, best, k, item_id)

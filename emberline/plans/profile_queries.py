@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from emberline import schema as S
+from emberline.functions.storage import materialize
 from emberline.operators import churn, models, profiling, retention
 from emberline.plans.oracle import per_column, with_reviews
 from emberline.plans.registry import Query, rounded
@@ -68,14 +69,15 @@ def _scored(spark, sf_dir):
 
 def _fit(kind: str):
     def run(spark, sf_dir):
-        rows = churn.churn_snapshots_at_quantiles(reviews(spark, sf_dir), leak_safe=True)
+        # Fitting reads its input many times, so the snapshots are stored first.
+        rows = materialize(churn.churn_snapshots_at_quantiles(reviews(spark, sf_dir), leak_safe=True), "snapshots")
         return models.fit_and_score(rows.where(F.col("snapshot") == "train"), rows.where(F.col("snapshot") == "test"), kind)
     return Query(run, None)
 
 
 def _pca(spark, sf_dir):
-    return models.principal_components(churn.churn_snapshots_at_quantiles(
-        reviews(spark, sf_dir), {"train": churn.SNAPSHOTS["train"]}, leak_safe=True))
+    return models.principal_components(materialize(churn.churn_snapshots_at_quantiles(
+        reviews(spark, sf_dir), {"train": churn.SNAPSHOTS["train"]}, leak_safe=True), "snapshots"))
 
 
 _SLICE = "LEAST(n_reviews_before_T // 10, 9)"
