@@ -158,14 +158,15 @@ def playtime_decreases(df: DataFrame) -> DataFrame:
              .withColumn("bucket", F.floor(F.col(S.CREATED) / (_BUCKET_DAYS * S.SECONDS_PER_DAY))))
     playtime = "author_playtime_forever"
     inside = Window.partitionBy(*pair, "bucket").orderBy(*order)
-    within = steps.select(*needed, F.lag(playtime).over(inside).alias("prev_playtime_forever"))
-    edges = steps.groupBy(*pair, "bucket").agg(
-        F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("last"))
-    across = Window.partitionBy(*pair).orderBy("bucket")
-    between = edges.select(
-        *pair, F.col(f"first.{S.CREATED}"), F.col(f"first.{playtime}"),
-        F.lag(f"last.{playtime}").over(across).alias("prev_playtime_forever"))
-    return within.unionByName(between).where(F.col(playtime) < F.col("prev_playtime_forever"))
+    steps = steps.select(
+        *pair, *order, "bucket", F.lag(playtime).over(inside).alias("prev_playtime_forever"),
+        (F.row_number().over(inside) == 1).alias("opens"), F.lead(F.lit(1)).over(inside).isNull().alias("closes"))
+    # At most two rows per pair and bucket are left for the window over whole pairs.
+    across = Window.partitionBy(*pair).orderBy("bucket", *order)
+    between = (steps.where(F.col("opens") | F.col("closes"))
+               .withColumn("prev_playtime_forever", F.lag(playtime).over(across)).where("opens"))
+    found = steps.where(~F.col("opens")).unionByName(between)
+    return found.where(F.col(playtime) < F.col("prev_playtime_forever")).select(*needed, "prev_playtime_forever")
 
 
 def consistency_report(df: DataFrame) -> DataFrame:
