@@ -21,75 +21,71 @@ def temporal_cutoffs(df: DataFrame, fractions: dict[str, float] = SNAPSHOTS) ->
     return exact_cutoffs(df.select(epoch_seconds(df, S.CREATED).alias(S.CREATED)), S.CREATED, fractions)
 
 
+# Per snapshot: name -> aggregate over a user's rows, where {p} is "in the past of the cutoff".
+_FEATURES = {
+    "n_reviews_before_T": "count_if({p})",
+    "last_review_ts_before_T": "max(CASE WHEN {p} THEN created END)",
+    "first_review_ts_before_T": "min(CASE WHEN {p} THEN created END)",
+    "last_played_ts_before_T": "max(CASE WHEN {p}{played} THEN played END)",
+    "max_playtime_forever_before_T": "max(CASE WHEN {p} THEN author_playtime_forever END)",
+    "avg_playtime_at_review_before_T": "avg(CASE WHEN {p} THEN author_playtime_at_review END)",
+    "max_playtime_at_review_before_T": "max(CASE WHEN {p} THEN author_playtime_at_review END)",
+    "positive_review_rate_before_T": "avg(CASE WHEN {p} THEN CAST(voted_up AS INT) END)",
+    "avg_weighted_vote_score_before_T": "avg(CASE WHEN {p} THEN CAST(weighted_vote_score AS DOUBLE) END)",
+    "total_votes_up_before_T": "sum(CASE WHEN {p} THEN votes_up END)",
+    "total_comments_before_T": "sum(CASE WHEN {p} THEN comment_count END)",
+}
+
+
 def churn_snapshots(df: DataFrame, cutoffs: dict[str, int | Column], horizon_days: int = HORIZON_DAYS,
                     leak_safe: bool = False) -> DataFrame:
-    """Features and label of every user seen up to each cutoff: one pass for all cutoffs.
+    """Features and label of every user seen up to each cutoff: one aggregate for all cutoffs.
 
     A review counts for a snapshot's past up to and including its cutoff T, and for its label in
-    (T, T + horizon]. Rows are first summed per (snapshot, user, app) and then per (snapshot, user):
-    the distinct app count needs no further shuffle, and partial sums before both shuffles keep a
-    user with very many reviews from reaching one task as rows.
+    (T, T + horizon]. All snapshots are conditional sums of one aggregate per user, so a user with
+    very many reviews reaches the shuffle as one row per input partition. The number of distinct apps
+    per cutoff follows from the first review of each (user, app).
 
     ``leak_safe`` ignores last-played times after the cutoff and leaves out crawl-time features.
     """
     horizon = horizon_days * S.SECONDS_PER_DAY
-    snapshots = F.array(*[
-        F.struct(F.lit(name).alias("snapshot"), (t if isinstance(t, Column) else F.lit(t)).cast("long").alias("cutoff"))
-        for name, t in cutoffs.items()])
-    rows = df.select(
-        S.USER, S.APP, epoch_seconds(df, S.CREATED).alias("created"), epoch_seconds(df, S.LAST_PLAYED).alias("played"),
-        F.col("author_playtime_forever").alias("forever"), F.col("author_playtime_at_review").alias("at_review"),
-        F.col("voted_up").cast("int").alias("positive"), F.col(S.SCORE_COLUMN).cast("double").alias("score"),
-        "votes_up", "comment_count",
-    ).where(F.col(S.USER).isNotNull() & F.col("created").isNotNull())
-    rows = (rows.select("*", F.inline(snapshots))
-            .where(F.col("created") <= F.col("cutoff") + horizon)
-            .withColumn("past", F.col("created") <= F.col("cutoff")))
-    if leak_safe:
-        rows = rows.withColumn("played", F.when(F.col("played") <= F.col("cutoff"), F.col("played")))
-
-    def past(name: str) -> Column:
-        return F.when(F.col("past"), F.col(name))
-
-    per_app = rows.groupBy("snapshot", "cutoff", S.USER, S.APP).agg(
-        F.count_if("past").alias("n"), F.count_if(~F.col("past")).alias("future"),
-        F.max(past("created")).alias("last"), F.min(past("created")).alias("first"),
-        F.max(past("played")).alias("played"), F.max(past("forever")).alias("forever"),
-        F.sum(past("at_review")).alias("at_review_sum"), F.count(past("at_review")).alias("at_review_n"),
-        F.max(past("at_review")).alias("at_review_max"),
-        F.sum(past("positive")).alias("positive_sum"), F.count(past("positive")).alias("positive_n"),
-        F.sum(past("score")).alias("score_sum"), F.count(past("score")).alias("score_n"),
-        F.sum(past("votes_up")).alias("votes_up"), F.sum(past("comment_count")).alias("comments"))
-    per_user = per_app.groupBy("snapshot", "cutoff", S.USER).agg(
-        F.sum("n").alias("n_reviews_before_T"),
-        F.count_if((F.col("n") > 0) & F.col(S.APP).isNotNull()).alias("n_games_reviewed_before_T"),
-        F.max("last").alias("last_review_ts_before_T"), F.min("first").alias("first_review_ts_before_T"),
-        F.max("played").alias("last_played_ts_before_T"),
-        F.max("forever").alias("max_playtime_forever_before_T"),
-        F.try_divide(F.sum("at_review_sum"), F.sum("at_review_n")).alias("avg_playtime_at_review_before_T"),
-        F.max("at_review_max").alias("max_playtime_at_review_before_T"),
-        F.try_divide(F.sum("positive_sum"), F.sum("positive_n")).alias("positive_review_rate_before_T"),
-        F.try_divide(F.sum("score_sum"), F.sum("score_n")).alias("avg_weighted_vote_score_before_T"),
-        F.sum("votes_up").alias("total_votes_up_before_T"), F.sum("comments").alias("total_comments_before_T"),
-        F.sum("future").alias("_future"))
-
-    def days(later: str | Column, earlier: str) -> Column:
-        return (F.col(later) - F.col(earlier)) / float(S.SECONDS_PER_DAY)
-
-    labelled = per_user.where(F.col("n_reviews_before_T") > 0).select(
-        "*",
-        days("cutoff", "last_review_ts_before_T").alias("days_since_last_review"),
-        days("cutoff", "last_played_ts_before_T").alias("days_since_last_played"),
-        days("last_review_ts_before_T", "first_review_ts_before_T").alias("account_observed_days"),
-        F.when(F.col("_future") > 0, 0).otherwise(1).alias("churn")).drop("_future")
-    return labelled.drop(*CRAWL_TIME_FEATURES) if leak_safe else labelled
+    ends = {name: (t if isinstance(t, Column) else F.lit(t)).cast("long") for name, t in cutoffs.items()}
+    last_end = F.greatest(*ends.values()) if len(ends) > 1 else next(iter(ends.values()))
+    cut = F.struct(*[t.alias(name) for name, t in ends.items()])
+    known = df.withColumns({"created": epoch_seconds(df, S.CREATED), "played": epoch_seconds(df, S.LAST_PLAYED)}).where(
+        F.col(S.USER).isNotNull() & F.col("created").isNotNull() & (F.col("created") <= last_end + horizon)
+    ).withColumn("cut", cut)
+    features = {k: v for k, v in _FEATURES.items() if not (leak_safe and k in CRAWL_TIME_FEATURES)}
+    parts = []
+    for name in ends:
+        past = f"created <= cut.`{name}`"
+        played = f" AND played <= cut.`{name}`" if leak_safe else ""
+        columns = [f"{text.replace('{p}', past).replace('{played}', played)} AS {feature}" for feature, text in features.items()]
+        future = f"count_if(created > cut.`{name}` AND created <= cut.`{name}` + {horizon}L) > 0"
+        parts.append(f"struct('{name}' AS snapshot, max(cut.`{name}`) AS cutoff, {', '.join(columns)}, "
+                     f"CASE WHEN {future} THEN 0 ELSE 1 END AS churn) AS `s_{name}`")
+    per_user = known.groupBy(S.USER).agg(*map(F.expr, parts))
+    per_app = known.where(F.col(S.APP).isNotNull()).groupBy(S.USER, S.APP).agg(
+        F.min("created").alias("first")).withColumn("cut", cut)
+    games = per_app.groupBy(S.USER).agg(*[
+        F.expr(f"count_if(first <= cut.`{name}`)").alias(f"g_{name}") for name in ends])
+    rows = ", ".join(f"named_struct('s', `s_{name}`, 'g', coalesce(`g_{name}`, 0L))" for name in ends)
+    long = (per_user.join(games, S.USER, "left").selectExpr(S.USER, f"inline(array({rows}))")
+            .selectExpr(S.USER, "s.*", "g AS n_games_reviewed_before_T").where("n_reviews_before_T > 0"))
+    day = float(S.SECONDS_PER_DAY)
+    return long.selectExpr(
+        *[c for c in long.columns if c != "churn"],
+        f"(cutoff - last_review_ts_before_T) / {day}D AS days_since_last_review",
+        f"(cutoff - last_played_ts_before_T) / {day}D AS days_since_last_played",
+        f"(last_review_ts_before_T - first_review_ts_before_T) / {day}D AS account_observed_days", "churn")
 
 
 def churn_snapshots_at_quantiles(df: DataFrame, fractions: dict[str, float] = SNAPSHOTS, **options) -> DataFrame:
-    """Snapshots at time quantiles. The cutoffs are one scalar subquery inside the same plan."""
-    found = temporal_cutoffs(df, fractions)
-    packed = found.select(F.struct(*fractions).alias("cutoffs")).scalar()
-    return churn_snapshots(df, {name: packed.getField(name) for name in fractions}, **options)
+    """Snapshots at time quantiles. The few cutoffs are computed first: as literals they reach the scan."""
+    found = temporal_cutoffs(df, fractions).first()
+    if any(found[name] is None for name in fractions):  # no events: no cutoff, and no snapshot
+        return churn_snapshots(df.limit(0), dict.fromkeys(fractions, 0), **options)
+    return churn_snapshots(df, {name: found[name] for name in fractions}, **options)
 
 
 def churn_features(df: DataFrame, cutoff: int | Column) -> DataFrame:

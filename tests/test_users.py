@@ -112,3 +112,8 @@ def test_exploration(spark):
     assert [tuple(r) for r in explore.top_users_by_games(df, 1).collect()] == [(1, 2)]
     one = {(r.column_name, r.measure): r.measure_value for r in explore.summary(df, ["votes_up"]).collect()}
     assert one[("votes_up", "count")] == 6 and one[("votes_up", "stddev")] == 0
+
+
+def test_snapshots_of_no_reviews_are_empty(spark):
+    out = churn.churn_snapshots_at_quantiles(rows_frame(spark, []))
+    assert out.count() == 0 and "churn" in out.columns
