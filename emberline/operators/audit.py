@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from emberline import schema as S
 from emberline.functions.columns import count_each, long_form, rate_sql, safe_rate, union_all
 from emberline.operators import duplicates
-from emberline.operators.quantiles import COUNT, NAME, VALUE, describe, value_counts
+from emberline.operators.quantiles import NAME, VALUE, describe, value_counts
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from emberline.operators.quantiles import approx_cutoffs
 from emberline.plans.oracle import per_column, with_both, with_reviews
 from emberline.plans.registry import Query, rounded
 from emberline.plans.review_queries import (
-    COLS, KEYS, _DECREASES, _USERS, _describe_sql, _on_reviews, _rounded_on_reviews, full_audit_select)
+    COLS, _DECREASES, _USERS, _describe_sql, _on_reviews, _rounded_on_reviews, full_audit_select)
 from emberline.sources.testdata import games, reviews
 
 _BUCKET = "('0x' || substr(md5({id}::VARCHAR), 1, 8))::BIGINT % 10000"
