@@ -13,13 +13,19 @@ _local_folders: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, which every executor reaches.
 
-    A local folder is used only where neither the setting nor a checkpoint folder exists, as in tests.
+    Only where Spark runs in this one process (``local[...]``, as in tests) and nothing is set is a folder made
+    here. On a cluster a missing setting is an error: each executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
-    return _local_folders.setdefault(app, tempfile.mkdtemp(prefix="emberline-"))
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="emberline-")
+    return _local_folders[app]
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
@@ -35,3 +41,12 @@ def materialize(df: DataFrame, kind: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, kind)
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the scratch tables that ``df`` reads, once nothing that reads them will run again."""
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession).rstrip("/").removeprefix("file://")
+    for name in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if folder in name:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
