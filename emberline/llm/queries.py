@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from emberline.llm.common import read_table
 from emberline.llm.quality_classifier import quality_classifier
 from emberline.llm.quality_rules import quality_rules
+from emberline.llm.url_filter import TERMS, filter_urls
 from emberline.plans.registry import Query
 
 
@@ -16,6 +17,30 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "posterior")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(read_table(spark, sf_dir, "pages"))
+
+
+_OP3_SQL = f"""
+WITH rests AS (
+ SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+), parts AS (
+ SELECT page_id,
+  coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+ FROM rests
+), rules(action, rule_host, rule_path) AS (
+ VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), fits AS (
+ SELECT *, (SELECT arg_max(struct_pack(rule := rule_host || rule_path, action := action), length(rule_host || rule_path))
+  FROM rules WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS best
+ FROM parts
+)
+SELECT page_id, host, path, best.rule AS rule,
+ coalesce(best.action, CASE WHEN regexp_matches(host, '{"|".join(TERMS)}') THEN 'block' ELSE 'allow' END) AS verdict
+FROM fits"""
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -23,5 +48,6 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Those without SQL are tested against brute force, round trips or held-out rows in tests/llm.
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, None),
+    "op3_url_filter": Query(op3_url_filter, _OP3_SQL),
     "op4_quality_classifier": Query(op4_quality_classifier, None),
 }
