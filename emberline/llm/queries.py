@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emberline.llm.common import read_table
 from emberline.llm.quality_classifier import quality_classifier
 from emberline.llm.quality_rules import quality_rules
+from emberline.llm.topk_search import QUERY_STEP, top_k
 from emberline.llm.url_filter import TERMS, filter_urls
+from emberline.llm.warc import read_records, write_archives
 from emberline.plans.registry import Query
 
 
@@ -45,9 +48,49 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_records(write_archives(read_table(spark, sf_dir, "pages")), payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP7_SQL = """
+WITH payloads AS (
+ SELECT page_id, sha1(coalesce(html, '')) AS digits, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), digests AS (
+ SELECT page_id, payload_bytes, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + (CAST('0x' || substr(digits, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) % 32, 1)
+  for i in range(32)], '') AS payload_digest
+ FROM payloads
+), marked AS (
+ SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM digests
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+ CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id <> last THEN last END AS refers_to
+FROM marked"""
+
+
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0)
+
+
+_OP10_SQL = """
+WITH vectors AS (
+ SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+ SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) AS BIGINT) AS score
+ FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= 20"""
+
+
 #: Those without SQL are tested against brute force, round trips or held-out rows in tests/llm.
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, None),
     "op3_url_filter": Query(op3_url_filter, _OP3_SQL),
     "op4_quality_classifier": Query(op4_quality_classifier, None),
+    "op7_warc": Query(op7_warc, _OP7_SQL),
+    "op10_exact_topk": Query(op10_exact_topk, _OP10_SQL),
 }
