@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.llm.common import read_table
+from emberline.llm.license_scan import scan_licenses
 from emberline.llm.quality_classifier import quality_classifier
 from emberline.llm.quality_rules import quality_rules
+from emberline.llm.secret_scan import scan_secrets
 from emberline.llm.topk_search import QUERY_STEP, top_k
 from emberline.llm.url_filter import TERMS, filter_urls
 from emberline.llm.warc import read_records, write_archives
@@ -20,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "posterior")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"))
 
@@ -48,6 +54,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(write_archives(read_table(spark, sf_dir, "pages")), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -89,8 +99,10 @@ FROM scores QUALIFY rank <= 20"""
 #: Those without SQL are tested against brute force, round trips or held-out rows in tests/llm.
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, None),
+    "op2_secret_scan": Query(op2_secret_scan, None),
     "op3_url_filter": Query(op3_url_filter, _OP3_SQL),
     "op4_quality_classifier": Query(op4_quality_classifier, None),
+    "op5_license_scan": Query(op5_license_scan, None),
     "op7_warc": Query(op7_warc, _OP7_SQL),
     "op10_exact_topk": Query(op10_exact_topk, _OP10_SQL),
 }
