@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emberline.llm.common import read_table
 from emberline.llm.license_scan import scan_licenses
+from emberline.llm.ngram_join import ngram_components
 from emberline.llm.quality_classifier import quality_classifier
 from emberline.llm.quality_rules import quality_rules
 from emberline.llm.secret_scan import scan_secrets
@@ -80,6 +81,34 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM marked"""
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(read_table(spark, sf_dir, "documents"))
+
+
+_OP9_SQL = r"""
+WITH RECURSIVE words AS (
+ SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+ FROM documents
+), lists AS (
+ SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] for i in range(1, len(w) - 2)]) END AS s
+ FROM words
+), sizes AS (
+ SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM lists
+), shingles AS (
+ SELECT doc_id, unnest(s) AS shingle FROM lists
+), common AS (
+ SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b USING (shingle) GROUP BY ALL
+), links AS (
+ SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+ WHERE x <> y AND 100 * shared >= 85 * (a.n + b.n - shared)
+), reached(doc_id, other) AS (
+ SELECT doc_id, doc_id FROM documents
+ UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
+)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id FROM sizes JOIN reached USING (doc_id) GROUP BY ALL"""
+
+
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0)
 
@@ -104,5 +133,6 @@ QUERIES: dict[str, Query] = {
     "op4_quality_classifier": Query(op4_quality_classifier, None),
     "op5_license_scan": Query(op5_license_scan, None),
     "op7_warc": Query(op7_warc, _OP7_SQL),
+    "op9_ngram_join": Query(op9_ngram_join, _OP9_SQL),
     "op10_exact_topk": Query(op10_exact_topk, _OP10_SQL),
 }
