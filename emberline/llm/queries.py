@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.llm.common import read_table
 from emberline.llm.license_scan import scan_licenses
 from emberline.llm.ngram_join import ngram_components
+from emberline.llm.packing import pack_documents
 from emberline.llm.quality_classifier import quality_classifier
 from emberline.llm.quality_rules import quality_rules
 from emberline.llm.secret_scan import scan_secrets
@@ -59,6 +61,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(write_archives(read_table(spark, sf_dir, "pages")), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -132,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op3_url_filter": Query(op3_url_filter, _OP3_SQL),
     "op4_quality_classifier": Query(op4_quality_classifier, None),
     "op5_license_scan": Query(op5_license_scan, None),
+    "op6_best_fit_packing": Query(op6_best_fit_packing, None),
     "op7_warc": Query(op7_warc, _OP7_SQL),
     "op9_ngram_join": Query(op9_ngram_join, _OP9_SQL),
     "op10_exact_topk": Query(op10_exact_topk, _OP10_SQL),
