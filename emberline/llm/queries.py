@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberline.llm.bpe import encoded_digests
 from emberline.llm.common import read_table
 from emberline.llm.license_scan import scan_licenses
 from emberline.llm.ngram_join import ngram_components
@@ -87,6 +88,11 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM marked"""
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(read_table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents"))
 
@@ -140,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op5_license_scan": Query(op5_license_scan, None),
     "op6_best_fit_packing": Query(op6_best_fit_packing, None),
     "op7_warc": Query(op7_warc, _OP7_SQL),
+    "op8_byte_bpe": Query(op8_byte_bpe, None),
     "op9_ngram_join": Query(op9_ngram_join, _OP9_SQL),
     "op10_exact_topk": Query(op10_exact_topk, _OP10_SQL),
 }
