@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -50,3 +51,13 @@ def discard(df: DataFrame) -> None:
         if folder in name:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete shuffle files that nothing refers to any more.
+
+    It does so when the driver's JVM collects what stood for them, which a job with a quiet driver would wait for
+    until its disks are full.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
