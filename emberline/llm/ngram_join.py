@@ -7,9 +7,9 @@ its elements in each two cells of three: any two sets that link share one, and o
 
 Everything runs on distinct sets, named by a 64-bit hash of their shingles; copies meet again at the end. Signature
 buckets are never paired out: first each member of a bucket is compared with its smallest and with its largest, and
-linked sets are contracted; only buckets that still hold several components are compared further, in blocks, where
-sketches whose distance can't exceed the true one sort out nearly all pairs before any row is made. Each pair that
-remains is verified on the whole sets.
+linked sets are contracted; only buckets that still hold several components are compared further, in blocks. Sketches,
+whose distance can't exceed the true one, sort out nearly all pairs that don't link; each one that remains is verified
+on the whole sets.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.functions.storage import discard, materialize
+from emberline.functions.storage import discard, free_shuffles, materialize
 from emberline.llm.common import ASCII_LOWER, SLICE_ROWS
 from emberline.llm.components import components
 
@@ -34,7 +34,6 @@ PERCENT = 85
 BAND_GROWTH = 1.5
 LONGEST = 1 << 40
 
-SKETCH_WORDS = 8
 BLOCK_ROWS = 256
 
 #: The filter for the second reading has at most so many bits; beyond, it lets more sets through.
@@ -116,9 +115,15 @@ def signatures(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parities of hashed elements: two sketches differ in no more bits than the sets in elements."""
-    bits = np.bincount((mix(shingles * _M2 + _M3) % np.uint64(64 * SKETCH_WORDS)).astype(np.int64),
-                       minlength=64 * SKETCH_WORDS)
+    """Parities of hashed elements, one bit per element or more: a power of two of 64-bit words.
+
+    Two sketches of one length differ in no more bits than the sets in elements. Folding a sketch in half (by
+    exclusive or) gives the sketch of half the length, so that neighbouring sizes compare as well.
+    """
+    words = 1
+    while 64 * words < len(shingles):
+        words *= 2
+    bits = np.bincount((mix(shingles * _M2 + _M3) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words)
     return np.packbits((bits & 1).astype(np.uint8), bitorder="little").view(np.uint64)
 
 
@@ -133,14 +138,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None,
 
 
 def _names(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, name): NULL name for the empty set."""
+    """(doc_id, n, name, sketch): NULL name for the empty set."""
     def run(batches):
         for rows in _sets(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()),
-                 pa.array([set_name(s) if len(s) else None for _, s in rows], pa.int64())], ["doc_id", "n", "name"])
+                 pa.array([set_name(s) if len(s) else None for _, s in rows], pa.int64()),
+                 pa.array([sketch(s).view(np.int64) for _, s in rows], pa.list_(pa.int64()))],
+                ["doc_id", "n", "name", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, name long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, name long, sketch array<long>")
 
 
 def _signature_rows(docs: DataFrame) -> DataFrame:
@@ -186,7 +193,7 @@ def _name_filter(names: DataFrame) -> np.ndarray:
 
 
 def _candidate_sets(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """(name, n, sketch, shingles) of the sets named, read from the documents a second time."""
+    """(name, shingles) of the sets named, read from the documents once more."""
     bits = _name_filter(names)
     sent = docs.sparkSession.sparkContext.broadcast(bits)
     n_bits = len(bits) * 8
@@ -202,33 +209,40 @@ def _candidate_sets(docs: DataFrame, names: DataFrame) -> DataFrame:
                 if all(held[p >> 3] >> (p & 7) & 1 for p in at):
                     if len(seen) < 1 << 18:
                         seen.add(name)
-                    out.append((name, len(shingles), sketch(shingles).view(np.int64).tolist(), shingles.tobytes()))
+                    out.append((name, shingles.tobytes()))
             if out:
-                name, n, parity, data = zip(*out)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(name, pa.int64()), pa.array(n, pa.int64()), pa.array(parity, pa.list_(pa.int64())),
-                     pa.array(data, pa.binary())], ["name", "n", "sketch", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()),
+                                                  pa.array([d for _, d in out], pa.binary())], ["name", "shingles"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "name long, n long, sketch array<long>, shingles binary")
+    found = docs.select("doc_id", "text").mapInArrow(run, "name long, shingles binary")
     return found.join(names, "name", "left_semi").dropDuplicates(["name"])
 
 
 # ---- pairs
 
-def _may_link(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column) -> Column:
-    """True for all pairs that link, and for few others."""
-    apart = sum((F.bit_count(sketch_a[i].bitwiseXOR(sketch_b[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT
-    return sizes & (apart * (100 + PERCENT) <= (n_a + n_b) * (100 - PERCENT))
+def _apart(a: Column, b: Column) -> Column:
+    """Bits in which two sketches differ, the longer one folded to the length of the shorter (half of it at most)."""
+    def folded(x: Column, other: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(other), F.zip_with(
+            F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(x)
+
+    return F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                       F.lit(0), lambda total, n: total + n)
+
+
+def _near(pairs: DataFrame, light: DataFrame) -> DataFrame:
+    """The pairs (u, v) that sizes and sketches don't rule out; no pair that links is lost."""
+    both = pairs.join(light.toDF("u", "n_u", "s_u"), "u").join(light.toDF("v", "n_v", "s_v"), "v")
+    sizes = F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * PERCENT
+    return both.filter(sizes).filter(
+        _apart(F.col("s_u"), F.col("s_v")) * (100 + PERCENT) <= (F.col("n_u") + F.col("n_v")) * (100 - PERCENT)
+    ).select("u", "v")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose whole sets link."""
-    light = sets.select("name", "n", "sketch")
-    near = (pairs.join(light.toDF("u", "n_u", "s_u"), "u").join(light.toDF("v", "n_v", "s_v"), "v")
-            .filter(_may_link(F.col("n_u"), F.col("n_v"), F.col("s_u"), F.col("s_v"))).select("u", "v"))
-    whole = sets.select("name", "shingles")
-    both = near.join(whole.toDF("u", "a"), "u").join(whole.toDF("v", "b"), "v").select("u", "v", "a", "b")
+    both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
 
     def run(batches):
         for batch in batches:
@@ -242,69 +256,80 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def _open_buckets(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(sig, name, root, low, high) of buckets that hold several components; low and high are members."""
-    rooted = buckets.withColumn("root", F.col("name")) if labels is None else buckets.join(
-        labels.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-    whole = Window.partitionBy("sig")
-    spread = rooted.select("sig", "name", "root", F.min("root").over(whole).alias("least"),
-                           F.max("root").over(whole).alias("most"), F.min("name").over(whole).alias("low"),
-                           F.max("name").over(whole).alias("high"))
-    return spread.filter("least <> most").select("sig", "name", "root", "low", "high")
+def _first_partners(pairs: DataFrame) -> DataFrame:
+    """For each set its smallest partner."""
+    both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return both.groupBy("u").agg(F.min("v").alias("v")).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def _best_pivots(buckets: DataFrame, pivot: str) -> DataFrame:
-    """For each set the pivot that it meets in most buckets."""
-    met = buckets.filter(F.col("name") != F.col(pivot)).groupBy("name", pivot).agg(F.count("*").alias("met"))
-    return met.groupBy("name").agg(F.max_by(pivot, F.struct("met", pivot)).alias("v")).select(F.col("name").alias("u"), "v")
+def _apart_still(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs that don't lie in one component."""
+    roots = labels.toDF("u", "root_u"), labels.toDF("v", "root_v")
+    return pairs.join(roots[0], "u", "left").join(roots[1], "v", "left").filter(
+        F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+
+
+def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, name, root) of buckets with three members or more in several components.
+
+    In smaller ones the members have met already, as the smallest and the largest.
+    """
+    rooted = buckets.select("sig", "name").join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn(
+        "root", F.coalesce("root", "name"))
+    whole = Window.partitionBy("sig")
+    spread = rooted.select("sig", "name", "root", F.min("root").over(whole).alias("least"),
+                           F.max("root").over(whole).alias("most"), F.count("*").over(whole).alias("members"))
+    return spread.filter("least <> most AND members > 2").select("sig", "name", "root")
 
 
-def _block_pairs(buckets: DataFrame, sets: DataFrame) -> DataFrame:
-    """Distinct pairs of different components in one bucket that may link.
+def _block_pairs(buckets: DataFrame, light: DataFrame) -> DataFrame:
+    """Distinct pairs of different components in one bucket that sizes and sketches don't rule out.
 
     A bucket is cut into blocks, and each two blocks meet in one group, of 2 * BLOCK_ROWS members at most.
     """
     in_bucket = Window.partitionBy("sig")
-    rows = (buckets.select("sig", "name", "root").distinct()
-            .withColumn("block", F.floor((F.row_number().over(in_bucket.orderBy("name")) - 1) / BLOCK_ROWS).cast("int"))
+    rows = (buckets.withColumn("block", F.floor((F.row_number().over(in_bucket.orderBy("name")) - 1) / BLOCK_ROWS).cast("int"))
             .withColumn("blocks", F.max("block").over(in_bucket) + 1))
     dealt = (rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "name",
                      "root"))
-    dealt = dealt.join(sets.select("name", "n", "sketch"), "name").select(
-        "sig", "i", "j", "block", "name", "root", "n", "sketch")
+    dealt = dealt.join(light, "name").select("sig", "i", "j", "block", "name", "root", "n", "sketch")
     ordered = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "name")
 
-    def pairs_of(sig, i, j, block, name, root, n, parity) -> np.ndarray:
-        left, right = (block == i[0]), (block == j[0])
-        a, b = np.flatnonzero(left), np.flatnonzero(right)
-        differ = root[a][:, None] != root[b][None, :]
-        if i[0] == j[0]:
-            differ &= a[:, None] < b[None, :]
-        x, y = np.nonzero(differ)
+    def pairs_of(i: int, j: int, block, name, root, n, sketches: list[np.ndarray]) -> np.ndarray:
+        a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        fine = (root[a][:, None] != root[b][None, :]) & (
+            np.minimum(n[a][:, None], n[b]) * 100 >= np.maximum(n[a][:, None], n[b]) * PERCENT)
+        if i == j:
+            fine &= a[:, None] < b[None, :]
+        x, y = np.nonzero(fine)
+        if not len(x):
+            return np.zeros((0, 2), np.int64)
         x, y = a[x], b[y]
-        fine = np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * PERCENT
-        x, y = x[fine], y[fine]
-        apart = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1)
-        near = apart <= most_different(n[x], n[y])
+        words = min(map(len, sketches))
+        parity = np.array([np.bitwise_xor.reduce(s.reshape(-1, words), axis=0) for s in sketches])
+        near = np.concatenate([
+            np.bitwise_count(parity[p] ^ parity[q]).sum(axis=1) <= most_different(n[p], n[q])
+            for p, q in ((x[k:k + 4096], y[k:k + 4096]) for k in range(0, len(x), 4096))])
         x, y = x[near], y[near]
         return np.stack([np.minimum(name[x], name[y]), np.maximum(name[x], name[y])], axis=1)
 
     def run(batches):
-        kept: list[np.ndarray] | None = None
+        kept: list | None = None
         for batch in batches:
             columns = [c.to_numpy() for c in batch.columns[:7]]
-            columns.append(batch.column(7).flatten().to_numpy().reshape(-1, SKETCH_WORDS).view(np.uint64))
+            ends = batch.column(7).offsets.to_numpy()
+            values = batch.column(7).values.to_numpy().view(np.uint64)
+            columns.append([values[p:q] for p, q in zip(ends, ends[1:])])
             if kept is not None:
-                columns = [np.concatenate([a, b]) for a, b in zip(kept, columns)]
+                columns = [a + b if isinstance(a, list) else np.concatenate([a, b]) for a, b in zip(kept, columns)]
             sig, i, j = columns[:3]
             cuts = np.flatnonzero((sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             starts = [0, *cuts.tolist()]
-            out = [pairs_of(*(c[s:e] for c in columns)) for s, e in zip(starts, starts[1:])]
+            yield from _pair_batch([pairs_of(i[p], j[p], *(c[p:q] for c in columns[3:])) for p, q in zip(starts, starts[1:])])
             kept = [c[starts[-1]:] for c in columns]  # the last group may go on in the next batch
-            yield from _pair_batch(out)
         if kept is not None and len(kept[0]):
-            yield from _pair_batch([pairs_of(*kept)])
+            yield from _pair_batch([pairs_of(kept[1][0], kept[2][0], *kept[3:])])
 
     return ordered.mapInArrow(run, "u long, v long").distinct()
 
@@ -326,20 +351,36 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     that repeat a doc_id are documents of their own; a NULL doc_id takes part in links and is never a component's
     id unless nothing else is in it. An empty table gives an empty result; other columns are ignored.
     """
+    spark = docs.sparkSession
     names = materialize(_names(docs), "set-names")
+    light = materialize(names.filter("name IS NOT NULL").groupBy("name").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch")), "set-sketches")
     bucket = Window.partitionBy("sig")
     rows = _signature_rows(docs).select("sig", "name", F.min("name").over(bucket).alias("low"),
                                         F.max("name").over(bucket).alias("high")).filter("low <> high")
     buckets = materialize(rows.distinct(), "buckets")
-    wanted = materialize(buckets.select("name").distinct(), "candidates")
+    free_shuffles(spark)
+    ends = buckets.select("name", F.explode(F.array("low", "high")).alias("end")).filter("name <> end")
+    near = materialize(_near(ends.select(F.least("name", "end").alias("u"), F.greatest("name", "end").alias("v")).distinct(),
+                             light), "pairs")
+    wanted = materialize(near.select(F.explode(F.array("u", "v")).alias("name")).distinct(), "candidates")
     sets = materialize(_candidate_sets(docs, wanted), "sets")
-    links, labels = [], None
-    for pivot in ("low", "high"):
-        found = materialize(_verified(_best_pivots(_open_buckets(buckets, labels), pivot), sets), "links")
-        links.append(found)
-        labels = components(links[0] if len(links) == 1 else links[0].union(found))
-    rest = materialize(_verified(_block_pairs(_open_buckets(buckets, labels), sets), sets), "links")
-    labels = components(links[0].union(links[1]).union(rest))
+    free_shuffles(spark)
+    first = materialize(_verified(_first_partners(near), sets), "links")
+    labels = components(first)
+    free_shuffles(spark)
+    second = materialize(_verified(_apart_still(near, labels), sets), "links")
+    labels = components(first.union(second))
+    free_shuffles(spark)
+    rest = materialize(_block_pairs(_open_buckets(buckets, labels), light).join(near, ["u", "v"], "left_anti"), "pairs")
+    more = materialize(rest.select(F.explode(F.array("u", "v")).alias("name")).distinct()
+                       .join(wanted, "name", "left_anti"), "candidates")
+    if not more.isEmpty():
+        sets = sets.union(materialize(_candidate_sets(docs, more), "sets"))
+    free_shuffles(spark)
+    third = materialize(_verified(rest, sets), "links")
+    labels = components(first.union(second).union(third))
+    names = names.drop("sketch")
 
     least = names.filter("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("least"))
     rooted = least.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
@@ -348,8 +389,9 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     by_name = rooted.join(ids, "root").select("name", "component")
     result = materialize(names.join(by_name, "name", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")), "components")
-    for table in (names, buckets, wanted, sets, *links, rest, labels):
+    for table in (names, light, buckets, near, wanted, sets, first, second, rest, more, third, labels):
         discard(table)
+    free_shuffles(spark)
     return result
 
 
