@@ -33,7 +33,7 @@ MAX_ROUNDS = 20
 
 #: Chunks longer than this aren't kept; the cache is emptied when it has so many.
 CACHE_CHARS = 48
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 1_200_000
 
 #: Punctuation that ends many chunks; a chunk is put together from the one without it.
 MARKS = ".,;:!?"
@@ -59,7 +59,8 @@ class ChunkEncoder:
 
     def _learn(self, known: dict[str, bytes], new: list[str], before: str) -> None:
         if before:  # blanks stand before chunks only, so that all can be encoded as one text and told apart
-            ids = np.array(self.tokenizer.encode(before + before.join(new), add_special_tokens=False).ids, "<u4")
+            text = [before + before.join(new)]
+            ids = np.array(self.tokenizer.encode_batch_fast(text, add_special_tokens=False)[0].ids, "<u4")
             starts = np.flatnonzero(self.starts_blank[ids])
             if len(starts) == len(new):
                 data, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
@@ -68,24 +69,36 @@ class ChunkEncoder:
         found = self.tokenizer.encode_batch_fast([before + c for c in new], add_special_tokens=False)
         known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, found))
 
+    def _look_up(self, known: dict[str, bytes], parts: list[list[str]], before: str) -> list[list[bytes]]:
+        """Ids of each chunk of each part; chunks that aren't known are learnt together."""
+        if len(known) > CACHE_CHUNKS:
+            known.clear()
+        found = [list(map(known.get, part)) for part in parts]
+        missing = []
+        for ids, part in zip(found, parts):
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                missing.append((ids, at, part[at]))
+        new = {c for _, _, c in missing}
+        marked = {c for c in new if c[-1:] in self.marks and c[-2:-1].isalpha()}  # a token ends between the two
+        learn = new - marked
+        learn.update(c[:-1] for c in marked if c[:-1] not in known)
+        if learn:
+            self._learn(known, list(learn), before)
+        known.update((c, known[c[:-1]] + self.marks[c[-1]]) for c in marked)
+        for ids, at, c in missing:
+            ids[at] = known[c]
+        for c in learn | new:
+            if len(c) > CACHE_CHARS:
+                del known[c]
+        return found
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(t) for t in texts]
-        long: list[tuple[dict[str, bytes], str]] = []
-        for known, before, parts in ((self.whole, "", [w for w, _ in cut]), (self.after_blank, " ", [r for _, r in cut])):
-            if len(known) > CACHE_CHUNKS:
-                known.clear()
-            new = {c for part in parts for c, ids in zip(part, map(known.get, part)) if ids is None}
-            marked = {c for c in new if c[-1:] in self.marks and c[-2:-1].isalpha()}  # a token ends between the two
-            learn = new - marked
-            learn.update(c[:-1] for c in marked if c[:-1] not in known)
-            if learn:
-                self._learn(known, list(learn), before)
-            known.update((c, known[c[:-1]] + self.marks[c[-1]]) for c in marked)
-            long += [(known, c) for c in learn | new if len(c) > CACHE_CHARS]
-        out = [b"".join([*map(self.whole.__getitem__, w), *map(self.after_blank.__getitem__, r)]) for w, r in cut]
-        for known, c in long:
-            del known[c]
-        return out
+        first = self._look_up(self.whole, [w for w, _ in cut], "")
+        rest = self._look_up(self.after_blank, [r for _, r in cut], " ")
+        return [b"".join(f + r) for f, r in zip(first, rest)]
 
 
 _encoders: dict[str, ChunkEncoder] = {}
