@@ -12,11 +12,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from emberline.functions.storage import materialize
-from emberline.llm.common import map_rows
+from emberline.llm.common import SLICE_ROWS, map_rows
 from emberline.llm.text_stats import TextStats, text_stats
 
 #: Fixed values of the result contract.
@@ -136,3 +138,19 @@ def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score(vectors, train(vectors, labels))
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are predicted as good.
+
+    Texts are scored where they lie: no row is joined back, so that NULL and repeated ids don't matter.
+    """
+    model = train(materialize(document_features(docs), "quality-features"), labels)
+
+    @pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        parts = [texts.iloc[i:i + SLICE_ROWS] for i in range(0, len(texts), SLICE_ROWS)]
+        found = [model.score(np.array([features(text_stats(t)) for t in part])) for part in parts]
+        return pd.Series(np.concatenate(found) if found else np.zeros(0))
+
+    return docs.filter(scored(F.col("text")) >= THRESHOLD)

@@ -13,8 +13,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from emberline.functions.storage import materialize
 from emberline.llm.common import map_rows
@@ -136,8 +138,31 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     ``docs`` are ignored.
     """
     statistics = materialize(document_statistics(docs), "quality-statistics")
-    failed = (F.col("n_words") < MIN_WORDS) | (
+    return judge(statistics, learn(statistics.filter(~_base_failed()), rules), rules)
+
+
+def _base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words"))
-    model = learn(statistics.filter(~failed), rules)
-    judged = statistics.withColumn("base_failed", failed).withColumn("posterior", posterior(model, rules))
+
+
+def judge(statistics: DataFrame, model: VoteModel, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``statistics`` with base_failed, posterior and kept."""
+    judged = statistics.withColumn("base_failed", _base_failed()).withColumn("posterior", posterior(model, rules))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))
+
+
+def keep_by_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are kept.
+
+    Statistics are taken again beside each text: no row is joined back, so that NULL and repeated ids don't matter.
+    """
+    statistics = materialize(document_statistics(docs), "quality-statistics")
+    model = learn(statistics.filter(~_base_failed()), rules)
+
+    @pandas_udf(", ".join(f"{name} long" for name in TextStats._fields))
+    def taken(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([text_stats(t) for t in texts], columns=TextStats._fields, dtype="int64")
+
+    beside = docs.select(F.struct("*").alias("document"), taken(F.col("text")).alias("statistics"))
+    return judge(beside.select("document", "statistics.*"), model, rules).filter("kept").select("document.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,4 +150,5 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": Query(op8_byte_bpe, None),
     "op9_ngram_join": Query(op9_ngram_join, _OP9_SQL),
     "op10_exact_topk": Query(op10_exact_topk, _OP10_SQL),
+    "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
