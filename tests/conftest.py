@@ -9,6 +9,7 @@ def spark(tmp_path_factory):
                .config("spark.driver.memory", "8g")
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "America/New_York")
+               .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
