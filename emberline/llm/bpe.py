@@ -4,10 +4,11 @@ The rank map is a literal, from a token's bytes to its id, which is its rank. A
 of its bytes: as often as the word has bytes, the adjacent pair whose bytes together have the lowest rank is merged.
 Words are the matches of the pre-tokenizing pattern.
 
-Each distinct word needs to be folded once. The words of all documents are counted, and a table of the commonest ones
-(of bounded size, however large the corpus) goes to the tasks that write the documents' ids down; words beyond the
-table are left as marks in the row and are folded there. So no word is ever joined back, and texts aren't shuffled.
-Decoding looks up each id's bytes in a literal and concatenates them.
+Each distinct word needs to be folded once. The words of all documents are counted, and the commonest ones, a table
+of bounded size however large the corpus, are folded by Spark; the table goes to the tasks that write the documents'
+ids down. No word is joined back, and texts aren't shuffled. The rarer words are folded in those tasks by the same
+merges in Python: as higher-order functions over each row they took twice the CPU seconds that the check allows
+(README). Decoding looks up each id's bytes in a literal and concatenates them.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ TABLE_CHARS = 48
 #: A fold's work grows with the square of a word's length: longer words go to the library, whose merges don't.
 FOLD_CHARS = 128
 #: Counters and caches of a task are emptied at this size.
-TASK_WORDS = 300_000
+TASK_WORDS = 500_000
 
 _BUCKETS = 1 << 16
 _NONE = 1 << 30
@@ -143,106 +144,95 @@ def word_table(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
 # ---- documents
 
-def _written_down(docs: DataFrame, table: DataFrame, path: str) -> DataFrame:
-    """(doc_id, marks, words): ids, and -1, -2 ... where the first, second ... of ``words`` has yet to be folded."""
-    known = table.toArrow()  # TABLE_WORDS rows at most
+def fold_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """What fold_ids gives, for one word."""
+    if word in ranks:
+        return [ranks[word]]
+    pieces = [word[i:i + 1] for i in range(len(word))]
+    while len(pieces) > 1:
+        pairs = [ranks.get(a + b, _NONE) for a, b in zip(pieces, pieces[1:])]
+        best = min(pairs)
+        if best == _NONE:
+            break
+        at = pairs.index(best)
+        pieces[at:at + 2] = [pieces[at] + pieces[at + 1]]
+    return [ranks[p] for p in pieces]
+
+
+class WordEncoder:
+    """Ids of whole texts as little-endian 32-bit bytes, from a table of words; other words are folded once a task."""
+
+    def __init__(self, ids_of: dict[str, bytes], path: str):
+        import public_tokenizers
+        import tiktoken
+        self.ids_of, self.ranks, self.split = ids_of, read_ranks(path), _splitter()
+        self.library = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks,
+                                         special_tokens={})
+        self.whole: dict[str, bytes] = {}
+        self.after_blank: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        if word in self.ids_of:
+            return self.ids_of[word]
+        long = len(word) > FOLD_CHARS
+        ids = self.library.encode_ordinary(word) if long else fold_bytes(word.encode("utf-8"), self.ranks)
+        return np.array(ids, "<i4").tobytes()
+
+    def _look_up(self, known: dict[str, bytes], part: list[str], before: str) -> list[bytes]:
+        found = list(map(known.get, part))
+        at = -1
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            chunk = part[at]
+            found[at] = b"".join(map(self.word, self.split(before + chunk)))
+            if len(chunk) <= TABLE_CHARS:
+                if len(known) > TASK_WORDS:
+                    known.clear()
+                known[chunk] = found[at]
+        return found
+
+    def encode(self, text: str) -> bytes:
+        first, rest = chunks(text)
+        return b"".join(self._look_up(self.whole, first, "") + self._look_up(self.after_blank, rest, " "))
+
+
+def encode(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, data) for every row of ``docs`` (doc_id, text), by the ranks in the file ``path``.
+
+    ``data`` has the ids as little-endian unsigned 32-bit integers. NULL and empty texts have no ids; repeated rows
+    and NULL ids are encoded like any row; an empty table gives an empty result; other columns are ignored. The ids
+    are those that the tiktoken library gives without special tokens.
+    """
+    known = word_table(count_words(docs), read_ranks(path)).toArrow()  # TABLE_WORDS rows at most
     lists = known.column("ids").combine_chunks()
     sent = docs.sparkSession.sparkContext.broadcast(
         (known.column("word").to_pylist(), lists.offsets.to_numpy(), lists.values.to_numpy().astype("<i4").tobytes()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, ends, data = sent.value
-        ids_of = {w: data[4 * a:4 * b] for w, a, b in zip(words, ends.tolist(), ends[1:].tolist())}
-        split, whole, after_blank, library = _splitter(), {}, {}, []
-
-        def long_word(word: str) -> bytes:
-            if not library:
-                import public_tokenizers
-                import tiktoken
-                library.append(tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
-                                                 mergeable_ranks=read_ranks(path), special_tokens={}))
-            return np.array(library[0].encode_ordinary(word), "<i4").tobytes()
-
-        def parts_of(cache: dict, chunk: str, text: str):
-            """Ids of a chunk, or a list of ids and of words that the table lacks."""
-            parts = [ids_of.get(w) or (long_word(w) if len(w) > FOLD_CHARS else w) for w in split(text)]
-            found = b"".join(parts) if all(type(p) is bytes for p in parts) else parts
-            if len(chunk) <= TABLE_CHARS:
-                cache[chunk] = found
-            return found
-
-        def write_down(text: str) -> tuple[bytes, list[str]]:
-            first, rest = chunks(text)
-            out, new = [], []
-            for cache, before, part in ((whole, "", first), (after_blank, " ", rest)):
-                for chunk, found in zip(part, map(cache.get, part)):
-                    if found is None:
-                        found = parts_of(cache, chunk, before + chunk)
-                    if type(found) is bytes:
-                        out.append(found)
-                        continue
-                    for p in found:
-                        if type(p) is str:
-                            new.append(p)
-                            p = (-len(new)).to_bytes(4, "little", signed=True)
-                        out.append(p)
-            return b"".join(out), new
-
+        encoder = WordEncoder({w: data[4 * a:4 * b] for w, a, b in zip(words, ends.tolist(), ends[1:].tolist())}, path)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                for cache in (whole, after_blank):
-                    if len(cache) > TASK_WORDS:
-                        cache.clear()
-                rows = [write_down(t or "") for t in part.column(1).to_pylist()]
-                offsets = np.cumsum([0, *(len(d) // 4 for d, _ in rows)], dtype=np.int32)
-                marks = pa.ListArray.from_arrays(pa.array(offsets), pa.array(
-                    np.frombuffer(b"".join(d for d, _ in rows), "<i4")))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), marks, pa.array([w for _, w in rows], pa.list_(pa.string()))],
-                    ["doc_id", "marks", "words"])
+                rows = [encoder.encode(t or "") for t in part.column(1).to_pylist()]
+                offsets = pa.array(np.cumsum([0, *(len(d) // 4 for d in rows)], dtype=np.int32))
+                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(rows), "<i4")))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(rows, pa.binary())], ["doc_id", "ids", "data"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, marks array<int>, words array<string>")
-
-
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids) for every row of ``docs`` (doc_id, text), by the ranks in the file ``path``.
-
-    NULL and empty texts have no ids; repeated rows and NULL ids are encoded like any row; an empty table gives an
-    empty result; other columns are ignored. The ids are those that the tiktoken library gives without special
-    tokens.
-    """
-    ranks = read_ranks(path)
-    table = word_table(count_words(docs), ranks)
-    written = _written_down(docs, table, path)
-    folded = let(rank_map(ranks), lambda t: F.transform("words", lambda w: fold_ids(w, t)))
-    ids = let(folded, lambda f: F.flatten(F.transform("marks", lambda m: F.when(m >= 0, F.array(m)).otherwise(
-        F.element_at(f, F.least(m, F.lit(-1)) * -1)))))
-    return written.select("doc_id", F.when(F.size("words") == 0, F.col("marks")).otherwise(ids).alias("ids"))
-
-
-def _joined(ids: Column, digits: list[str]) -> Column:
-    """Each id's bytes, given as hex digits, one after another."""
-    table = F.split(F.lit(",".join(digits)), ",")
-    return F.unhex(F.array_join(let(table, lambda t: F.transform(ids, lambda i: F.element_at(t, i + 1))), ""))
-
-
-def id_bytes(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids as little-endian unsigned 32-bit integers."""
-    return _joined(ids, [i.to_bytes(4, "little").hex() for i in range(max(ranks.values()) + 1)])
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, data binary")
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes (binary) that ids stand for."""
+    """The bytes (binary) that ids stand for: each id's bytes, looked up as hex digits, one after another."""
     tokens = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         tokens[rank] = token.hex()
-    return _joined(ids, tokens)
+    table = F.split(F.lit(",".join(tokens)), ",")
+    return F.unhex(F.array_join(let(table, lambda t: F.transform(ids, lambda i: F.element_at(t, i + 1))), ""))
 
 
 def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, and the SHA-256 of the ids' and of the decoded bytes, of every row of ``docs``."""
-    ranks = read_ranks(path)
     return encode(docs, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(id_bytes(F.col("ids"), ranks), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("data", 256).alias("ids_sha256"),
+        F.sha2(decode(F.col("ids"), read_ranks(path)), 256).alias("decoded_sha256"))
