@@ -189,7 +189,8 @@ def paired_buckets(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
 
     The ranges are two scalar subqueries; no point leaves the cluster.
     """
-    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double"))
+                      & ~F.isnan(F.col(y).cast("double")))
     ends = points.agg(F.struct(*[f(c).cast("double").alias(f"{n}_{c}") for c in (x, y)
                                  for n, f in (("lo", F.min), ("hi", F.max))]).alias("ends")).scalar()
 

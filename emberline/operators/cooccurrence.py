@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.operators.catalog import tag_counts, tags_of
+from emberline.operators.catalog import genres_of, tag_counts, tags_of
 
 
 def genres_with(parsed: DataFrame, genre: str, remove_self: bool = True) -> DataFrame:
@@ -42,7 +42,12 @@ def tag_pairs(parsed: DataFrame, n: int = 20) -> DataFrame:
     return _pairs(kept, "tags", "tag")
 
 
-def genre_matrix(parsed: DataFrame, genres: list[str]) -> DataFrame:
-    """Pair counts as a matrix with one column per declared genre; absent pairs are 0."""
+def genre_matrix(parsed: DataFrame, genres: list[str] | None = None) -> DataFrame:
+    """Pair counts as a matrix with one column per genre of the catalogue, or of ``genres``; absent pairs are 0.
+
+    The genres of a catalogue are a small dimension: they become columns, so the driver has to know them.
+    """
+    if genres is None:
+        genres = [row.genre for row in genres_of(parsed).distinct().orderBy("genre").collect()]
     return (genre_pairs(parsed).groupBy("genre_1").pivot("genre_2", genres).agg(F.sum("pair_count"))
             .na.fill(0))

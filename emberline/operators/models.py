@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from emberline import schema as S
 from emberline.functions.columns import hash_bucket, safe_rate
+from emberline.functions.storage import materialize
 from emberline.operators.quantiles import VALUE, ranked_values, value_counts
 
 FEATURES = ["n_reviews_before_T", "n_games_reviewed_before_T", "avg_playtime_at_review_before_T",
@@ -105,13 +106,34 @@ def error_slices(scored: DataFrame, slice_column: Column, threshold: float = 0.5
         F.avg(wrong.cast("double")).alias("error_rate"))
 
 
+def dense_ids(df: DataFrame, column: str, index: str) -> DataFrame:
+    """(column, index) for each distinct value: whole numbers from 0 up, in the order of the values.
+
+    Values are range-partitioned, counted per partition and numbered inside each; only the counts, one per
+    partition, come together in one place.
+    """
+    spread = materialize(df.select(column).where(F.col(column).isNotNull()).distinct().repartitionByRange(column)
+                         .withColumn("_part", F.spark_partition_id()), "ids")
+    sizes = spread.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(column)) - 1
+    return spread.join(F.broadcast(before), "_part").select(column, (F.col("_before") + inside).alias(index))
+
+
 def playtime_factors(reviews: DataFrame) -> DataFrame:
-    """Predicted log playtime of held-out (user, app) pairs from ALS on the user x app matrix."""
-    pairs = (reviews.where(F.col(S.USER).isNotNull()).groupBy(F.col(S.USER).cast("int").alias("user"), S.APP)
+    """Predicted log playtime of held-out (user, app) pairs from ALS on the user x app matrix.
+
+    Every held-out pair is returned; its prediction is NULL where the user or the app isn't in the training part.
+    Users are numbered densely for the fit, which takes 32-bit ids only.
+    """
+    pairs = (reviews.where(F.col(S.USER).isNotNull()).groupBy(S.USER, S.APP)
              .agg(F.max(F.log1p(F.col("author_playtime_forever").cast("double"))).alias("rating")))
-    held_out = hash_bucket(F.concat_ws("|", "user", S.APP)) < 2_000
+    users = materialize(dense_ids(pairs, S.USER, "user"), "users")
+    if users.count() > 2 ** 31 - 1:
+        raise ValueError("more users than 32-bit ids: fit on a share of them")
+    numbered = materialize(pairs.join(users, S.USER).withColumn("user", F.col("user").cast("int")), "ratings")
+    held_out = hash_bucket(F.concat_ws("|", S.USER, S.APP)) < 2_000
     model = ALS(userCol="user", itemCol=S.APP, ratingCol="rating", rank=8, maxIter=5, seed=42,
-                coldStartStrategy="drop").fit(pairs.where(~held_out))
-    return model.transform(pairs.where(held_out)).select("user", S.APP, "rating", "prediction")
-
-
+                coldStartStrategy="nan").fit(numbered.where(~held_out).where("rating IS NOT NULL"))
+    return model.transform(numbered.where(held_out)).select(
+        S.USER, S.APP, "rating", F.when(~F.isnan("prediction"), F.col("prediction")).alias("prediction"))

@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberline.functions.columns import long_form, safe_rate
 from emberline.functions.storage import materialize
@@ -195,8 +196,8 @@ def text_lengths(df: DataFrame, text: str, *keep: str) -> DataFrame:
 
 
 def interactions(df: DataFrame, targets: list[str], bins: int = 10) -> DataFrame:
-    """2-D bucket counts of every pair of targets, all pairs in one pass."""
-    values = df.select([F.col(c).cast("double").alias(c) for c in targets])
+    """2-D bucket counts of every pair of targets, all pairs in one pass; NULL and NaN are in no bucket."""
+    values = df.select([F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in targets])
     ends = values.agg(F.struct(*[f(c).alias(f"{n}_{c}") for c in targets
                                  for n, f in (("lo", F.min), ("hi", F.max))]).alias("ends")).scalar()
     binned = values.select([F.when(F.col(c).isNotNull(), _bin(
@@ -212,7 +213,9 @@ def rejected_columns(df: DataFrame, id_share: float = 0.95) -> DataFrame:
     """Why a column would be left out of a profile: constant, all NULL, or close to one value per row."""
     rows = df.agg(F.count("*").alias("n")).scalar()
     known = long_form(df.selectExpr(*[f"count(`{c}`) AS `{c}`" for c in df.columns]), df.columns, {"n_known": "{c}"})
-    unique = distinct_counts(df, df.columns)
+    # texts are told apart by their 128-bit digests: whole texts aren't shuffled
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    unique = distinct_counts(df.withColumns({c: F.md5(c) for c in texts}), df.columns)
     return known.join(unique, NAME).select(
         NAME, "n_known", "n_unique",
         ((F.col("n_known") == 0) & (rows > 0)).alias("all_null"),

@@ -12,20 +12,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from emberline.functions.columns import union_all
+from emberline.functions.columns import count_each, long_form, union_all
 
 _SPLITS = 128
 NAME, VALUE, COUNT = "column_name", "value", "value_count"
 
 
 def value_counts(df: DataFrame, columns: list[str], value_type: str = "double") -> DataFrame:
-    """(column_name, value, value_count) of every non-null value; partial counts run before the shuffle."""
-    typed = df.selectExpr(*[f"CAST(`{c}` AS {value_type}) AS `{c}`" for c in columns])
+    """(column_name, value, value_count) of every known value; partial counts run before the shuffle.
+
+    NaN is no value (``nan_counts`` reports it), and -0.0 is 0.0, also where values are taken as text.
+    """
+    def known(c: str) -> str:
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            return f"CASE WHEN NOT isnan(`{c}`) THEN `{c}` + CAST(0.0 AS {df.schema[c].dataType.simpleString()}) END"
+        return f"`{c}`"
+
+    typed = df.selectExpr(*[f"CAST({known(c)} AS {value_type}) AS `{c}`" for c in columns])
     return (typed.unpivot([], columns, NAME, VALUE).where(f"{VALUE} IS NOT NULL")
             .groupBy(NAME, VALUE).agg(F.count("*").alias(COUNT)))
 
 
+def nan_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, nan_count), 0 for columns that can't hold NaN. One pass over the data."""
+    floating = {c for c in columns if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))}
+    tests = {c: f"isnan(`{c}`)" if c in floating else "false" for c in columns}
+    return long_form(count_each(df, tests), columns, {"nan_count": "{c}"})
+
+
 def ranked_values(counts: DataFrame) -> DataFrame:
     """Add ``lo`` and ``hi`` (the value fills the 0-based ranks [lo, hi)) and ``total`` per column."""
     by_hash = Window.partitionBy(NAME).orderBy(F.xxhash64(VALUE), VALUE)

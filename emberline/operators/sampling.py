@@ -6,7 +6,7 @@ nor a shuffle is needed, and the same users are chosen on every cluster and afte
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline import schema as S
@@ -14,6 +14,7 @@ from emberline.functions.columns import hash_bucket, union_all
 from emberline.operators.quantiles import exact_cutoffs
 
 BUCKETS = 10_000
+PREFIX_DIGITS = 5
 
 
 def user_share(share: float, user: str = S.USER, salt: str = "") -> Column:
@@ -43,11 +44,17 @@ def size_report(**frames: DataFrame) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, keys: list[str] = S.KEY_COLUMNS) -> DataFrame:
     """n rows in the order of an MD5 of their key: uniform over keys and repeatable.
 
-    Every partition keeps its n lowest rows before they are merged.
+    The digests are counted by their first digits first. Only rows up to the digits at which n is reached, n and
+    a millionth of all rows or so, are ever sorted.
     """
     key_text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
     others = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
-    return df.withColumn("_order", F.md5(key_text)).orderBy("_order", *keys, *others).limit(n).drop("_order")
+    ordered = df.withColumn("_order", F.md5(key_text))
+    digits = F.substring("_order", 1, PREFIX_DIGITS)
+    reached = (ordered.groupBy(digits.alias("digits")).agg(F.count("*").alias("n"))  # 16 ** PREFIX_DIGITS rows at most
+               .withColumn("upto", F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("digits"))))
+    cut = F.coalesce(reached.where(F.col("upto") >= n).agg(F.min("digits")).scalar(), F.lit("g"))
+    return ordered.where(digits <= cut).orderBy("_order", *keys, *others).limit(n).drop("_order")
 
 
 def split_users(df: DataFrame, train_share: float = 0.8, user: str = S.USER) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,6 @@ from emberline.sources.testdata import games, table
 
 # A genre, a tag, a name and a part of a name that the given catalogue holds.
 GENRE, TAG, NAME, NAME_PART = "PROMO", "blue", "Blue Bolt", "BOLT"
-GENRES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", *[f"Brand#{i}" for i in range(1, 26)]]
 _PROFILE = ["appid", "name", "price", "peak_ccu", "estimated_owners", "average_playtime_forever", "pct_pos_total",
             "num_reviews_total", "release_dt"]
 _CATALOG_COLUMNS = ("appid, name, release_date, price, genres, tags, peak_ccu, estimated_owners, "
@@ -219,9 +218,9 @@ QUERIES = {
         "SELECT a.genre AS genre_1, b.genre AS genre_2, COUNT(*) AS pair_count FROM game_genres a JOIN game_genres b USING (appid) GROUP BY 1, 2")),
     "cooc_tag_pairs": Query(_on_parsed(cooccurrence.tag_pairs), with_games(
         "SELECT a.tag AS tag_1, b.tag AS tag_2, COUNT(*) AS pair_count FROM kept_tags a JOIN kept_tags b USING (appid) GROUP BY 1, 2", _TOP_TAGS)),
-    "cooc_genre_matrix": Query(_on_parsed(lambda df: cooccurrence.genre_matrix(df, GENRES)), with_games(
-        "SELECT a.genre AS genre_1, " + ", ".join(f"COUNT(*) FILTER (WHERE b.genre = '{g}') AS \"{g}\"" for g in GENRES)
-        + " FROM game_genres a JOIN game_genres b USING (appid) GROUP BY 1")),
+    "cooc_genre_matrix": Query(_on_parsed(cooccurrence.genre_matrix), with_games(
+        "PIVOT pairs ON genre_2 USING COUNT(genre_2) GROUP BY genre_1",
+        "pairs AS (SELECT a.genre AS genre_1, b.genre AS genre_2 FROM game_genres a JOIN game_genres b USING (appid))")),
 
     "sim_tokens": Query(_tokens, with_games(
         "SELECT appid, CASE WHEN len(tag_names) + len(genres_array) = 0 THEN 'unknown' ELSE LOWER(array_to_string("

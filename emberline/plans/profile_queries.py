@@ -148,13 +148,19 @@ QUERIES = {
         "WITH active AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL), "
         "firsts AS (SELECT user_id, MIN(day) AS cohort FROM active GROUP BY 1), "
         "d AS (SELECT CAST(unnest([1, 7, 14, 21, 30]) AS INT) AS day_number) "
-        "SELECT cohort, day_number, COUNT(*) AS cohort_users, COUNT(a.user_id) AS retained_users FROM firsts f CROSS JOIN d "
+        "SELECT cohort, day_number, COUNT(*) AS cohort_users, CASE WHEN cohort + day_number <= (SELECT MAX(day) FROM active) "
+        "THEN COUNT(a.user_id) END AS retained_users FROM firsts f CROSS JOIN d "
         "LEFT JOIN active a ON a.user_id = f.user_id AND a.day = f.cohort + d.day_number GROUP BY 1, 2"),
     "ml_logreg": _fit("logreg"),
     "ml_rf": _fit("rf"),
     "ml_gbt": _fit("gbt"),
     "ml_pca": Query(_pca, None),
     "ml_als": Query(_on_reviews(models.playtime_factors), None),
+    "ml_als_held_out": Query(
+        lambda spark, sf_dir: rounded(models.playtime_factors(reviews(spark, sf_dir)).select(S.USER, S.APP, "rating"), 6), with_reviews(
+            "SELECT author_steamid, appid, ROUND(MAX(LN(1 + author_playtime_forever::DOUBLE)), 6) AS rating FROM reviews "
+            "WHERE author_steamid IS NOT NULL AND ('0x' || substr(md5(author_steamid::VARCHAR || '|' || appid::VARCHAR), 1, 8))::BIGINT "
+            "% 10000 < 2000 GROUP BY 1, 2")),
     "ml_metrics": Query(lambda spark, sf_dir: rounded(models.classification_metrics(_scored(spark, sf_dir)), 6), with_reviews(
         "SELECT ROUND((tp + tn)::DOUBLE / (tp + tn + fp + fn), 6) AS accuracy, ROUND(tp::DOUBLE / (tp + fp), 6) AS precision, "
         "ROUND(tp::DOUBLE / (tp + fn), 6) AS recall, ROUND(2.0::DOUBLE * tp / (2 * tp + fp + fn), 6) AS f1, ROUND(auc, 6) AS roc_auc FROM ("

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emberline import schema as S
+from emberline.functions.storage import scratch_path
 from emberline.operators import audit, churn, coverage, explore, sampling
 from emberline.operators.quantiles import approx_cutoffs
 from emberline.plans.oracle import per_column, with_both, with_reviews
 from emberline.plans.registry import Query, rounded
 from emberline.plans.review_queries import (
     COLS, _DECREASES, _USERS, _describe_sql, _on_reviews, _rounded_on_reviews, full_audit_select)
-from emberline.sources.testdata import games, reviews
+from emberline.sources import readers, sinks
+from emberline.sources.testdata import DELISTED, UNREVIEWED, UNREVIEWED_SHIFT, catalog_dump, reviews
 
 _BUCKET = "('0x' || substr(md5({id}::VARCHAR), 1, 8))::BIGINT % 10000"
 _USER_BUCKET = _BUCKET.format(id="author_steamid")
@@ -20,30 +22,41 @@ _USER_BUCKET = _BUCKET.format(id="author_steamid")
 
 _EXTREMES = ["author_playtime_forever", "votes_up", "votes_funny"]
 
-# --- coverage: two catalogue dumps and the reviews that drew comments -----------------------
-# The first dump lists what was out by the end of 2012, the second what came out from 2005 on.
+# --- coverage: all reviews against two overlapping catalogue dumps, read from CSV -------------
+# One dump holds what was out by the end of 2012, the other what came out from 2005 on, both what has no date.
 
+_FIRST_YEARS, _SECOND_YEARS = "release_date < '2013-01-01'", "release_date >= '2005-01-01'"
 
-def _first_dump(spark, sf_dir):
-    return games(spark, sf_dir).where(F.col("release_date") < "2013-01-01")
 
+def _dump(spark, sf_dir, years):
+    path = sinks.write_report(catalog_dump(spark, sf_dir, years), scratch_path(spark, "dumps"), "catalog", "csv")
+    return readers.read_catalog_csv(spark, path)
 
-def _second_dump(spark, sf_dir):
-    return games(spark, sf_dir).where(F.col("release_date") >= "2005-01-01")
 
+def _first_dump(spark, sf_dir):
+    return _dump(spark, sf_dir, _FIRST_YEARS)
 
-def _discussed(spark, sf_dir):
-    return reviews(spark, sf_dir).where(F.col("comment_count") > 0)
+
+def _second_dump(spark, sf_dir):
+    return _dump(spark, sf_dir, _SECOND_YEARS)
 
 
 def _catalog(spark, sf_dir):
     return coverage.catalog_union(_first_dump(spark, sf_dir), _second_dump(spark, sf_dir))
 
 
-_COVERAGE = """first_dump AS (SELECT DISTINCT appid FROM games WHERE release_date < '2013-01-01'),
-second_dump AS (SELECT DISTINCT appid FROM games WHERE release_date >= '2005-01-01'),
+def _saved(df):
+    """Written and read back, as the set is handed on."""
+    path = scratch_path(df.sparkSession, "coverage")
+    sinks.write_parquet(df, path)
+    return readers.read_parquet(df.sparkSession, path)
+
+
+_COVERAGE = f"""unreviewed AS (SELECT CAST(appid + {UNREVIEWED_SHIFT} AS INT) AS appid FROM games WHERE {UNREVIEWED}),
+first_dump AS (SELECT appid FROM games WHERE NOT ({DELISTED}) AND (release_date IS NULL OR {_FIRST_YEARS}) UNION SELECT appid FROM unreviewed),
+second_dump AS (SELECT appid FROM games WHERE NOT ({DELISTED}) AND (release_date IS NULL OR {_SECOND_YEARS}) UNION SELECT appid FROM unreviewed),
 catalog AS (SELECT appid FROM first_dump UNION SELECT appid FROM second_dump),
-reviewed AS (SELECT DISTINCT appid FROM reviews WHERE comment_count > 0)"""
+reviewed AS (SELECT DISTINCT appid FROM reviews WHERE appid IS NOT NULL)"""
 
 # --- sampling and splits -------------------------------------------------------------------
 
@@ -166,11 +179,11 @@ QUERIES = {
         lambda spark, sf_dir: coverage.reviews_not_in_catalog(reviews(spark, sf_dir), _catalog(spark, sf_dir)),
         with_both("SELECT DISTINCT appid FROM reviews WHERE appid NOT IN (SELECT appid FROM catalog)", _COVERAGE)),
     "cov_games_not_reviewed": Query(
-        lambda spark, sf_dir: coverage.games_not_reviewed(_discussed(spark, sf_dir), _catalog(spark, sf_dir)),
+        lambda spark, sf_dir: _saved(coverage.games_not_reviewed(reviews(spark, sf_dir), _catalog(spark, sf_dir))),
         with_both("SELECT appid FROM catalog WHERE appid NOT IN (SELECT appid FROM reviewed)", _COVERAGE)),
     "cov_summary": Query(
         lambda spark, sf_dir: coverage.coverage_summary(
-            _discussed(spark, sf_dir), _first_dump(spark, sf_dir), _second_dump(spark, sf_dir)),
+            reviews(spark, sf_dir), _first_dump(spark, sf_dir), _second_dump(spark, sf_dir)),
         with_both(
             "SELECT (SELECT COUNT(*) FROM first_dump) AS first_snapshot, (SELECT COUNT(*) FROM second_dump) AS second_snapshot, "
             "(SELECT COUNT(*) FROM catalog) AS catalog_apps, (SELECT COUNT(*) FROM reviewed) AS reviewed_apps, "

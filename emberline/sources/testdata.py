@@ -7,6 +7,7 @@ planted copies come from an array in the row, so the base is not computed three
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberline.functions.storage import scratch_path
@@ -77,15 +78,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan with fewer splits than cores over all cores; larger scans are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The review table as a view over the given tables."""
-    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    """The review table as a view over the given tables.
+
+    Lines are dealt by the key that they are joined on anyway, into as many parts as any shuffle.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = table(spark, sf_dir, "lineitem").repartition(parts, "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr("*", _COPIES)
     return joined.selectExpr(*[f"{_REVIEW_EXPRESSIONS[name]} AS {name}" for name in REVIEW_SCHEMA])
@@ -111,3 +110,18 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         *[f"{expression} AS {name}" for name, expression in _GAME_EXPRESSIONS.items()])
+
+
+#: Games that no dump lists any more, and listed apps (with ids of their own) that nobody has reviewed.
+DELISTED = "appid % 89 = 0"
+UNREVIEWED = "appid % 83 = 0"
+UNREVIEWED_SHIFT = 10_000_000
+
+
+def catalog_dump(spark: SparkSession, sf_dir: str, years: str) -> DataFrame:
+    """A raw catalogue dump: the games of ``years`` and those without a date, less the delisted ones, and the
+    unreviewed apps."""
+    all_games = games(spark, sf_dir)
+    listed = all_games.where(f"NOT ({DELISTED}) AND (release_date IS NULL OR {years})")
+    others = all_games.where(UNREVIEWED).withColumn("appid", F.col("appid") + UNREVIEWED_SHIFT)
+    return listed.unionByName(others)
