@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import SparkSession
 from emberline.plans import all_queries
 
 HEADLINE = [
-    "audit_all", "audit_consistency_summary", "audit_playtime_decreases", "audit_uniqueness", "audit_describe",
+    "ingest_reviews", "audit_all", "audit_consistency_summary", "audit_playtime_decreases", "audit_uniqueness", "audit_describe",
     "dup_summary", "dup_diagnostics", "clean_full", "feat_full", "sample_user_time", "split_cutoffs",
     "churn_snapshots_all", "cov_summary", "eda_summary", "eda_top_users_games", "games_tag_counts",
     "cooc_genre_pairs", "cooc_tag_pairs", "sim_topk", "sim_embeddings_topk", "prof_spearman", "prof_histogram",
@@ -26,6 +27,7 @@ def main() -> None:
     wanted = sys.argv[1:] or HEADLINE
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("emberline-bench")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "12g")
+             .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='bench-')}")
              .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     queries, times = all_queries(), {}

@@ -8,7 +8,7 @@ How it stays exact without comparing everything with everything:
 2. A first round compares each shape with a fixed number of candidates. The k-th best of them is a
    floor under the true k-th best.
 3. Groups that cannot beat the floor are left out: tokens whose joint share of a vector is below it
-   (Cauchy-Schwarz), or cells of vectors that lie further away than it (triangle inequality).
+   (Cauchy-Schwarz). Dense vectors have no such groups: their blocks meet each other once, in both directions.
 4. What is left is compared in blocks. A group of any size is split by hash on both sides, each task
    multiplies two bounded blocks, and only the k best per query and block leave the task.
 """
@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,8 +110,6 @@ _OUT = "query long, item long, similarity double"
 
 
 def _matrices(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    if "terms" not in left.columns:
-        return np.stack(left["vector"].to_list()), np.stack(right["vector"].to_list())
     sides = []
     for side in (left, right):
         sizes = side["terms"].map(len).to_numpy()
@@ -125,9 +125,24 @@ def _matrices(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.n
     return out[0], out[1]
 
 
-def _best_in_block(k: int):
+def _best_of(queries: np.ndarray, items: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, item, rounded similarity) of the k best positive scores per row; ``items`` ascend, equal scores take the lowest."""
     scale = 10.0 ** PLACES
+    steps = np.rint(scores * scale).astype(np.int64)
+    # One integer orders by rounded score, then by lowest item id.
+    order = steps * len(items) + np.arange(len(items) - 1, -1, -1)
+    order[(scores <= 0) | (queries[:, None] == items[None, :])] = -1
+    if len(items) > k:
+        picked = np.argpartition(-order, k - 1, axis=1)[:, :k]
+    else:
+        picked = np.broadcast_to(np.arange(len(items)), order.shape)
+    kept = np.take_along_axis(order, picked, axis=1) >= 0
+    row = np.broadcast_to(np.arange(len(queries))[:, None], picked.shape)[kept]
+    column = picked[kept]
+    return queries[row], items[column], steps[row, column] / scale
+
 
+def _best_in_block(k: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query": pd.Series(dtype="int64"), "item": pd.Series(dtype="int64"),
@@ -135,20 +150,8 @@ def _best_in_block(k: int):
         right = right.sort_values("item")
         a, b = _matrices(left, right)
         queries, items = left["query"].to_numpy(), right["item"].to_numpy()
-        scores = a @ b.T
-        scores[queries[:, None] == items[None, :]] = -1.0
-        steps = np.rint(scores * scale).astype(np.int64)
-        # One integer orders by rounded score, then by lowest item id.
-        order = steps * len(items) + np.arange(len(items) - 1, -1, -1)
-        order[scores <= 0] = -1
-        if len(items) > k:
-            picked = np.argpartition(-order, k - 1, axis=1)[:, :k]
-        else:
-            picked = np.broadcast_to(np.arange(len(items)), order.shape)
-        kept = np.take_along_axis(order, picked, axis=1) >= 0
-        row = np.broadcast_to(np.arange(len(queries))[:, None], picked.shape)[kept]
-        column = picked[kept]
-        return pd.DataFrame({"query": queries[row], "item": items[column], "similarity": steps[row, column] / scale})
+        query, item, similarity = _best_of(queries, items, a @ b.T, k)
+        return pd.DataFrame({"query": query, "item": item, "similarity": similarity})
 
     return run
 
@@ -214,42 +217,47 @@ def _top_token_shapes(vectors: DataFrame, k: int) -> DataFrame:
     return _best(_block_top_k(probes, postings.drop("own_weight"), k), k)
 
 
-_PIVOTS = 64
-
-
 def _length(vector: str) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
 
 
+def _best_in_pair(k: int):
+    """Both directions of one block pair (i, j), i <= j: each product is taken once."""
+    def side(table: pa.Table, block: int) -> tuple[np.ndarray, np.ndarray]:
+        own = table.filter(pc.equal(table.column("block"), block)).sort_by("shape")
+        flat = np.concatenate([c.flatten().to_numpy() for c in own.column("vector").chunks] or [np.zeros(0)])
+        return own.column("shape").to_numpy(), flat.reshape(own.num_rows, -1) if own.num_rows else np.zeros((0, 1))
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        queries, a = side(table, i)
+        items, b = (queries, a) if i == j else side(table, j)
+        parts = []
+        if len(queries) and len(items):
+            scores = a @ b.T
+            parts.append(_best_of(queries, items, scores, k))
+            if i != j:
+                parts.append(_best_of(items, queries, scores.T, k))
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[], [], []]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))],
+                        names=["query", "item", "similarity"])
+
+    return run
+
+
 def _top_vector_shapes(vectors: DataFrame, k: int) -> DataFrame:
-    """k best shapes per shape by cosine for dense vectors (shape, vector)."""
+    """k best shapes per shape by cosine for dense vectors (shape, vector).
+
+    Every two blocks meet once: n * (n + 1) / 2 products of pairs for n vectors, all rows in as many copies as
+    there are blocks. Exact and without any index: bounds on dense vectors like these rule out hardly anything.
+    """
     units = materialize(vectors.withColumn("norm", _length("vector")).select(
-        "shape", F.transform("vector", lambda x: x / F.col("norm")).alias("vector")), "vectors")
-    # A fixed number of vectors, chosen by hash, used for routing only.
-    pivots = (units.orderBy(F.xxhash64("shape"), "shape").limit(_PIVOTS)
-              .agg(F.sort_array(F.collect_list(F.struct("shape", "vector"))).alias("p"))
-              .select(F.col("p.vector")).scalar())
-    dots = F.transform("pivots", lambda p: F.aggregate(
-        F.zip_with(p, F.col("vector"), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x))
-    angle = F.transform(dots, lambda d: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), d))))
-    cells = materialize(
-        units.withColumn("pivots", pivots).withColumn("angles", angle).drop("pivots")
-        .withColumn("grp", F.array_position("angles", F.array_min("angles")).cast("int")), "cells")
-    radii = cells.groupBy("grp").agg(F.max(F.array_min("angles")).alias("radius"))
-    radius_of = radii.agg(F.map_from_entries(F.collect_list(F.struct("grp", "radius")))).scalar()
-    nearest = Window.partitionBy("grp").orderBy(F.array_min("angles"), "shape")
-    candidates = (cells.withColumn("_rank", F.row_number().over(nearest))
-                  .where(F.col("_rank") <= max(SEED_CANDIDATES, k + 1))
-                  .select("grp", F.col("shape").alias("item"), "vector"))
-    seeds = _block_top_k(cells.select("grp", F.col("shape").alias("query"), "vector"), candidates, k)
-    floors = _floors(seeds, k)
-    reach = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce("floor", F.lit(0.0)) - _MARGIN)))
-    probes = (cells.join(floors, "shape", "left").withColumn("radii", radius_of)
-              .select("shape", "vector", "radii", reach.alias("reach"), F.posexplode("angles").alias("i", "angle"))
-              .withColumn("grp", F.col("i") + 1)
-              .where(F.col("angle") - F.try_element_at("radii", F.col("grp")) <= F.col("reach") + 1e-9)
-              .select("grp", F.col("shape").alias("query"), "vector"))
-    return _best(_block_top_k(probes, cells.select("grp", F.col("shape").alias("item"), "vector"), k), k)
+        F.col("shape").cast("long").alias("shape"), F.transform("vector", lambda x: x / F.col("norm")).alias("vector")), "vectors")
+    n = max(1, -(-units.count() // BLOCK_ROWS))
+    placed = units.withColumn("block", F.pmod(F.xxhash64("shape"), F.lit(n)).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    pairs = placed.select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "shape", "vector")
+    return _best(pairs.groupBy("i", "j").applyInArrow(_best_in_pair(k), _OUT), k)
 
 
 def _lists(items: DataFrame, feature: str, members: DataFrame, best: DataFrame, k: int, item_id: str) -> DataFrame:

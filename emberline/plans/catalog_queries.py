@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from emberline.functions.storage import scratch_path
 from emberline.operators import catalog, cooccurrence, similarity
 from emberline.plans.oracle import per_column, with_games
 from emberline.plans.registry import Query, rounded
+from emberline.sources import readers, sinks
 from emberline.sources.testdata import games, table
 
 # A genre, a tag, a name and a part of a name that the given catalogue holds.
@@ -34,6 +36,14 @@ def _parse(spark, sf_dir):
         "appid", "name", "release_dt", "price", F.array_join("genres_array", "|").alias("genres"), tags.alias("tags"))
 
 
+def _load_csv(spark, sf_dir):
+    """The raw catalogue of eleven columns, written as CSV, loaded typed and parsed."""
+    path = sinks.write_report(games(spark, sf_dir), scratch_path(spark, "catalog"), "games", "csv")
+    return catalog.parse_catalog(readers.read_catalog_csv(spark, path)).select(
+        "appid", "name", "release_dt", "price", "peak_ccu", "estimated_owners", "average_playtime_forever", "pct_pos_total",
+        "num_reviews_total", F.array_join("genres_array", "|").alias("genres"), F.size("tags_map").alias("n_tags"))
+
+
 _EMPTY_NAME = "name IS NULL OR TRIM(name) = ''"
 _DUP_NAMES = f"""dup_names AS (SELECT name, COUNT(DISTINCT appid) AS num_appids FROM games
 WHERE NOT ({_EMPTY_NAME}) GROUP BY 1 HAVING COUNT(DISTINCT appid) > 1)"""
@@ -68,9 +78,20 @@ def sim_topk(spark, sf_dir):
         "appid", F.col("c.appid").alias("other"), F.col("c.similarity").alias("similarity"), (F.col("i") + 1).alias("rank"))
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 def _with_competitors(spark, sf_dir):
-    """The catalogue as saved and read back: competitors come from the stored JSON."""
-    return catalog.parse_catalog(similarity.build_catalog(games(spark, sf_dir), parsed(spark, sf_dir)))
+    """The stored catalogue: built and written once per application, then read by every look-up.
+
+    Competitors come from the stored JSON; a look-up's filter reaches the scan.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        path = scratch_path(spark, "catalogue")
+        sinks.write_parquet(similarity.build_catalog(games(spark, sf_dir), parsed(spark, sf_dir)), path)
+        _stored[key] = path
+    return catalog.parse_catalog(readers.read_parquet(spark, _stored[key]))
 
 
 def _competitors_json(spark, sf_dir):
@@ -218,6 +239,9 @@ QUERIES = {
         "SELECT a.genre AS genre_1, b.genre AS genre_2, COUNT(*) AS pair_count FROM game_genres a JOIN game_genres b USING (appid) GROUP BY 1, 2")),
     "cooc_tag_pairs": Query(_on_parsed(cooccurrence.tag_pairs), with_games(
         "SELECT a.tag AS tag_1, b.tag AS tag_2, COUNT(*) AS pair_count FROM kept_tags a JOIN kept_tags b USING (appid) GROUP BY 1, 2", _TOP_TAGS)),
+    "games_load_csv": Query(_load_csv, with_games(
+        "SELECT appid, NULLIF(name, '  ') AS name, release_dt, price, peak_ccu, estimated_owners, average_playtime_forever, pct_pos_total, "
+        "num_reviews_total, array_to_string(genres_array, '|') AS genres, CASE WHEN len(tag_names) > 0 THEN CAST(len(tag_names) AS INT) END AS n_tags FROM games")),
     "cooc_genre_matrix": Query(_on_parsed(cooccurrence.genre_matrix), with_games(
         "PIVOT pairs ON genre_2 USING COUNT(genre_2) GROUP BY genre_1",
         "pairs AS (SELECT a.genre AS genre_1, b.genre AS genre_2 FROM game_genres a JOIN game_genres b USING (appid))")),

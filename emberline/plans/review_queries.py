@@ -12,7 +12,7 @@ from emberline.operators import audit, cleaning, duplicates, prepare
 from emberline.plans.oracle import per_column, with_reviews
 from emberline.plans.registry import Query, rounded
 from emberline.sources import readers, sinks
-from emberline.sources.testdata import reviews, table
+from emberline.sources.testdata import reviews, reviews_view, table
 
 N = S.NUMERIC_COLUMNS
 NB = [*S.NUMERIC_COLUMNS, *S.BOOLEAN_COLUMNS]
@@ -134,6 +134,89 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv_typed(spark, path, _PART_SCHEMA)
 
 
+def _raw_reviews_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review table as a raw dump: quotes and line breaks in texts, user ids that are no numbers."""
+    raw = reviews(spark, sf_dir).withColumns({
+        S.USER: F.expr(f"CASE WHEN {_BROKEN} THEN 'n/a' ELSE CAST({S.USER} AS STRING) END"),
+        "review": F.expr("concat('He said \"', review, '\",\nthen left')")})
+    path = sinks.write_report(raw, scratch_path(spark, "raw"), "reviews", "csv")
+    return readers.read_reviews_csv(spark, path, multi_line=True)
+
+
+#: Rows whose user id is written as text that is no number.
+_BROKEN = "timestamp_created % 86400 = 0 AND appid % 101 = 0"
+
+
+def _ingested_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV to typed Parquet and back, with the trace that broken rows leave."""
+    path = scratch_path(spark, "ingested")
+    sinks.write_parquet(_raw_reviews_csv(spark, sf_dir), path)
+    stored = readers.read_parquet(spark, path)
+    sums = stored.agg(F.sum(F.length("review")).alias("review_chars"), F.count_if(F.col("review").contains("\n")).alias("broken_lines"),
+                      F.sum("votes_funny").alias("sum_votes_funny"), F.count(S.CREATED).alias("with_time"))
+    counts = readers.broken_key_rows(stored, S.KEY_COLUMNS)
+    return counts.select("*", *[sums.select(c).scalar().alias(c) for c in sums.columns])
+
+
+def _ingest_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Builds the review table and writes it as typed Parquet, anew at each call."""
+    path = scratch_path(spark, "ingest")
+    sinks.write_parquet(reviews_view(spark, sf_dir), path)
+    return readers.read_parquet(spark, path, [S.USER]).agg(F.count("*").alias("row_count"), F.count(S.USER).alias("with_user"))
+
+
+def _deviating_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema in the footers of a stored table that lacks a column and has two others of another type."""
+    path = scratch_path(spark, "deviating")
+    sinks.write_parquet(reviews(spark, sf_dir).drop("language").withColumns(
+        {"votes_up": F.col("votes_up").cast("string"), "voted_up": F.col("voted_up").cast("int")}), path)
+    return audit.schema_audit(spark.read.parquet(path))
+
+
+def _deviating_schema_sql() -> str:
+    other = {"language": None, "votes_up": "string", "voted_up": "int"}
+    rows = []
+    for i, (name, kind) in enumerate(S.REVIEW_SCHEMA.items()):
+        actual = other.get(name, kind.simpleString())
+        text = "NULL" if actual is None else f"'{actual}'"
+        rows.append(f"({i}, '{name}', {actual is not None}, '{kind.simpleString()}', {text}, "
+                    f"{actual == kind.simpleString()})")
+    return ("SELECT CAST(p AS INT) AS position, c AS column_name, b AS present, e AS expected_type, CAST(a AS VARCHAR) AS actual_type, "
+            f"m AS type_matches FROM (VALUES {', '.join(rows)}) t(p, c, b, e, a, m)")
+
+
+def _scalar_showcase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scalar functions of the review pipeline, side by side on one scan."""
+    created = F.timestamp_seconds(S.CREATED)
+    days = F.array(F.lit(1), F.lit(2), F.lit(3))
+    return rounded(reviews(spark, sf_dir).select(
+        S.USER, S.APP, S.CREATED, F.col("votes_up").cast("double").alias("votes_up_double"),
+        F.col("review").isNull().alias("no_review"),
+        F.coalesce("review", F.lit("none")).alias("review_or_none"),
+        F.when(F.col("voted_up"), "up").otherwise("down").alias("vote"),
+        F.length(F.trim(F.concat(F.lit("  "), "language", F.lit(" ")))).alias("language_length"),
+        F.upper("language").alias("language_upper"), F.lower(F.upper("language")).alias("language_lower"),
+        F.coalesce(F.lower("review").contains("urgent"), F.lit(False)).alias("is_urgent"),
+        F.regexp_replace("language", "[aeiou]", "_").alias("no_vowels"),
+        F.log1p(F.col("author_playtime_forever").cast("double")).alias("log_playtime"),
+        F.date_format(created, "yyyy-MM-dd").alias("created_day"), F.year(created).alias("created_year"),
+        ((F.col(S.UPDATED) - F.col(S.CREATED)) / 86400.0).alias("days_to_update"),
+        F.col("votes_up").between(1, 3).alias("few_votes"), F.col("language").isin("english", "french").alias("latin"),
+        F.array_contains(days, F.col("author_num_reviews")).alias("one_to_three"),
+        F.round(F.col(S.SCORE_COLUMN).cast("double"), 2).alias("score_rounded")), 6)
+
+
+_SCALAR_SQL = with_reviews("""SELECT author_steamid, appid, timestamp_created, votes_up::DOUBLE AS votes_up_double, review IS NULL AS no_review,
+ COALESCE(review, 'none') AS review_or_none, CASE WHEN voted_up THEN 'up' ELSE 'down' END AS vote,
+ CAST(LENGTH(language) AS INT) AS language_length, UPPER(language) AS language_upper, language AS language_lower,
+ COALESCE(LOWER(review) LIKE '%urgent%', FALSE) AS is_urgent, regexp_replace(language, '[aeiou]', '_', 'g') AS no_vowels,
+ ROUND(LN(1 + author_playtime_forever::DOUBLE), 6) AS log_playtime, strftime(make_timestamp(timestamp_created * 1000000), '%Y-%m-%d') AS created_day,
+ CAST(year(make_timestamp(timestamp_created * 1000000)) AS INT) AS created_year,
+ ROUND((timestamp_updated - timestamp_created) / 86400.0::DOUBLE, 6) AS days_to_update, votes_up BETWEEN 1 AND 3 AS few_votes,
+ language IN ('english', 'french') AS latin, author_num_reviews IN (1, 2, 3) AS one_to_three,
+ ROUND(weighted_vote_score::DOUBLE, 2) AS score_rounded FROM reviews""")
+
+
 def _parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "parquet")
     sinks.write_parquet(reviews(spark, sf_dir), path)
@@ -223,6 +306,13 @@ def _rounded_on_reviews(operator, places: int = 6):
 QUERIES = {
     "src_csv_typed": Query(_csv_round_trip,
                            "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"),
+    "src_csv_reviews": Query(_ingested_csv, with_reviews(
+        f"SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE author_steamid IS NULL OR ({_BROKEN})) AS broken_key_rows, "
+        "CAST(SUM(LENGTH(review) + 21) AS BIGINT) AS review_chars, COUNT(review) AS broken_lines, "
+        "CAST(SUM(votes_funny) AS BIGINT) AS sum_votes_funny, COUNT(timestamp_created) AS with_time FROM reviews")),
+    "ingest_reviews": Query(_ingest_reviews, with_reviews(
+        "SELECT COUNT(*) AS row_count, COUNT(author_steamid) AS with_user FROM reviews")),
+    "scalar_showcase": Query(_scalar_showcase, _SCALAR_SQL),
     "src_parquet_scan": Query(_parquet_scan, "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders"),
     "snk_parquet_roundtrip": Query(_parquet_round_trip, with_reviews(
         "SELECT language, COUNT(*) AS row_count, CAST(SUM(votes_funny) AS BIGINT) AS sum_votes_funny, "
@@ -230,7 +320,7 @@ QUERIES = {
 
     "audit_structure": Query(_on_reviews(audit.structure_report), with_reviews(
         "SELECT COUNT(*) AS row_count, CAST(18 AS BIGINT) AS column_count, COUNT(*) * 18 AS cell_count FROM reviews")),
-    "audit_schema": Query(_on_reviews(audit.schema_audit), None),
+    "audit_schema": Query(_deviating_schema, _deviating_schema_sql()),
     "audit_nulls": Query(_audit_nulls, with_reviews(per_column(
         ALL, "SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
              "ROUND(COUNT(*) FILTER (WHERE {c} IS NULL)::DOUBLE / COUNT(*), 6) AS null_rate FROM reviews"))),
