@@ -36,6 +36,9 @@ LONGEST = 1 << 40
 
 BLOCK_ROWS = 256
 
+#: Bits per element of the sketches that are compared within buckets; other pairs are ruled out by one.
+SHARP_BITS = 4
+
 #: The filter for the second reading has at most so many bits; beyond, it lets more sets through.
 FILTER_BITS = 1 << 27
 
@@ -114,14 +117,14 @@ def signatures(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parities of hashed elements, one bit per element or more: a power of two of 64-bit words.
+def sketch(shingles: np.ndarray, bits_each: int = 1) -> np.ndarray:
+    """Parities of hashed elements, ``bits_each`` bits per element or more: a power of two of 64-bit words.
 
     Two sketches of one length differ in no more bits than the sets in elements. Folding a sketch in half (by
     exclusive or) gives the sketch of half the length, so that neighbouring sizes compare as well.
     """
     words = 1
-    while 64 * words < len(shingles):
+    while 64 * words < bits_each * len(shingles):
         words *= 2
     bits = np.bincount((mix(shingles * _M2 + _M3) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words)
     return np.packbits((bits & 1).astype(np.uint8), bitorder="little").view(np.uint64)
@@ -138,16 +141,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None,
 
 
 def _names(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, name, sketch): NULL name for the empty set."""
+    """(doc_id, n, name, sketch, sharp): NULL name for the empty set; sharp is the longer sketch."""
     def run(batches):
         for rows in _sets(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()),
                  pa.array([set_name(s) if len(s) else None for _, s in rows], pa.int64()),
-                 pa.array([sketch(s).view(np.int64) for _, s in rows], pa.list_(pa.int64()))],
-                ["doc_id", "n", "name", "sketch"])
+                 *[pa.array([sketch(s, bits).view(np.int64) for _, s in rows], pa.list_(pa.int64()))
+                   for bits in (1, SHARP_BITS)]], ["doc_id", "n", "name", "sketch", "sharp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, name long, sketch array<long>")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n long, name long, sketch array<long>, sharp array<long>")
 
 
 def _signature_rows(docs: DataFrame) -> DataFrame:
@@ -354,7 +358,8 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     names = materialize(_names(docs), "set-names")
     light = materialize(names.filter("name IS NOT NULL").groupBy("name").agg(
-        F.first("n").alias("n"), F.first("sketch").alias("sketch")), "set-sketches")
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("sharp").alias("sharp")), "set-sketches")
+    light, sharp = light.select("name", "n", "sketch"), light.select("name", "n", F.col("sharp").alias("sketch"))
     bucket = Window.partitionBy("sig")
     rows = _signature_rows(docs).select("sig", "name", F.min("name").over(bucket).alias("low"),
                                         F.max("name").over(bucket).alias("high")).filter("low <> high")
@@ -372,7 +377,7 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     second = materialize(_verified(_apart_still(near, labels), sets), "links")
     labels = components(first.union(second))
     free_shuffles(spark)
-    rest = materialize(_block_pairs(_open_buckets(buckets, labels), light).join(near, ["u", "v"], "left_anti"), "pairs")
+    rest = materialize(_block_pairs(_open_buckets(buckets, labels), sharp).join(near, ["u", "v"], "left_anti"), "pairs")
     more = materialize(rest.select(F.explode(F.array("u", "v")).alias("name")).distinct()
                        .join(wanted, "name", "left_anti"), "candidates")
     if not more.isEmpty():
@@ -380,7 +385,7 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     free_shuffles(spark)
     third = materialize(_verified(rest, sets), "links")
     labels = components(first.union(second).union(third))
-    names = names.drop("sketch")
+    names = names.drop("sketch", "sharp")
 
     least = names.filter("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("least"))
     rooted = least.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
