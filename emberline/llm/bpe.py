@@ -30,7 +30,7 @@ from emberline.llm.common import SLICE_ROWS
 from emberline.llm.text_chunks import chunks
 
 #: Words in the table, and the longest ones it takes.
-TABLE_WORDS = 1 << 19
+TABLE_WORDS = 1 << 18
 TABLE_CHARS = 48
 #: A fold's work grows with the square of a word's length: longer words go to the library, whose merges don't.
 FOLD_CHARS = 128
