@@ -21,6 +21,8 @@ SKEWNESS_LIMIT = 20
 IMBALANCE_LIMIT = 0.5
 CARDINALITY_LIMIT = 50
 CORRELATION_LIMIT = 0.9
+FREQUENT_VALUES = 64
+FREQUENT_SALTS = 256
 
 
 def quantile_table(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -123,17 +125,25 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of average ranks, over the rows where both columns are known.
 
     Rows are first counted per combination of values; ranks come from the distributed ranking of each
-    column's distinct values and are centred, so that the sums stay accurate.
+    column's distinct values and are centred, so that the sums stay accurate. The ranks of a column's most frequent
+    values are one small map in the row; only rows with other values meet a rank in the join, the rest are spread.
     """
     middle = (F.col("lo") + F.col("hi") - F.col("total")) / 2.0
-    ranks = materialize(ranked_values(value_counts(df, columns)).select(NAME, VALUE, middle.alias("rank")), "ranks")
-    rows = df.select([F.col(c).cast("double").alias(c) for c in columns]).groupBy(*columns).agg(F.count("*").alias("_n"))
+    ranks = materialize(ranked_values(value_counts(df, columns)).select(NAME, VALUE, COUNT, middle.alias("rank")), "ranks")
+    known = [F.nullif(F.col(c).cast("double") + 0.0, F.lit(float("nan"))).alias(c) for c in columns]
+    rows = df.select(known).groupBy(*columns).agg(F.count("*").alias("_n"))
     for c in columns:
-        own = ranks.where(F.col(NAME) == c).select(F.col(VALUE).alias(c), F.col("rank").alias(f"_r_{c}"))
-        rows = rows.join(own, c, "left")
+        own = ranks.where(F.col(NAME) == c)
+        frequent = (own.orderBy(F.desc(COUNT), VALUE).limit(FREQUENT_VALUES)
+                    .agg(F.map_from_entries(F.collect_list(F.struct(VALUE, "rank")))).scalar())
+        spread = F.lit(1) + F.pmod(F.xxhash64(*columns), F.lit(FREQUENT_SALTS))
+        rows = rows.withColumn("_frequent", F.try_element_at(frequent, F.col(c))).withColumn(
+            "_side", F.when(F.col(c).isNotNull() & F.col("_frequent").isNull(), F.lit(0).cast("bigint")).otherwise(spread))
+        others = own.select(F.col(VALUE).alias(c), F.lit(0).cast("bigint").alias("_side"), F.col("rank").alias("_joined"))
+        rows = rows.join(others, [c, "_side"], "left").withColumn(
+            f"_r_{c}", F.coalesce("_frequent", "_joined")).drop("_frequent", "_joined", "_side")
     pairs = list(combinations(columns, 2))
 
-
     def sums(a: str, b: str) -> str:
         x, y = f"_r_{a}", f"_r_{b}"
         w = f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN CAST(_n AS DOUBLE) END"

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from emberline.functions.storage import materialize
 
 BLOCK_ROWS = 2_000
+VOCABULARY_PART = 4_096
 SEED_CANDIDATES = 256
 PLACES = 4
 _MARGIN = 2 * 10.0 ** -PLACES
@@ -109,20 +110,30 @@ def _token_vectors(shapes: DataFrame) -> DataFrame:
 _OUT = "query long, item long, similarity double"
 
 
-def _matrices(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    sides = []
-    for side in (left, right):
+def _token_scores(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+    """Dot products of two blocks of token vectors, by the tokens that both sides hold, some thousands at a time.
+
+    Memory follows BLOCK_ROWS and VOCABULARY_PART, not the vocabulary.
+    """
+    def entries(side: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sizes = side["terms"].map(len).to_numpy()
-        sides.append((np.repeat(np.arange(len(side)), sizes), np.concatenate(side["terms"].to_list()),
-                      np.concatenate(side["weights"].to_list())))
-    vocabulary, codes = np.unique(np.concatenate([sides[0][1], sides[1][1]]).astype(str), return_inverse=True)
-    out, start = [], 0
-    for side, (rows, terms, weights) in zip((left, right), sides):
-        matrix = np.zeros((len(side), len(vocabulary)))
-        matrix[rows, codes[start:start + len(terms)]] = weights
-        out.append(matrix)
-        start += len(terms)
-    return out[0], out[1]
+        return (np.repeat(np.arange(len(side)), sizes), np.concatenate(side["terms"].to_list()).astype(str),
+                np.concatenate(side["weights"].to_list()))
+
+    sides = [entries(left), entries(right)]
+    shared = np.intersect1d(sides[0][1], sides[1][1])
+    scores = np.zeros((len(left), len(right)))
+    for start in range(0, len(shared), VOCABULARY_PART):
+        part = shared[start:start + VOCABULARY_PART]
+        matrices = []
+        for n, (rows, terms, weights) in zip(scores.shape, sides):
+            at = np.minimum(np.searchsorted(part, terms), len(part) - 1)
+            held = part[at] == terms
+            matrix = np.zeros((n, len(part)))
+            matrix[rows[held], at[held]] = weights[held]
+            matrices.append(matrix)
+        scores += matrices[0] @ matrices[1].T
+    return scores
 
 
 def _best_of(queries: np.ndarray, items: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,9 +159,8 @@ def _best_in_block(k: int):
             return pd.DataFrame({"query": pd.Series(dtype="int64"), "item": pd.Series(dtype="int64"),
                                  "similarity": pd.Series(dtype="float64")})
         right = right.sort_values("item")
-        a, b = _matrices(left, right)
         queries, items = left["query"].to_numpy(), right["item"].to_numpy()
-        query, item, similarity = _best_of(queries, items, a @ b.T, k)
+        query, item, similarity = _best_of(queries, items, _token_scores(left, right), k)
         return pd.DataFrame({"query": query, "item": item, "similarity": similarity})
 
     return run
