@@ -2,10 +2,10 @@
 
 Spark's own exact ``percentile`` keeps every distinct value of a column in one task. Here each
 column is first reduced to (value, count), which also flattens hot values, and the distinct
-values are then ranked inside buckets that split each column evenly. The bucket borders are the
-``_SPLITS`` values with the lowest hash: a uniform, repeatable sample, used for routing only, so
-results are exact whatever the borders are. Only the borders and the bucket totals are
-broadcast, and both are bounded by columns x ``_SPLITS``.
+values are then ranked inside buckets that split each column evenly, as many as its distinct values
+need. The bucket borders are the values whose hash lies under a threshold: a uniform, repeatable
+sample, used for routing only, so results are exact whatever the borders are. Only the borders and
+the bucket totals are broadcast, about columns x ``MAX_SPLITS`` of them at most.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from emberline.functions.columns import count_each, long_form, union_all
 
-_SPLITS = 128
+SPLIT_VALUES = 65_536
+MAX_SPLITS = 512
+_HASHES = 1 << 31
 NAME, VALUE, COUNT = "column_name", "value", "value_count"
 
 
@@ -44,10 +46,12 @@ def nan_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def ranked_values(counts: DataFrame) -> DataFrame:
     """Add ``lo`` and ``hi`` (the value fills the 0-based ranks [lo, hi)) and ``total`` per column."""
-    by_hash = Window.partitionBy(NAME).orderBy(F.xxhash64(VALUE), VALUE)
-    borders = (counts.select(NAME, VALUE, F.row_number().over(by_hash).alias("pick"))
-               .where(F.col("pick") <= _SPLITS)
-               .groupBy(NAME).agg(F.sort_array(F.collect_list(VALUE)).alias("borders")))
+    sizes = counts.groupBy(NAME).agg(F.count("*").alias("distinct"))
+    # A column of one bucket's size has no borders at all.
+    splits = F.least(F.floor(F.col("distinct") / SPLIT_VALUES), F.lit(MAX_SPLITS))
+    picked = F.when(F.pmod(F.xxhash64(VALUE), F.lit(_HASHES)).cast("double") * F.col("distinct") < F.lit(_HASHES) * splits, F.col(VALUE))
+    borders = (counts.join(F.broadcast(sizes), NAME)
+               .groupBy(NAME).agg(F.sort_array(F.collect_list(picked)).alias("borders")))
     bucketed = (counts.join(F.broadcast(borders), NAME)
                 .withColumn("bucket", F.expr(f"size(filter(borders, b -> b < {VALUE}))")).drop("borders"))
     along = Window.partitionBy(NAME).orderBy("bucket")

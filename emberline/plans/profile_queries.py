@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from emberline import schema as S
 from emberline.functions.storage import materialize
 from emberline.operators import churn, models, profiling, retention
+from emberline.operators.quantiles import nan_counts
 from emberline.plans.oracle import per_column, with_reviews
 from emberline.plans.registry import Query, rounded
 from emberline.plans.review_queries import ALL, COLS, N, _on_reviews, _rounded_on_reviews
@@ -86,6 +87,8 @@ QUERIES = {
     "prof_quantiles": Query(_rounded_on_reviews(lambda df: profiling.quantile_table(df, N)), with_reviews("\nUNION ALL ".join(
         per_column(N, f"SELECT '{{c}}' AS column_name, {q}::DOUBLE AS q, ROUND(QUANTILE_CONT({{c}}::DOUBLE, {q}), 6) AS quantile FROM reviews")
         for q in profiling.QUANTILES))),
+    "prof_nan_counts": Query(_on_reviews(lambda df: nan_counts(df, N)), with_reviews(per_column(
+        N, "SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE isnan({c}::DOUBLE)) AS nan_count FROM reviews"))),
     "prof_skewness": Query(_rounded_on_reviews(lambda df: profiling.skewness(df, N), 5), with_reviews(
         "SELECT column_name, ROUND(m3 / POWER(m2, 1.5), 5) AS skewness, ABS(m3 / POWER(m2, 1.5)) > 20 AS highly_skewed FROM ("
         "SELECT column_name, SUM(value_count * POWER(value - mean, 2)) / SUM(value_count) AS m2, "

@@ -28,7 +28,7 @@ sample_n_rows split_report churn_snapshot_train churn_snapshot_val churn_snapsho
 feat_full clean_full clean_step_counts prof_quantiles prof_skewness prof_histogram prof_boxplot prof_categories
 prof_imbalance prof_extremes prof_pearson prof_spearman prof_nullity_corr prof_duplicates prof_text_lengths
 prof_interactions prof_rejects ml_logreg ml_rf ml_gbt ml_metrics ml_error_slices ml_pca ml_threshold_sweep
-retention_curve ml_als ml_als_held_out src_csv_reviews ingest_reviews scalar_showcase games_load_csv
+retention_curve ml_als ml_als_held_out src_csv_reviews ingest_reviews scalar_showcase games_load_csv prof_nan_counts
 """.split()
 ROWS_ONLY = {"split_cutoffs_approx", "ml_logreg", "ml_rf", "ml_gbt", "ml_pca", "ml_als"}
 #: What was wrong once or is intricate, and every third of the rest.

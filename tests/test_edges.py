@@ -139,3 +139,12 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             storage.shared_folder(Session(master))
     assert storage.shared_folder(Session("local[2]")) == storage.shared_folder(Session("local[2]"))
+
+
+def test_ranks_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    df = spark.range(3000).select((F.pmod(F.xxhash64("id"), F.lit(700))).cast("double").alias("a"), F.lit(7.0).alias("b"))
+    counts = quantiles.value_counts(df, ["a", "b"])
+    one = sorted(map(tuple, quantiles.ranked_values(counts).collect()))
+    monkeypatch.setattr(quantiles, "SPLIT_VALUES", 20)
+    many = sorted(map(tuple, quantiles.ranked_values(counts).collect()))
+    assert one == many and [r[3] for r in many if r[0] == "a"][0] == 0 and max(r[4] for r in many) == 3000
