@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline.functions.storage import materialize
@@ -135,9 +135,16 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def word_table(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(word, ids) of the commonest words, TABLE_WORDS at most."""
-    top = (words.filter(F.length("word") <= TABLE_CHARS).orderBy(F.desc("n"), "word").limit(TABLE_WORDS)
-           .select("word").repartition(words.sparkSession.sparkContext.defaultParallelism * 2))
+    """(word, ids) of the commonest words, TABLE_WORDS at most: all that are as frequent as a count that fits.
+
+    The count comes from the number of words of each frequency, which are few, so that no words are sorted.
+    """
+    words = materialize(words.filter(F.length("word") <= TABLE_CHARS), "bpe-counts")
+    held = words.groupBy("n").agg(F.count("*").alias("words")).withColumn(
+        "upto", F.sum("words").over(Window.partitionBy(F.lit(1)).orderBy(F.desc("n"))))
+    least = held.filter(F.col("upto") <= TABLE_WORDS).agg(F.min("n").alias("n")).first().n
+    top = (words.filter(F.col("n") >= least if least is not None else F.lit(False)).select("word")
+           .repartition(words.sparkSession.sparkContext.defaultParallelism * 2))
     return materialize(top.select("word", let(rank_map(ranks), lambda t: fold_ids(F.col("word"), t)).alias("ids")),
                        "bpe-words")
 
