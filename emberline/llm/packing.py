@@ -9,6 +9,7 @@ were rounds.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -43,12 +44,24 @@ BLANK = "\u0120"
 
 
 class ChunkEncoder:
-    """Token ids of whole texts as little-endian 32-bit bytes; each distinct chunk is encoded once."""
+    """Token ids of whole texts as little-endian 32-bit bytes; each distinct chunk is encoded once.
 
-    def __init__(self, path: str):
+    With ``added_tokens`` the ids are those of the plain library call: where the string of an added token stands, its
+    id, and the text between encoded for itself. Without, the strings of special tokens are ordinary text.
+    """
+
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()} if added_tokens else {}
+        if added_tokens:
+            odd = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+                   if t.lstrip or t.rstrip or t.single_word or (t.normalized and self.tokenizer.normalizer is not None)]
+            if odd:
+                raise ValueError(f"added tokens that don't match by their strings alone: {odd}")
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
+        self.tokenizer.encode_special_tokens = True  # what reaches the library holds none, or takes them for text
         vocabulary = self.tokenizer.get_vocab()
         self.starts_blank = np.zeros(max(vocabulary.values()) + 1, bool)
         self.starts_blank[[i for t, i in vocabulary.items() if t.startswith(BLANK)]] = True
@@ -95,20 +108,29 @@ class ChunkEncoder:
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.cut_added is None:
+            return self._encode(texts)
+        parts = [self.cut_added.split(t) for t in texts]  # text and added token in turn
+        between = iter(self._encode([t for part in parts for t in part[::2]]))
+        return [b"".join(next(between) if k % 2 == 0 else self.added[t].to_bytes(4, "little") for k, t in enumerate(part))
+                for part in parts]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [chunks(t) for t in texts]
         first = self._look_up(self.whole, [w for w, _ in cut], "")
         rest = self._look_up(self.after_blank, [r for _, r in cut], " ")
         return [b"".join(f + r) for f, r in zip(first, rest)]
 
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, added_tokens: bool = False) -> ChunkEncoder:
     """One per Python worker, so that its cache outlives a task."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    key = path, added_tokens
+    if key not in _encoders:
+        _encoders[key] = ChunkEncoder(*key)
+    return _encoders[key]
 
 
 def cut_lengths(total: int, length: int = LENGTH) -> list[int]:
@@ -117,10 +139,10 @@ def cut_lengths(total: int, length: int = LENGTH) -> list[int]:
     return ([first] if first else []) + [length] * (total // length)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, added_tokens: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every piece of every row of ``docs`` (doc_id, text)."""
     def make():
-        encode, end = encoder(tokenizer).encode, np.array([END_ID], "<u4").tobytes()
+        encode, end = encoder(tokenizer, added_tokens).encode, np.array([END_ID], "<u4").tobytes()
 
         def work(ids, texts):
             rows = []
@@ -200,13 +222,14 @@ def pack(items: DataFrame, capacity: int = LENGTH) -> DataFrame:
     return placed.withColumnRenamed("bin", "sequence_id")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, added_tokens: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of ``docs`` (doc_id, text).
 
     A document is its ids and the end id. NULL and empty texts are the end id alone; rows that repeat a doc_id
     are packed each, NULL ids like any; an empty table gives an empty result; other columns are ignored.
+    ``added_tokens``: strings of added tokens become these tokens, as the tokenizer does it when left at its defaults.
     """
-    pieces = materialize(token_pieces(docs, tokenizer).withColumn("item", F.monotonically_increasing_id()), "pieces")
+    pieces = materialize(token_pieces(docs, tokenizer, added_tokens).withColumn("item", F.monotonically_increasing_id()), "pieces")
     placed = pack(pieces.select("item", F.col("length").alias("size")))
     return pieces.join(placed, "item").select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -147,6 +147,17 @@ def test_chunks_and_encoder_equal_the_library():
         assert encoder.encode(part) == want
 
 
+def test_encoder_with_added_tokens_equals_the_library_at_its_defaults():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), packing.ChunkEncoder(path, added_tokens=True)
+    texts = odd_texts(4000, 14, seed=2) + ["", "a<|endoftext|>b", "<|endoftext|>", " <|endoftext|>  <|endoftext|><|endoftext|> x",
+                                           "a  <|endoftext|>\n b", "<|endoftext|", "<|<|endoftext|>endoftext|>"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want
+    assert encoder.encode(["a<|endoftext|>b"]) == [np.array([64, 50256, 65], "<u4").tobytes()]
+
+
 def test_cut_lengths():
     assert packing.cut_lengths(1) == [1] and packing.cut_lengths(1024) == [1024]
     assert packing.cut_lengths(1025) == [1, 1024] and packing.cut_lengths(3000) == [952, 1024, 1024]

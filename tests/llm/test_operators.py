@@ -191,6 +191,21 @@ def test_packing(messy, given):
     assert pack_documents(messy.limit(0), PATH_6).count() == 0
 
 
+def test_packing_query_and_stage_use_the_plain_library_call(spark, messy, monkeypatch):
+    from tokenizers import Tokenizer
+
+    from emberline.llm import queries
+    library = Tokenizer.from_file(PATH_6)
+    want = []
+    for r in messy.select("doc_id", "text").collect():
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
+        cuts = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+        want += [(r.doc_id, n, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    monkeypatch.setattr(queries, "read_table", lambda *_: messy)
+    for packed in (queries.op6_best_fit_packing(spark, SF), corpus_pipeline.pack(spark, messy, SF)):
+        assert rows_of(packed, "doc_id", "piece", "start", "length", "ids_crc32") == sorted(want, key=repr)
+
+
 def test_packing_in_many_rounds(spark, monkeypatch):
     from emberline.llm import packing
     monkeypatch.setattr(packing, "GROUP_ITEMS", 50)
