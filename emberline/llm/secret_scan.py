@@ -218,9 +218,20 @@ BASE_RULES = (
     SecretRule("hex", re.compile(r"[0-9a-f]+"), 0, 32),
 )
 
+#: From the header through everything up to the END line; where none follows before another BEGIN, over the fields and
+#: the lines of base64 behind it: whatever stands alone on its line, and long runs anywhere. Between them may stand
+#: white space, also written as escapes, and the marks of quotes, comments and joined strings.
+_KEY_END = r"----END [A-Z ]{0,40}PRIVATE KEY-----"
+_KEY_GAP = r"""(?:[\s>#*|"'`,;]|\\+[nrt]?|[+-](?=\s)|//(?=\s))*+"""
+_KEY_FIELD = r"[A-Z][A-Za-z0-9]*(?:-[A-Za-z0-9]+)+:[^\S\r\n]*[^\s\\]+"
+_KEY_LINE = r"""(?:[A-Za-z0-9+/]{24,}+={0,2}|[A-Za-z0-9+/]++={0,2}(?=[ \t"'`,;+]*(?:[\r\n\\]|\Z|-----)))"""
+_PRIVATE_KEY = (rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----"
+                rf"(?:[^-]*+(?:-(?!----BEGIN |{_KEY_END})[^-]*+)*+-{_KEY_END}"
+                rf"|(?:{_KEY_GAP}{_KEY_FIELD})*+(?:{_KEY_GAP}{_KEY_LINE})*+)")
+
 #: Formats that their issuers have published.
 MORE_RULES = (
-    SecretRule("private_key", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")),
+    SecretRule("private_key", re.compile(_PRIVATE_KEY)),
     SecretRule("github", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,255}")),
     SecretRule("slack", re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,250}")),
     SecretRule("google", re.compile(r"AIza[0-9A-Za-z_-]{35}")),
