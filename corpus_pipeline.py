@@ -29,7 +29,7 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each component of linked documents."""
+    """One row, of the smallest id, of each component of linked documents; see ``deduplicate`` for repeated ids and NULL."""
     return deduplicate(docs)
 
 

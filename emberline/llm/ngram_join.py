@@ -401,6 +401,18 @@ def ngram_components(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that link to one with a smaller doc_id; all columns stay as they are."""
-    others = ngram_components(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row left of each group of linked documents; all columns stay as they are.
+
+    That row has the smallest doc_id of the group (any id before NULL); of several rows with that id, one stays.
+    Rows are told apart by a number of their own, not by doc_id, so that repeated ids and NULL ids are documents
+    like any. A text without words, or NULL, links to nothing, and its row always stays.
+    """
+    row = "row"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = ngram_components(rows.select(F.col(row).alias("doc_id"), "text")).select(
+        F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+    best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row)))
+    kept = groups.join(rows.select(row, "doc_id"), row).groupBy("group").agg(best.alias("best")).select(f"best.{row}")
+    return rows.join(kept, row, "left_semi").select(*[f"`{c}`" for c in docs.columns])

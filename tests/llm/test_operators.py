@@ -319,6 +319,20 @@ def test_ngram_join(spark, messy, monkeypatch):
     assert ngram_components(docs.limit(0)).count() == 0
 
 
+def test_deduplicate_leaves_one_row_of_each_group(spark, messy):
+    left = deduplicate(messy)
+    assert left.columns == messy.columns
+    want = [(1, None), (2, ""), (3, "  \n\t "), (4, LONG), (5, "one two three four five six"), (None, None), (7, "a b"),
+            MESSY[11][:2], MESSY[12][:2], (5, "another text with the same id")]
+    assert rows_of(left, "doc_id", "text") == sorted(want, key=repr)
+    rows = [(3, "p q r s t"), (3, "u v w x y z"), (1, "P q r s t"), (None, "k l m n o"), (None, "k l m n O"), (None, "solo words stand here")]
+    table = spark.createDataFrame([(*r, "?", "?") for r in rows], "doc_id long, text string, row string, `a.b` string").repartition(3)
+    left = deduplicate(table)
+    assert left.columns == table.columns
+    got = [(i, t.lower()) for i, t in rows_of(left, "doc_id", "text")]
+    assert sorted(got, key=repr) == sorted([(1, "p q r s t"), (3, "u v w x y z"), (None, "k l m n o"), (None, "solo words stand here")], key=repr)
+
+
 def test_components_of_long_chains(spark):
     edges = spark.range(200).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v")).union(
         spark.range(300, 340).select(F.col("id").alias("u"), F.lit(340).alias("v")))
