@@ -8,6 +8,7 @@ spans. Each text is scanned where it lies: nothing is shuffled.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -99,31 +100,67 @@ class LicenseScanner:
     def seeds(self, padded: str) -> tuple[list[tuple[int, int]], dict[int, list[tuple[int, int]]]]:
         """Exact phrases as (place of the blank before, phrase), and per notice the windows to verify."""
         exact: list[tuple[int, int]] = []
-        windows: dict[int, list[tuple[int, int]]] = {}
+        begins: dict[int, set[int]] = {}  # where a notice would begin by its seeds
         for end, (size, uses) in self.automaton.iter(padded):
             for which, at in uses:
                 start = end + 1 - size
                 if which < 0:
                     exact.append((start, -1 - which))
                     continue
-                notice = self.notices[which]
-                low = max(0, start - at - notice.edits)
-                high = min(len(padded), start - at + len(notice.words) + notice.edits)
-                own = windows.setdefault(which, [])
-                if own and low <= own[-1][1]:
-                    own[-1] = (min(own[-1][0], low), max(own[-1][1], high))
+                begins.setdefault(which, set()).add(start - at)
+        windows: dict[int, list[tuple[int, int]]] = {}
+        for which, places in begins.items():
+            notice, runs = self.notices[which], []
+            for place in sorted(places):  # seeds of one copy differ by its edits; those of the next one lie further off
+                if runs and place - runs[-1][0] <= 2 * notice.edits:
+                    runs[-1][1] = place
                 else:
-                    own.append((low, high))
+                    runs.append([place, place])
+            windows[which] = [(max(0, first - notice.edits), min(len(padded), last + len(notice.words) + notice.edits))
+                              for first, last in runs]
         return exact, windows
 
+    def matches(self, which: int, padded: str, windows: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(edits, start, end) of matches of one notice that don't overlap, those with the fewest edits first.
+
+        A search tells the best match of its window only. What lies before and behind it, and what a match of another
+        window leaves over, is searched again, down to what is too short for a match.
+        """
+        least = len(self.notices[which].words) - self.notices[which].edits
+        taken: list[tuple[int, int, int]] = []
+        starts: list[int] = []  # of what is taken, in order, with the ends beside
+        ends: list[int] = []
+        while windows:
+            found = []
+            for low, high in set(windows):
+                m = self.patterns[which].search(padded, low, high)
+                if m:
+                    found.append((sum(m.fuzzy_counts), m.start(), m.end(), low, high))
+            windows = []
+            for edits, start, end, low, high in sorted(found):
+                at = bisect_right(starts, start)
+                if (at == 0 or ends[at - 1] <= start) and (at == len(starts) or starts[at] >= end):
+                    taken.append((edits, start, end))
+                    starts.insert(at, start)
+                    ends.insert(at, end)
+                windows.append((low, high))
+            free = []
+            for low, high in windows:
+                at = bisect_right(ends, low)
+                while at < len(starts) and starts[at] < high:
+                    free.append((low, starts[at]))
+                    low, at = max(low, ends[at]), at + 1
+                free.append((low, high))
+            windows = [(low, high) for low, high in free if high - low >= least]
+        return taken
+
     def notices_in(self, padded: str, windows: dict[int, list[tuple[int, int]]]) -> list[Found]:
         """Verified notices; of overlapping ones the most similar stays, then the longest, then the first."""
         found = []
         for which, places in windows.items():
             notice = self.notices[which]
-            for low, high in places:
-                for m in self.patterns[which].finditer(padded, low, high):
-                    found.append(Found(notice.label, m.start(), m.end(), sum(m.fuzzy_counts), len(notice.words)))
+            found += [Found(notice.label, start, end, edits, len(notice.words))
+                      for edits, start, end in self.matches(which, padded, places)]
         kept: list[Found] = []
         for one in sorted(found, key=lambda f: (-f.similarity, -f.length, f.start, f.label)):
             if all(one.end <= other.start or one.start >= other.end for other in kept):

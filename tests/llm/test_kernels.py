@@ -157,6 +157,26 @@ def test_license_edits_within_the_bound_are_always_found():
     assert scanner.scan("nothing of the kind stands here at all")[5:7] == ("", 0.0)
 
 
+def test_every_copy_of_stacked_notices_is_found():
+    r = random.Random(6)
+    scanner = license_scan.LicenseScanner()
+    two = " releasd into the public domain released into the public domain "
+    assert scanner.scan(two)[7] == "public-domain:0:5:1,public-domain:5:10:0"
+    for notice in license_scan.NOTICES:
+        for _ in range(8):
+            text, places = " ", []
+            for _ in range(r.randint(2, 12)):
+                s = list(notice.words)
+                for at in r.sample(range(3, len(s) - 3), r.randint(0, notice.edits)):
+                    s[at] = "7"
+                places.append((len(text), len(text) + len(s)))
+                text += "".join(s) + " " + r.choice(["", "q ", "qq ww ", "zzzz zzzz zzzz "])
+            which = license_scan.NOTICES.index(notice)
+            got = sorted((a, b) for _, a, b in scanner.matches(which, text, scanner.seeds(text)[1][which]))
+            assert all(p[1] <= q[0] for p, q in zip(got, got[1:]))
+            assert len(got) == len(places) and all(a < q and b > p for (a, b), (p, q) in zip(got, places)), (text, got)
+
+
 def test_chunks_and_encoder_equal_the_library():
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")
