@@ -144,10 +144,10 @@ class Block:
         return self.ids[rows], scores - offset
 
 
-def _deal(rows: DataFrame, name: str, size: int) -> DataFrame:
-    """Deal rows evenly into groups of about ``size``, whatever their keys and contents."""
+def _deal(rows: DataFrame, name: str, size: int, *by: Column | str) -> DataFrame:
+    """Deal rows into groups of about ``size`` by a hash of ``by``, which must come out the same if a task runs again."""
     n = max(1, -(-rows.count() // size))
-    return rows.withColumn(name, F.pmod(F.xxhash64(F.monotonically_increasing_id(), "vec_id"), F.lit(n)))
+    return rows.withColumn(name, F.pmod(F.xxhash64(*by), F.lit(n)))
 
 
 def block_index(vectors: DataFrame) -> DataFrame:
@@ -157,17 +157,19 @@ def block_index(vectors: DataFrame) -> DataFrame:
         return pa.table({"block": [table.column("block")[0].as_py()], "dims": pa.array([slices.shape[0]], pa.int32()),
                          "width": pa.array([width], pa.int32()), "ids": [ids.tobytes()], "slices": [slices.tobytes()]})
 
-    rows = _deal(vectors, "block", BLOCK_ROWS).withColumn("dims", F.size("v"))
+    # equal rows are dealt apart, by their places in the table as it was read
+    rows = _deal(vectors, "block", BLOCK_ROWS, F.monotonically_increasing_id(), "vec_id").withColumn("dims", F.size("v"))
     return rows.groupBy("block", "dims").applyInArrow(build, _INDEX)
 
 
 def query_packs(queries: DataFrame) -> DataFrame:
+    """Distinct queries in packs. They come out of a shuffle, whose order isn't fixed: dealt by what they hold alone."""
     def pack(table: pa.Table) -> pa.Table:
         ids, vectors = _matrix(table)
         return pa.table({"pack": [table.column("pack")[0].as_py()], "dims": pa.array([vectors.shape[1]], pa.int32()),
                          "ids": [ids.tobytes()], "vectors": [vectors.tobytes()]})
 
-    rows = _deal(queries, "pack", PACK_ROWS).withColumn("dims", F.size("v"))
+    rows = _deal(queries, "pack", PACK_ROWS, "vec_id", "v").withColumn("dims", F.size("v"))
     return rows.groupBy("pack", "dims").applyInArrow(pack, _PACK)
 
 

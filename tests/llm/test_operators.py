@@ -356,6 +356,14 @@ def test_topk(spark):
     assert top_k(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_queries_are_dealt_the_same_whatever_their_order(spark):
+    from emberline.llm.topk_search import query_packs
+    queries = spark.range(600).select(F.col("id").alias("vec_id"), F.array(F.col("id") % 7, F.lit(3).cast("long")).alias("v"))
+    packs = [{(r.pack, i) for r in query_packs(q).collect() for i in np.frombuffer(r.ids, np.int64).tolist()}
+             for q in (queries.repartition(3), queries.orderBy(F.desc("vec_id")))]
+    assert packs[0] == packs[1] and len(packs[0]) == 600
+
+
 def test_pipeline_stages(spark, given, labels):
     """Each stage's decision is the operator's own on the stage's input; nothing else changes."""
     columns, docs = given.columns, given
