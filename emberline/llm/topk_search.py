@@ -27,20 +27,28 @@ SCALE = 64
 QUERY_STEP = 20
 K = 20
 
-#: Components beyond this can't give exact 64-bit products; their vectors take no part.
-MAX_COMPONENT = 1 << 26
+#: Vectors with a component beyond this are indexed apart, in smaller groups, so that they don't widen the others' slices.
+WIDE = 1 << 20
+WIDE_GROUPS = 4
 
 _INDEX = "block long, dims int, width int, ids binary, slices binary"
 _PACK = "pack long, dims int, ids binary, vectors binary"
 
 
 def integer_vectors(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, v array<long>): floor(64 x) of each component; rows that can't take part are left out."""
+    """(vec_id, v array<long>): floor(64 x) of each component; rows that can't take part are left out.
+
+    A finite component whose floor(64 x) is no 64-bit number is an error, as in the contract.
+    """
+    def scaled(c: Column) -> Column:
+        y = c.cast("double") * SCALE
+        return F.when((y >= -(2.0 ** 63)) & (y < 2.0 ** 63), F.floor(y)).otherwise(
+            F.raise_error(F.lit("a component of embedding is too large for 64 bits")).cast("long"))
+
     x = F.col("embedding")
-    values = F.transform(x, lambda c: F.floor(c.cast("double") * SCALE))
-    fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < MAX_COMPONENT / SCALE))
-    return embeddings.filter(F.col("vec_id").isNotNull() & x.isNotNull() & F.coalesce(fine, F.lit(False))).select(
-        "vec_id", values.alias("v"))
+    fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < float("inf")))
+    takes_part = F.col("vec_id").isNotNull() & x.isNotNull() & F.coalesce(fine, F.lit(False))
+    return embeddings.select("vec_id", F.when(takes_part, F.transform(x, scaled)).alias("v")).filter("v IS NOT NULL")
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -53,13 +61,13 @@ def build_slices(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, int,
     """Ids in order, bits per component, and slices (component, bit, word) of the components + 2^(bits - 1)."""
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
-    top = int(max(vectors.max(initial=0), -vectors.min(initial=0) - 1))
+    top = max(int(vectors.max(initial=0)), -int(vectors.min(initial=0)) - 1)
     width = top.bit_length() + 1
-    shifted = vectors + (1 << (width - 1))
+    shifted = vectors.astype(np.int64).view(np.uint64) + np.uint64(1 << (width - 1))  # modulo 2^64, of which width bits count
     words = (len(ids) + 63) // 64
     slices = np.zeros((vectors.shape[1], width, words * 8), np.uint8)
     for b in range(width):
-        bits = np.packbits(((shifted >> b) & 1).astype(np.uint8).T, axis=1, bitorder="little")
+        bits = np.packbits(((shifted >> np.uint64(b)) & np.uint64(1)).astype(np.uint8).T, axis=1, bitorder="little")
         slices[:, b, :bits.shape[1]] = bits
     return ids, width, slices.view(np.uint64)
 
@@ -122,12 +130,16 @@ class Block:
         self.valid[:len(ids)] = 1
 
     def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(vec_ids, scores) of the block's k best rows, the query's own vec_id left out."""
+        """(vec_ids, scores) of the block's k best rows, the query's own vec_id left out.
+
+        Scores are exact: Python integers where 64 bits might not hold what is added up.
+        """
         width, half = self.width, self.dims * self.width
         at: dict[int, list[np.ndarray]] = {}
-        size, low = np.abs(q), np.arange(self.dims) * width + (q < 0) * half
+        bits = q.astype(np.int64).view(np.uint64)
+        size, low = np.where(q < 0, np.uint64(0) - bits, bits), np.arange(self.dims) * width + (q < 0) * half
         for c in range(int(size.max(initial=0)).bit_length()):
-            rows = low[(size >> c) & 1 == 1]
+            rows = low[(size >> np.uint64(c)) & np.uint64(1) == 1]
             for b in range(width):
                 at.setdefault(b + c, []).append(rows + b)
         sums = add_slices({w: self.slices[np.concatenate(i)] for w, i in at.items() if sum(map(len, i))})
@@ -137,11 +149,28 @@ class Block:
             valid = valid.copy()
             valid[first:last] = 0
         rows = best_rows(sums, np.packbits(valid, bitorder="little").view(np.uint64), k)
-        scores = np.zeros(len(rows), np.int64)
-        for w, s in enumerate(sums):
-            scores += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << w
-        offset = (1 << (width - 1)) * int(q.sum()) + ((1 << width) - 1) * int(size[q < 0].sum())
-        return self.ids[rows], scores - offset
+        held = [(s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1) for s in sums]
+        offset = (1 << (width - 1)) * sum(q.tolist()) + ((1 << width) - 1) * sum(size[q < 0].tolist())
+        if len(sums) < 62 and abs(offset) < 1 << 62:
+            scores = np.zeros(len(rows), np.int64)
+            for w, bit in enumerate(held):
+                scores += bit.astype(np.int64) << w
+            return self.ids[rows], scores - offset
+        exact = [sum(int(bit[r]) << w for w, bit in enumerate(held)) - offset for r in range(len(rows))]
+        return self.ids[rows], np.array(exact, object)
+
+
+def as_longs(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores as 64-bit numbers, and which of them those can hold.
+
+    A score that is too large is among the best of its query whatever else comes, and an error at once. One that is too
+    small may yet be left out by the other blocks: it becomes the smallest number.
+    """
+    if scores.dtype != object:
+        return scores, np.ones(len(scores), bool)
+    if any(s >= 1 << 63 for s in scores):
+        raise OverflowError("a score is too large for 64 bits")
+    return (np.array([max(s, -1 << 63) for s in scores], np.int64), np.array([s >= -1 << 63 for s in scores], bool))
 
 
 def _deal(rows: DataFrame, name: str, size: int, *by: Column | str) -> DataFrame:
@@ -151,7 +180,7 @@ def _deal(rows: DataFrame, name: str, size: int, *by: Column | str) -> DataFrame
 
 
 def block_index(vectors: DataFrame) -> DataFrame:
-    """One row per block and dimension: the ids of its rows and their slices."""
+    """One row per block, dimension and part (wide vectors have their own): the ids of its rows and their slices."""
     def build(table: pa.Table) -> pa.Table:
         ids, width, slices = build_slices(*_matrix(table))
         return pa.table({"block": [table.column("block")[0].as_py()], "dims": pa.array([slices.shape[0]], pa.int32()),
@@ -159,7 +188,9 @@ def block_index(vectors: DataFrame) -> DataFrame:
 
     # equal rows are dealt apart, by their places in the table as it was read
     rows = _deal(vectors, "block", BLOCK_ROWS, F.monotonically_increasing_id(), "vec_id").withColumn("dims", F.size("v"))
-    return rows.groupBy("block", "dims").applyInArrow(build, _INDEX)
+    wide = F.exists("v", lambda c: (c >= WIDE) | (c < -WIDE))
+    rows = rows.withColumn("part", F.when(wide, 1 + F.pmod(F.xxhash64("vec_id", "v"), F.lit(WIDE_GROUPS))).otherwise(0))
+    return rows.groupBy("block", "dims", "part").applyInArrow(build, _INDEX)
 
 
 def query_packs(queries: DataFrame) -> DataFrame:
@@ -177,7 +208,8 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k best other rows for each row where ``is_query`` holds.
 
     ``embeddings`` has vec_id and embedding. Rows with a NULL vec_id, a NULL vector, a NULL, NaN or infinite
-    component, or one of 2^20 and more, take no part. A query meets vectors of its own length only, and never a
+    component take no part. Components of any size do; a score of the result that 64 bits can't hold is an error,
+    as is a finite component whose floor(64 x) they can't. A query meets vectors of its own length only, and never a
     row with its own vec_id. Ties go to the smaller vec_id. Repeated rows are candidates each; as queries, rows
     that are equal in every respect count once, and rows with one vec_id and several vectors are ranked apart.
     An empty table gives an empty result; other columns are ignored.
@@ -192,24 +224,32 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         "block", "dims", "width", "ids", "slices", "query_ids", "vectors")
 
     def search(batches):
-        known: tuple | None = None
+        known: dict[bytes, Block] = {}  # the parts of one block
+        at = None
         for batch in batches:
             for row in batch.to_pylist():
                 dims = row["dims"]
-                if known is None or known[0] != (row["block"], dims):
+                if at != (row["block"], dims):
+                    known, at = {}, (row["block"], dims)
+                if row["ids"] not in known:
                     ids = np.frombuffer(row["ids"], np.int64)
                     slices = np.frombuffer(row["slices"], np.uint64).reshape(dims, row["width"], (len(ids) + 63) // 64)
-                    known = ((row["block"], dims), Block(ids, row["width"], slices))
+                    known[row["ids"]] = Block(ids, row["width"], slices)
+                block = known[row["ids"]]
                 query_ids = np.frombuffer(row["query_ids"], np.int64)
                 queries = np.frombuffer(row["vectors"], np.int64).reshape(len(query_ids), dims)
-                found = [known[1].search(int(i), q, k) for i, q in zip(query_ids, queries)]
+                found = [block.search(int(i), q, k) for i, q in zip(query_ids, queries)]
                 each = [len(f[0]) for f in found]
+                longs = [as_longs(f[1]) for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(query_ids, each)), pa.array(np.repeat([zlib.crc32(q.tobytes()) for q in queries], each), pa.int64()),
-                     pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))],
-                    ["query_id", "variant", "vec_id", "score"])
-
-    found = pairs.mapInArrow(search, "query_id long, variant long, vec_id long, score long")
-    order = Window.partitionBy("query_id", "variant").orderBy(F.desc("score"), "vec_id")
+                     pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([s for s, _ in longs])),
+                     pa.array(np.concatenate([fits for _, fits in longs]))],
+                    ["query_id", "variant", "vec_id", "score", "fits"])
+
+    found = pairs.mapInArrow(search, "query_id long, variant long, vec_id long, score long, fits boolean")
+    order = Window.partitionBy("query_id", "variant").orderBy(F.desc("score"), F.desc("fits"), "vec_id")
+    score = F.when(F.col("fits"), F.col("score")).otherwise(
+        F.raise_error(F.lit("a score is too small for 64 bits")).cast("long"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+        "query_id", "rank", "vec_id", score.alias("score"))

@@ -264,6 +264,22 @@ def test_bit_slices_rank_like_products(dims, top, rows):
         assert sorted((-int(s), int(i)) for i, s in zip(got_ids, got_scores)) == want
 
 
+@pytest.mark.parametrize("top", [1 << 26, 1 << 31, (1 << 62) + 5, (1 << 63) - 1])
+def test_bit_slices_are_exact_for_wide_components(top):
+    r = np.random.default_rng(top % 97)
+    vectors = r.integers(-top - 1, top, (70, 5), endpoint=True)
+    vectors[3] = [-top - 1, top, 0, -1, 1]
+    block = topk_search.Block(*topk_search.build_slices(np.arange(70), vectors))
+    for q_id, q in [(3, vectors[3]), (-1, np.array([1, 0, -1, 0, 0])), (9, vectors[9])]:
+        scores = [sum(a * b for a, b in zip(v, q.tolist())) for v in vectors.tolist()]
+        want = sorted((-s, i) for i, s in enumerate(scores) if i != q_id)[:20]
+        got_ids, got_scores = block.search(q_id, q, 20)
+        assert sorted((-int(s), int(i)) for i, s in zip(got_ids, got_scores)) == want
+    with pytest.raises(OverflowError):
+        topk_search.as_longs(np.array([1 << 63], object))
+    assert [x.tolist() for x in topk_search.as_longs(np.array([-5, -1 << 70], object))] == [[-5, -1 << 63], [True, False]]
+
+
 def test_warc_records_and_ranges():
     payload = "<p>é\r\n\r\nWARC/1.1</p>".encode()
     digest = __import__("base64").b32encode(__import__("hashlib").sha1(payload).digest()).decode()

@@ -356,6 +356,17 @@ def test_topk(spark):
     assert top_k(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_keeps_large_components(spark):
+    rows = [(i, [float(i % 5), 1.0]) for i in range(30)] + [(40, [2.0 ** 22, -1.0]), (41, [-(2.0 ** 30), 0.5]), (60, [3.0, 2.0 ** 21])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q, x in [w for w in whole if w[0] % 20 == 0]:
+        best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in whole if i != q)[:20]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert rows_of(top_k(table, F.col("vec_id") % 20 == 0), "*") == sorted(want, key=repr)
+
+
 def test_queries_are_dealt_the_same_whatever_their_order(spark):
     from emberline.llm.topk_search import query_packs
     queries = spark.range(600).select(F.col("id").alias("vec_id"), F.array(F.col("id") % 7, F.lit(3).cast("long")).alias("v"))
