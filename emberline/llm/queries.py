@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.llm.bpe import encoded_digests
 from emberline.llm.common import read_table
 from emberline.llm.license_scan import scan_licenses
+from emberline.llm.merkle import manifest
 from emberline.llm.ngram_join import ngram_components
+from emberline.llm.oracles import merkle_sql, mix_sql, trie_sql
 from emberline.llm.packing import pack_documents
+from emberline.llm.prefix_trie import prefix_trie
 from emberline.llm.quality_classifier import quality_classifier
 from emberline.llm.quality_rules import quality_rules
 from emberline.llm.secret_scan import scan_secrets
+from emberline.llm.source_mix import mix_sources
 from emberline.llm.topk_search import QUERY_STEP, top_k
 from emberline.llm.url_filter import TERMS, filter_urls
 from emberline.llm.warc import read_records, write_archives
@@ -139,6 +143,27 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scores QUALIFY rank <= 20"""
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+#: Fixed values of the result contracts of op12 and op13.
+_GROUP, _LOAN, _TAMPER = 20, 4, 3
+
+
+def _crc32(column: str) -> Column:
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"), _GROUP, _crc32("conv_id") % _LOAN, _LOAN - 1)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(read_table(spark, sf_dir, "documents"), _crc32("doc_id") % _TAMPER == 0)
+
+
 #: Those without SQL are tested against brute force, round trips or held-out rows in tests/llm.
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": Query(op1_quality_rules, None),
@@ -151,5 +176,8 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": Query(op8_byte_bpe, None),
     "op9_ngram_join": Query(op9_ngram_join, _OP9_SQL),
     "op10_exact_topk": Query(op10_exact_topk, _OP10_SQL),
+    "op11_source_mix": Query(op11_source_mix, mix_sql()),
+    "op12_prefix_trie": Query(op12_prefix_trie, trie_sql()),
+    "op13_merkle_manifest": Query(op13_merkle_manifest, merkle_sql()),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
