@@ -1,14 +1,13 @@
 """Byte-level BPE by Spark's higher-order functions.
 
-The rank map is a literal, from a token's bytes to its id, which is its rank. A word's ids are a fold over the array
-of its bytes: as often as the word has bytes, the adjacent pair whose bytes together have the lowest rank is merged.
-Words are the matches of the pre-tokenizing pattern.
-
-Each distinct word needs to be folded once. The words of all documents are counted, and the commonest ones, a table
-of bounded size however large the corpus, are folded by Spark; the table goes to the tasks that write the documents'
-ids down. No word is joined back, and texts aren't shuffled. The rarer words are folded in those tasks by the same
-merges in Python: as higher-order functions over each row they took twice the CPU seconds that the check allows
-(README). Decoding looks up each id's bytes in a literal and concatenates them.
+The rank map is a literal: from two adjacent tokens to the id, which is the rank, of the token that they make up. A
+word's ids are a fold over the array of its bytes: as often as the word has bytes, the adjacent pair of the lowest rank
+is merged. Words are the matches of the pre-tokenizing pattern.
+
+Each distinct word is folded once, however rare. A first pass over the documents numbers the words of each shard (a
+part of an input partition with a bounded number of words) and writes the documents down as numbers. The shards' words
+are dealt by a hash into buckets, in which the distinct ones are folded; their ids go back to the shards, where numbers
+become ids. Texts are read once and never shuffled. Decoding looks up each id's bytes in a literal and concatenates them.
 """
 
 from __future__ import annotations
@@ -16,29 +15,32 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberline.functions.storage import materialize
-from emberline.llm.common import SLICE_ROWS
+from emberline.llm.common import SLICE_ROWS, arrow_schema
 from emberline.llm.text_chunks import chunks
 
-#: Words in the table, and the longest ones it takes.
-TABLE_WORDS = 1 << 18
-TABLE_CHARS = 48
-#: A fold's work grows with the square of a word's length: longer words go to the library, whose merges don't.
-FOLD_CHARS = 128
-#: Counters and caches of a task are emptied at this size.
-TASK_WORDS = 500_000
+#: A fold's work grows with the square of a word's length: longer words (in bytes) go to the library, whose merges don't.
+FOLD_BYTES = 128
+#: A shard ends with the slice of rows that takes it beyond so many distinct words, or words in all.
+SHARD_WORDS = 500_000
+SHARD_TOKENS = 4_000_000
+#: A shard's words are packed into a row per bucket. There are four buckets for each shuffle partition, within these bounds.
+BUCKETS = (256, 65_536)
 
-_BUCKETS = 1 << 16
 _NONE = 1 << 30
+_BITS = 21
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,182 +53,305 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The literal: buckets (by crc32) of small maps from a token's bytes, as hex digits, to its rank."""
-    buckets: list[dict[str, int]] = [{} for _ in range(_BUCKETS)]
-    for token, rank in ranks.items():
-        digits = token.hex().upper()
-        buckets[zlib.crc32(digits.encode()) % _BUCKETS][digits] = rank
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
+# ---- the rank map
+
+#: Factors of the two hashes of a pair.
+_HASHES = ((40503, 2654435), (15485863, 96557))
+
+
+def _slots(a: int, b: int, size: int) -> list[int]:
+    return [(a * p + b * q) % size for p, q in _HASHES]
+
+
+def pair_slots(ranks: dict[bytes, int]) -> list[int]:
+    """A cuckoo table: each pair of tokens that make up a token stands in one of its two slots, with that token's rank."""
+    entries = [(ranks[t[:i]], ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t))
+               if t[:i] in ranks and t[i:] in ranks]
+    size = 5 * len(entries) // 2 + 7
+    while True:
+        table: list[tuple | None] = [None] * size
+        for entry in entries:
+            slot = _slots(*entry[:2], size)[0]
+            for _ in range(500):
+                entry, table[slot] = table[slot], entry
+                if entry is None:
+                    break
+                first, second = _slots(*entry[:2], size)
+                slot = second if slot == first else first
+            else:
+                break
+        else:
+            return [-1 if e is None else (e[0] << 2 * _BITS) + (e[1] << _BITS) + e[2] for e in table]
+        size += size // 7 + 1
+
+
+def rank_map(ranks: dict[bytes, int]) -> tuple[Column, int]:
+    """The literal and its size."""
+    slots = pair_slots(ranks)
+    return F.from_json(F.lit(json.dumps(slots, separators=(",", ":"))), "array<bigint>"), len(slots)
 
 
-def _rank(table: Column, digits: Column) -> Column:
-    """NULL for bytes that are no token."""
-    bucket = (F.crc32(digits.cast("binary")) % _BUCKETS).cast("int") + 1
-    return F.try_element_at(F.element_at(table, bucket), digits)
+def byte_ids(word: Column, ranks: dict[bytes, int]) -> Column:
+    """The ids of a word's single bytes."""
+    ids = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<bigint>")
+    digits = F.regexp_extract_all(F.hex(word.cast("binary")), F.lit(".."), F.lit(0))
+    return let(ids, lambda t: F.transform(digits, lambda d: F.element_at(t, F.conv(d, 16, 10).cast("int") + 1)))
 
 
-def fold_ids(word: Column, table: Column) -> Column:
-    """The ids (array<int>) of one word that isn't NULL: its rank if it is a token, else its bytes merged by rank.
+def fold_ids(single: Column, table: Column, size: int) -> Column:
+    """The ids (array<bigint>) that the ids of single bytes merge to.
 
-    Pieces are hex digits of bytes. A turn finds the ranks of all adjacent pairs and merges the first pair of the
-    lowest one; there are as many turns as the word has bytes, and those after the last merge cost nothing.
+    The state has the pieces, between two borders that no pair holds, and the rank of each adjacent pair. A turn
+    replaces the first pair of the lowest rank by the token of that rank and looks up its two new pairs. There are as
+    many turns as pairs, and those after the last merge cost nothing.
     """
-    digits = F.hex(word.cast("binary"))
+    def rank(a: Column, b: Column) -> Column:
+        one, two = (F.element_at(table, (F.pmod(a * p + b * q, F.lit(size)) + 1).cast("int")) for p, q in _HASHES)
+        key = a * (1 << _BITS) + b
+        return F.when(F.shiftright(one, _BITS) == key, one.bitwiseAND((1 << _BITS) - 1)).when(
+            F.shiftright(two, _BITS) == key, two.bitwiseAND((1 << _BITS) - 1)).otherwise(F.lit(_NONE).cast("long"))
 
-    def merged(pieces: Column, at: Column) -> Column:
-        pair = F.concat(F.element_at(pieces, at), F.element_at(pieces, at + 1))
-        return F.concat(F.slice(pieces, F.lit(1), at - 1), F.array(pair), F.slice(pieces, at + 2, F.size(pieces)))
+    border = F.array(F.lit(-2).cast("long"))  # with -1, the pair of it and 0 would look like an empty slot
 
     def turn(state: Column, _: Column) -> Column:
-        pieces, n = state["pieces"], F.size(state["pieces"])
-        ended = F.struct(pieces.alias("pieces"), F.lit(False).alias("open"))
-        ranks = F.zip_with(F.slice(pieces, F.lit(1), n - 1), F.slice(pieces, F.lit(2), n),
-                           lambda a, b: F.coalesce(_rank(table, F.concat(a, b)), F.lit(_NONE)))
-        return F.when(state["open"] & (n > 1), let(ranks, lambda r: let(F.array_min(r), lambda best: F.when(
-            best < _NONE, let(F.array_position(r, best).cast("int"), lambda at: F.struct(
-                merged(pieces, at).alias("pieces"), F.lit(True).alias("open")))).otherwise(ended)))).otherwise(ended)
+        pieces, ranks = state["pieces"], state["ranks"]
+
+        def merged(best: Column) -> Column:
+            def at_place(at: Column) -> Column:  # the pair of pieces at and at + 1
+                left = F.element_at(pieces, at - 1)
+                right = F.element_at(pieces, at + 2)
+                return F.struct(
+                    F.concat(F.slice(pieces, F.lit(1), at - 1), F.array(best), F.slice(pieces, at + 2, F.size(pieces))).alias("pieces"),
+                    F.concat(F.slice(ranks, F.lit(1), at - 2), F.array(rank(left, best), rank(best, right)),
+                             F.slice(ranks, at + 2, F.size(ranks))).alias("ranks"))
+
+            return F.when(best < _NONE, let(F.array_position(ranks, best).cast("int"), at_place)).otherwise(
+                F.struct(pieces.alias("pieces"), F.array().cast("array<bigint>").alias("ranks")))
+
+        return F.when(F.size(ranks) > 0, let(F.array_min(ranks), merged)).otherwise(state)
+
+    pieces = F.concat(border, single, border)
+    start = let(pieces, lambda p: F.struct(p.alias("pieces"), F.zip_with(
+        F.slice(p, F.lit(1), F.size(p) - 1), F.slice(p, F.lit(2), F.size(p)), rank).alias("ranks")))
+    turns = F.sequence(F.lit(1), F.greatest(F.size(single) - 1, F.lit(1)))
+    ended = F.aggregate(turns, start, turn)["pieces"]
+    return F.slice(ended, F.lit(2), F.size(ended) - 2)
+
+
+# ---- shards of numbered words
+
+_ROWS = "shard long, doc_id long, numbers array<int>, bucket int, words array<string>"
 
-    start = F.struct(F.regexp_extract_all(digits, F.lit(".."), F.lit(0)).alias("pieces"), F.lit(True).alias("open"))
-    turns = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-    pieces = F.aggregate(turns, start, turn)["pieces"]
-    return let(_rank(table, digits), lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(
-        F.transform(pieces, lambda p: _rank(table, p))))
 
+_DISTINCT = ("words array<string>, given_lengths array<int>, given_ids array<int>, shards array<long>, "
+             "sizes array<int>, numbers array<int>, places array<int>")
+_BACK = "shard long, numbers array<int>, lengths array<int>, ids array<int>"
+_RESULT = "doc_id long, ids array<int>, data binary"
+
+
+def _schema(text: str) -> pa.Schema:
+    return arrow_schema(T._parse_datatype_string(text))
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *parts]).astype(np.int32)))
 
-# ---- words of the corpus
 
 def _splitter() -> Callable[[str], list[str]]:
     import public_tokenizers
     return regex.compile(public_tokenizers.PATTERN).findall
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word, n): how often the documents hold each match of the pattern. Each task counts before the shuffle."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = _splitter(), Counter()
-
-        def counted() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for (blank, chunk), n in seen.items():
-                for word in split(" " + chunk if blank else chunk):
-                    words[word] += n
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())],
-                                              ["word", "n"])
-
-        plain: Counter = Counter()
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                for text in batch.column(0).slice(start, SLICE_ROWS).to_pylist():
-                    whole, after_blank = chunks(text or "")
-                    for chunk in whole:
-                        seen[False, chunk] += 1
-                    plain.update(after_blank)
-                if len(plain) + len(seen) > TASK_WORDS:
-                    seen.update({(True, chunk): n for chunk, n in plain.items()})
-                    plain.clear()
-                    yield counted()
-        seen.update({(True, chunk): n for chunk, n in plain.items()})
-        if seen:
-            yield counted()
-
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def word_table(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(word, ids) of the commonest words, TABLE_WORDS at most: all that are as frequent as a count that fits.
-
-    The count comes from the number of words of each frequency, which are few, so that no words are sorted.
-    """
-    words = materialize(words.filter(F.length("word") <= TABLE_CHARS), "bpe-counts")
-    held = words.groupBy("n").agg(F.count("*").alias("words")).withColumn(
-        "upto", F.sum("words").over(Window.partitionBy(F.lit(1)).orderBy(F.desc("n"))))
-    least = held.filter(F.col("upto") <= TABLE_WORDS).agg(F.min("n").alias("n")).first().n
-    top = (words.filter(F.col("n") >= least if least is not None else F.lit(False)).select("word")
-           .repartition(words.sparkSession.sparkContext.defaultParallelism * 2))
-    return materialize(top.select("word", let(rank_map(ranks), lambda t: fold_ids(F.col("word"), t)).alias("ids")),
-                       "bpe-words")
-
+class Shard:
+    """Numbers of the words of some texts, in the order in which they are first met."""
 
-# ---- documents
+    def __init__(self, split: Callable[[str], list[str]]):
+        self.split, self.tokens = split, 0
+        self.words: dict[str, int] = {}
+        self.whole: dict[str, tuple[int, ...]] = {}
+        self.after_blank: dict[str, tuple[int, ...]] = {}
 
-def fold_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """What fold_ids gives, for one word."""
-    if word in ranks:
-        return [ranks[word]]
-    pieces = [word[i:i + 1] for i in range(len(word))]
-    while len(pieces) > 1:
-        pairs = [ranks.get(a + b, _NONE) for a, b in zip(pieces, pieces[1:])]
-        best = min(pairs)
-        if best == _NONE:
-            break
-        at = pairs.index(best)
-        pieces[at:at + 2] = [pieces[at] + pieces[at + 1]]
-    return [ranks[p] for p in pieces]
-
-
-class WordEncoder:
-    """Ids of whole texts as little-endian 32-bit bytes, from a table of words; other words are folded once a task."""
-
-    def __init__(self, ids_of: dict[str, bytes], path: str):
-        import public_tokenizers
-        import tiktoken
-        self.ids_of, self.ranks, self.split = ids_of, read_ranks(path), _splitter()
-        self.library = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks,
-                                         special_tokens={})
-        self.whole: dict[str, bytes] = {}
-        self.after_blank: dict[str, bytes] = {}
-
-    def word(self, word: str) -> bytes:
-        if word in self.ids_of:
-            return self.ids_of[word]
-        long = len(word) > FOLD_CHARS
-        ids = self.library.encode_ordinary(word) if long else fold_bytes(word.encode("utf-8"), self.ranks)
-        return np.array(ids, "<i4").tobytes()
-
-    def _look_up(self, known: dict[str, bytes], part: list[str], before: str) -> list[bytes]:
+    def _known(self, known: dict[str, tuple[int, ...]], part: list[str], before: str) -> Iterator[int]:
         found = list(map(known.get, part))
         at = -1
         for _ in range(found.count(None)):
             at = found.index(None, at + 1)
-            chunk = part[at]
-            found[at] = b"".join(map(self.word, self.split(before + chunk)))
-            if len(chunk) <= TABLE_CHARS:
-                if len(known) > TASK_WORDS:
-                    known.clear()
-                known[chunk] = found[at]
-        return found
+            found[at] = known[part[at]] = tuple(self.words.setdefault(w, len(self.words)) for w in self.split(before + part[at]))
+        return chain.from_iterable(found)
 
-    def encode(self, text: str) -> bytes:
+    def numbers(self, text: str) -> np.ndarray:
         first, rest = chunks(text)
-        return b"".join(self._look_up(self.whole, first, "") + self._look_up(self.after_blank, rest, " "))
+        found = np.fromiter(chain(self._known(self.whole, first, ""), self._known(self.after_blank, rest, " ")), np.int32)
+        self.tokens += len(found)
+        return found
 
+    def packed(self, buckets: int) -> Iterator[tuple[int, np.ndarray, list[str]]]:
+        """(bucket, numbers, words)."""
+        found: dict[int, tuple[list[int], list[str]]] = defaultdict(lambda: ([], []))
+        for word, number in self.words.items():
+            numbers, words = found[zlib.crc32(word.encode("utf-8")) % buckets]
+            numbers.append(number)
+            words.append(word)
+        for bucket, (numbers, words) in found.items():
+            yield bucket, np.array(numbers, np.int32), words
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, data) for every row of ``docs`` (doc_id, text), by the ranks in the file ``path``.
 
-    ``data`` has the ids as little-endian unsigned 32-bit integers. NULL and empty texts have no ids; repeated rows
-    and NULL ids are encoded like any row; an empty table gives an empty result; other columns are ignored. The ids
-    are those that the tiktoken library gives without special tokens.
-    """
-    known = word_table(count_words(docs), read_ranks(path)).toArrow()  # TABLE_WORDS rows at most
-    lists = known.column("ids").combine_chunks()
-    sent = docs.sparkSession.sparkContext.broadcast(
-        (known.column("word").to_pylist(), lists.offsets.to_numpy(), lists.values.to_numpy().astype("<i4").tobytes()))
+def number_words(docs: DataFrame, buckets: int, shard_tokens: int) -> DataFrame:
+    """Rows of two kinds: (shard, doc_id, numbers) of documents, and (shard, bucket, numbers, words) of a shard's words."""
+    schema = _schema(_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ends, data = sent.value
-        encoder = WordEncoder({w: data[4 * a:4 * b] for w, a, b in zip(words, ends.tolist(), ends[1:].tolist())}, path)
+        split, count = _splitter(), 0
+        shard = Shard(split)
+
+        def name() -> int:
+            return (TaskContext.get().partitionId() << 20) + count
+
+        def batch_of(ids: pa.Array, numbers: list[np.ndarray], places: list[int | None], words: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([name()] * len(numbers), pa.int64()), ids, _lists(numbers),
+                                               pa.array(places, pa.int32()), pa.array(words, pa.list_(pa.string()))], schema=schema)
+
+        def dictionary() -> Iterator[pa.RecordBatch]:
+            packed = list(shard.packed(buckets))
+            for start in range(0, len(packed), SLICE_ROWS):
+                places, numbers, words = zip(*packed[start:start + SLICE_ROWS])
+                yield batch_of(pa.nulls(len(places), pa.int64()), numbers, places, words)
+
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
-                rows = [encoder.encode(t or "") for t in part.column(1).to_pylist()]
-                offsets = pa.array(np.cumsum([0, *(len(d) // 4 for d in rows)], dtype=np.int32))
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(rows), "<i4")))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(rows, pa.binary())], ["doc_id", "ids", "data"])
+                numbers = [shard.numbers(t or "") for t in part.column(1).to_pylist()]
+                yield batch_of(part.column(0), numbers, [None] * len(numbers), [None] * len(numbers))
+                if len(shard.words) > SHARD_WORDS or shard.tokens > shard_tokens:
+                    yield from dictionary()
+                    shard, count = Shard(split), count + 1
+        yield from dictionary()
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _ROWS)
+
+
+
+# ---- distinct words and their ids
+
+def distinct_words(packed: DataFrame, path: str) -> DataFrame:
+    """A row per bucket: its distinct words, and for each shard (``sizes``) its numbers and the words' places among them.
+
+    ``words`` are those to be folded. Behind them come the words whose ids are ``given``: tokens, and words of more than
+    FOLD_BYTES bytes.
+    """
+    schema = _schema(_DISTINCT)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, data binary")
+    def run(table: pa.Table) -> pa.Table:
+        import public_tokenizers
+        import tiktoken
+        ranks, library = _ranks_of(path), None
+        place: dict[str, int] = {}
+        rows = [[place.setdefault(w, len(place)) for w in words] for words in table.column("words").to_pylist()]
+        words, given, to = [], [], np.zeros(len(place), np.int64)
+        for word, n in place.items():
+            data = word.encode("utf-8")
+            if data in ranks:
+                ids = [ranks[data]]
+            elif len(data) > FOLD_BYTES:
+                library = library or tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+                ids = library.encode_ordinary(word)
+            else:
+                to[n] = len(words)
+                words.append(word)
+                continue
+            to[n] = -1 - len(given)
+            given.append(ids)
+        to = np.where(to < 0, len(words) - 1 - to, to)
+        numbers = table.column("numbers").combine_chunks().flatten()
+        values = [words, [len(i) for i in given], list(chain.from_iterable(given)), table.column("shard").to_pylist(), [len(r) for r in rows],
+                  numbers, to[list(chain.from_iterable(rows))].astype(np.int32)]
+        return pa.table([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+
+    return packed.groupBy("bucket").applyInArrow(run, _DISTINCT)
+
+
+_known_ranks: dict[str, dict[bytes, int]] = {}
+
+
+def _ranks_of(path: str) -> dict[bytes, int]:
+    """Read once by a worker."""
+    if path not in _known_ranks:
+        _known_ranks[path] = read_ranks(path)
+    return _known_ranks[path]
+
+
+def _gathered(lengths: np.ndarray, flat: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and values of the ``wanted`` ones of the lists that ``flat`` holds one after another."""
+    starts = np.cumsum(lengths) - lengths
+    own = lengths[wanted]
+    ends = np.cumsum(own)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[wanted] - (ends - own), own)
+    return own, flat[at]
+
+
+def shard_ids(packed: DataFrame, path: str, tasks: int) -> DataFrame:
+    """(shard, numbers, lengths, ids) for the words of shards; each distinct word of all documents is folded once."""
+    ranks = read_ranks(path)
+    table, size = rank_map(ranks)
+    distinct = distinct_words(packed.repartition(tasks, "bucket"), path)
+    folded = distinct.withColumn("folded", let(table, lambda t: F.transform("words", lambda w: fold_ids(byte_ids(w, ranks), t, size))))
+    folded = folded.select("shards", "sizes", "numbers", "places", "given_ids", F.concat(
+        F.transform("folded", F.size), "given_lengths").alias("lengths"), F.flatten("folded").cast("array<int>").alias("ids"))
+    schema = _schema(_BACK)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                shards, sizes, numbers, places, given, lengths, ids = (
+                    c.slice(row, 1).flatten().to_numpy(zero_copy_only=False) for c in batch.columns)
+                ids = np.concatenate([ids, given])
+                end = 0
+                for shard, n in zip(shards.tolist(), sizes.tolist()):
+                    own = slice(end, end + n)
+                    counts, values = _gathered(lengths, ids, places[own])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard]), *(_lists([v]) for v in (numbers[own], counts, values))], schema=schema)
+                    end += n
+
+    return folded.mapInArrow(run, _BACK)
+
+
+# ---- documents
+
+def encode(docs: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """(doc_id, ids, data) for every row of ``docs`` (doc_id, text), by the ranks in the file ``path``.
+
+    ``data`` has the ids as little-endian unsigned 32-bit integers. NULL and empty texts have no ids; repeated rows
+    and NULL ids are encoded like any row; very long texts are encoded whole, as one document of their shard; an empty
+    table gives an empty result; other columns are ignored. The ids are those that the tiktoken library gives without
+    special tokens.
+    """
+    spark = docs.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(max(BUCKETS[0], 4 * partitions), BUCKETS[1])
+    rows = materialize(number_words(docs, buckets, shard_tokens), "bpe-numbers")
+    tasks = min(buckets, max(partitions, 4 * spark.sparkContext.defaultParallelism))
+    words = shard_ids(rows.filter("bucket IS NOT NULL").select("bucket", "shard", "numbers", "words"), path, tasks)
+    numbered = rows.filter("bucket IS NULL").select("shard", "doc_id", "numbers")
+    schema = _schema(_RESULT)
+
+    def assemble(texts: pa.Table, known: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return schema.empty_table()
+
+        def flat(table: pa.Table, column: str) -> np.ndarray:
+            return np.concatenate([np.zeros(0, np.int32), *(c.flatten().to_numpy() for c in table.column(column).chunks)])
+
+        lengths, ids = _gathered(flat(known, "lengths"), flat(known, "ids"), np.argsort(flat(known, "numbers")))
+        counts, values = _gathered(lengths, ids, flat(texts, "numbers"))
+        sizes = np.concatenate([np.zeros(0, np.int64), *(c.value_lengths().to_numpy() for c in texts.column("numbers").chunks)])
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
+        data = values.astype("<i4").tobytes()
+        return pa.table([texts.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32())),
+                         pa.array([data[4 * a:4 * b] for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.binary())], schema=schema)
+
+    return numbered.groupBy("shard").cogroup(words.groupBy("shard")).applyInArrow(assemble, _RESULT)
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
