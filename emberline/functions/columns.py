@@ -29,6 +29,14 @@ def epoch_seconds(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("long")
 
 
+def utc_day(df: DataFrame, column: str) -> Column:
+    """The day (DATE) of a DATE, TIMESTAMP, TIMESTAMP_NTZ or epoch-second column, in UTC whatever the session zone."""
+    if isinstance(df.schema[column].dataType, T.DateType):
+        return F.col(column)
+    days = F.floor(epoch_seconds(df, column) / 86400).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days)
+
+
 def hash_bucket(column: str | Column, buckets: int = 10_000, salt: str = "") -> Column:
     """Repeatable bucket of an id: first 32 bits of the MD5 of its text, modulo ``buckets``.
 

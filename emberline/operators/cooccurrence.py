@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from emberline.operators.catalog import genres_of, tag_counts, tags_of
 
+#: Columns that a matrix may have.
+MATRIX_COLUMNS = 5_000
+
 
 def genres_with(parsed: DataFrame, genre: str, remove_self: bool = True) -> DataFrame:
     counts = (parsed.where(F.array_contains("genres_array", genre)).select(F.explode("genres_array").alias("genre"))
@@ -42,12 +45,15 @@ def tag_pairs(parsed: DataFrame, n: int = 20) -> DataFrame:
     return _pairs(kept, "tags", "tag")
 
 
-def genre_matrix(parsed: DataFrame, genres: list[str] | None = None) -> DataFrame:
+def genre_matrix(parsed: DataFrame, genres: list[str] | None = None, most: int = MATRIX_COLUMNS) -> DataFrame:
     """Pair counts as a matrix with one column per genre of the catalogue, or of ``genres``; absent pairs are 0.
 
-    The genres of a catalogue are a small dimension: they become columns, so the driver has to know them.
+    The genres of a catalogue are a small dimension: they become columns, so the driver has to know them. More than
+    ``most`` are an error; ``genre_pairs`` has the same counts as rows, for any number.
     """
     if genres is None:
-        genres = [row.genre for row in genres_of(parsed).distinct().orderBy("genre").collect()]
+        genres = [row.genre for row in genres_of(parsed).distinct().orderBy("genre").limit(most + 1).collect()]
+        if len(genres) > most:
+            raise ValueError(f"more than {most} genres: use genre_pairs, or name the genres")
     return (genre_pairs(parsed).groupBy("genre_1").pivot("genre_2", genres).agg(F.sum("pair_count"))
             .na.fill(0))

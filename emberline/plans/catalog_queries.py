@@ -36,6 +36,12 @@ def _parse(spark, sf_dir):
         "appid", "name", "release_dt", "price", F.array_join("genres_array", "|").alias("genres"), tags.alias("tags"))
 
 
+def _genre_matrix(spark, sf_dir):
+    """The matrix, one row per cell."""
+    matrix = cooccurrence.genre_matrix(parsed(spark, sf_dir))
+    return matrix.unpivot(["genre_1"], [f"`{c}`" for c in matrix.columns if c != "genre_1"], "genre_2", "pair_count")
+
+
 def _load_csv(spark, sf_dir):
     """The raw catalogue of eleven columns, written as CSV, loaded typed and parsed."""
     path = sinks.write_report(games(spark, sf_dir), scratch_path(spark, "catalog"), "games", "csv")
@@ -242,9 +248,11 @@ QUERIES = {
     "games_load_csv": Query(_load_csv, with_games(
         "SELECT appid, NULLIF(name, '  ') AS name, release_dt, price, peak_ccu, estimated_owners, average_playtime_forever, pct_pos_total, "
         "num_reviews_total, array_to_string(genres_array, '|') AS genres, CASE WHEN len(tag_names) > 0 THEN CAST(len(tag_names) AS INT) END AS n_tags FROM games")),
-    "cooc_genre_matrix": Query(_on_parsed(cooccurrence.genre_matrix), with_games(
-        "PIVOT pairs ON genre_2 USING COUNT(genre_2) GROUP BY genre_1",
-        "pairs AS (SELECT a.genre AS genre_1, b.genre AS genre_2 FROM game_genres a JOIN game_genres b USING (appid))")),
+    "cooc_genre_matrix": Query(_genre_matrix, with_games(
+        "SELECT a.genre AS genre_1, b.genre AS genre_2, COALESCE(n, 0) AS pair_count FROM names a CROSS JOIN names b "
+        "LEFT JOIN pairs ON pairs.g1 = a.genre AND pairs.g2 = b.genre",
+        "names AS (SELECT DISTINCT genre FROM game_genres)",
+        "pairs AS (SELECT a.genre AS g1, b.genre AS g2, COUNT(*) AS n FROM game_genres a JOIN game_genres b USING (appid) GROUP BY 1, 2)")),
 
     "sim_tokens": Query(_tokens, with_games(
         "SELECT appid, CASE WHEN len(tag_names) + len(genres_array) = 0 THEN 'unknown' ELSE LOWER(array_to_string("

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberline import schema as S
+from emberline.functions.columns import utc_day
 from emberline.functions.storage import scratch_path
 from emberline.operators import audit, cleaning, duplicates, prepare
 from emberline.plans.oracle import per_column, with_reviews
@@ -186,11 +187,16 @@ def _deviating_schema_sql() -> str:
 
 
 def _scalar_showcase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scalar functions of the review pipeline, side by side on one scan."""
-    created = F.timestamp_seconds(S.CREATED)
+    """The scalar, array, map and JSON functions of the pipelines, side by side: a row per word and positive vote count."""
+    df = reviews(spark, sf_dir)
+    day = utc_day(df, S.CREATED)
     days = F.array(F.lit(1), F.lit(2), F.lit(3))
-    return rounded(reviews(spark, sf_dir).select(
-        S.USER, S.APP, S.CREATED, F.col("votes_up").cast("double").alias("votes_up_double"),
+    votes = F.to_json(F.struct("votes_up", "comment_count"))
+    kinds = F.create_map(F.lit("up"), F.col("votes_up").cast("long"), F.lit("funny"), F.col("votes_funny"))
+    words = df.select("*", F.explode(F.split(F.coalesce("review", F.lit("none")), " ")).alias("word"))
+    counted = words.select("*", F.explode_outer(F.map_filter(kinds, lambda _, n: n > 0)).alias("vote_kind", "vote_count"))
+    return rounded(counted.select(
+        S.USER, S.APP, S.CREATED, "word", "vote_kind", "vote_count", F.col("votes_up").cast("double").alias("votes_up_double"),
         F.col("review").isNull().alias("no_review"),
         F.coalesce("review", F.lit("none")).alias("review_or_none"),
         F.when(F.col("voted_up"), "up").otherwise("down").alias("vote"),
@@ -199,22 +205,34 @@ def _scalar_showcase(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.lower("review").contains("urgent"), F.lit(False)).alias("is_urgent"),
         F.regexp_replace("language", "[aeiou]", "_").alias("no_vowels"),
         F.log1p(F.col("author_playtime_forever").cast("double")).alias("log_playtime"),
-        F.date_format(created, "yyyy-MM-dd").alias("created_day"), F.year(created).alias("created_year"),
+        day.cast("string").alias("created_day"), F.year(day).alias("created_year"),
+        F.unix_timestamp(F.timestamp_seconds(S.CREATED)).alias("created_epoch"),
+        F.try_to_date(F.when(F.col("voted_up"), day.cast("string")).otherwise(F.col("language")), "yyyy-MM-dd").cast("string").alias("parsed_day"),
         ((F.col(S.UPDATED) - F.col(S.CREATED)) / 86400.0).alias("days_to_update"),
         F.col("votes_up").between(1, 3).alias("few_votes"), F.col("language").isin("english", "french").alias("latin"),
         F.array_contains(days, F.col("author_num_reviews")).alias("one_to_three"),
+        votes.alias("votes_json"), F.from_json(votes, "votes_up int, comment_count int")["comment_count"].alias("comments"),
+        F.array_join(F.from_json(F.concat(F.lit("['"), "language", F.lit("', 'it\\'s']")), "array<string>"), " | ").alias("joined"),
+        F.array_join(F.map_keys(F.from_json(F.concat(F.lit("{'"), "language", F.lit("': 1}")), "map<string,int>")), "").alias("map_key"),
         F.round(F.col(S.SCORE_COLUMN).cast("double"), 2).alias("score_rounded")), 6)
 
 
-_SCALAR_SQL = with_reviews("""SELECT author_steamid, appid, timestamp_created, votes_up::DOUBLE AS votes_up_double, review IS NULL AS no_review,
+_SCALAR_SQL = with_reviews("""SELECT author_steamid, appid, timestamp_created, word, entry.kind AS vote_kind, entry.n AS vote_count,
+ votes_up::DOUBLE AS votes_up_double, review IS NULL AS no_review,
  COALESCE(review, 'none') AS review_or_none, CASE WHEN voted_up THEN 'up' ELSE 'down' END AS vote,
  CAST(LENGTH(language) AS INT) AS language_length, UPPER(language) AS language_upper, language AS language_lower,
  COALESCE(LOWER(review) LIKE '%urgent%', FALSE) AS is_urgent, regexp_replace(language, '[aeiou]', '_', 'g') AS no_vowels,
  ROUND(LN(1 + author_playtime_forever::DOUBLE), 6) AS log_playtime, strftime(make_timestamp(timestamp_created * 1000000), '%Y-%m-%d') AS created_day,
- CAST(year(make_timestamp(timestamp_created * 1000000)) AS INT) AS created_year,
+ CAST(year(make_timestamp(timestamp_created * 1000000)) AS INT) AS created_year, timestamp_created AS created_epoch,
+ CASE WHEN voted_up THEN strftime(make_timestamp(timestamp_created * 1000000), '%Y-%m-%d') END AS parsed_day,
  ROUND((timestamp_updated - timestamp_created) / 86400.0::DOUBLE, 6) AS days_to_update, votes_up BETWEEN 1 AND 3 AS few_votes,
  language IN ('english', 'french') AS latin, author_num_reviews IN (1, 2, 3) AS one_to_three,
- ROUND(weighted_vote_score::DOUBLE, 2) AS score_rounded FROM reviews""")
+ '{"votes_up":' || votes_up || ',"comment_count":' || comment_count || '}' AS votes_json, comment_count AS comments,
+ language || ' | it''s' AS joined, language AS map_key,
+ ROUND(weighted_vote_score::DOUBLE, 2) AS score_rounded FROM (
+ SELECT *, unnest(CASE WHEN len(entries) = 0 THEN [NULL] ELSE entries END) AS entry FROM (
+  SELECT *, [x for x in [{'kind': 'up', 'n': votes_up::BIGINT}, {'kind': 'funny', 'n': votes_funny}] if x.n > 0] AS entries FROM (
+   SELECT *, unnest(string_split(COALESCE(review, 'none'), ' ')) AS word FROM reviews)))""")
 
 
 def _parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
