@@ -21,8 +21,9 @@ SKEWNESS_LIMIT = 20
 IMBALANCE_LIMIT = 0.5
 CARDINALITY_LIMIT = 50
 CORRELATION_LIMIT = 0.9
-FREQUENT_VALUES = 64
-FREQUENT_SALTS = 256
+#: Ranks of a column that are broadcast whole, and the share (its inverse) that makes a value of a longer one frequent.
+RANKS = 65_536
+FREQUENT = 4_096
 
 
 def quantile_table(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -124,37 +125,37 @@ def _pair_table(wide: DataFrame, pairs: list[tuple[str, str]], measure: str) ->
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of average ranks, over the rows where both columns are known.
 
-    Rows are first counted per combination of values; ranks come from the distributed ranking of each
-    column's distinct values and are centred, so that the sums stay accurate. The ranks of a column's most frequent
-    values are one small map in the row; only rows with other values meet a rank in the join, the rest are spread.
+    Ranks come from the distributed ranking of each column's distinct values and are centred, so that the sums stay
+    accurate. Columns with up to ``RANKS`` distinct values look their ranks up in a broadcast table: no row moves. Of a
+    column with more, only the values that fill a ``FREQUENT``-th of it or more are broadcast, ``FREQUENT`` at most; its
+    other values go as (row, column, value) to the ranks and come back to their rows: two shuffles for all such columns
+    together, in which no key is hot.
     """
     middle = (F.col("lo") + F.col("hi") - F.col("total")) / 2.0
-    ranks = materialize(ranked_values(value_counts(df, columns)).select(NAME, VALUE, COUNT, middle.alias("rank")), "ranks")
-    known = [F.nullif(F.col(c).cast("double") + 0.0, F.lit(float("nan"))).alias(c) for c in columns]
-    rows = df.select(known).groupBy(*columns).agg(F.count("*").alias("_n"))
+    ranks = materialize(ranked_values(value_counts(df, columns)).select(NAME, VALUE, COUNT, "total", middle.alias("rank")), "ranks")
+    distinct = {row[NAME]: row.n for row in ranks.groupBy(NAME).agg(F.count("*").alias("n")).collect()}
+    large = [c for c in columns if distinct.get(c, 0) > RANKS]
+    rows = df.select([F.nullif(F.col(c).cast("double") + 0.0, F.lit(float("nan"))).alias(c) for c in columns])
+    if large:
+        rows = materialize(rows.withColumn("_id", F.monotonically_increasing_id()), "rank-rows")
     for c in columns:
-        own = ranks.where(F.col(NAME) == c)
-        frequent = (own.orderBy(F.desc(COUNT), VALUE).limit(FREQUENT_VALUES)
-                    .agg(F.map_from_entries(F.collect_list(F.struct(VALUE, "rank")))).scalar())
-        spread = F.lit(1) + F.pmod(F.xxhash64(*columns), F.lit(FREQUENT_SALTS))
-        rows = rows.withColumn("_frequent", F.try_element_at(frequent, F.col(c))).withColumn(
-            "_side", F.when(F.col(c).isNotNull() & F.col("_frequent").isNull(), F.lit(0).cast("bigint")).otherwise(spread))
-        others = own.select(F.col(VALUE).alias(c), F.lit(0).cast("bigint").alias("_side"), F.col("rank").alias("_joined"))
-        rows = rows.join(others, [c, "_side"], "left").withColumn(
-            f"_r_{c}", F.coalesce("_frequent", "_joined")).drop("_frequent", "_joined", "_side")
+        own = ranks.where((F.col(NAME) == c) & ((F.col(COUNT) * FREQUENT >= F.col("total")) if c in large else F.lit(True)))
+        rows = rows.join(F.broadcast(own.select(F.col(VALUE).alias(c), F.col("rank").alias(f"_r_{c}"))), c, "left")
+    if large:
+        rows = _with_rare_ranks(rows, ranks, columns, large)
     pairs = list(combinations(columns, 2))
-
-    def sums(a: str, b: str) -> str:
-        x, y = f"_r_{a}", f"_r_{b}"
-        w = f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN CAST(_n AS DOUBLE) END"
-        return (f"struct(sum({w}) AS n, sum({w} * {x}) AS x, sum({w} * {y}) AS y, sum({w} * {x} * {x}) AS xx, "
-                f"sum({w} * {y} * {y}) AS yy, sum({w} * {x} * {y}) AS xy) AS `{a}|{b}`")
-
-    wide = rows.selectExpr(*[sums(a, b) for a, b in pairs])
-    rho = ("try_divide({c}.n * {c}.xy - {c}.x * {c}.y, "
-           "sqrt(({c}.n * {c}.xx - {c}.x * {c}.x) * ({c}.n * {c}.yy - {c}.y * {c}.y)))")
-    return _pair_table(wide.selectExpr(*[rho.replace("{c}", f"`{a}|{b}`") + f" AS `{a}|{b}`" for a, b in pairs]),
-                       pairs, "spearman")
+    return _pair_table(rows.selectExpr(*[f"corr(`_r_{a}`, `_r_{b}`) AS `{a}|{b}`" for a, b in pairs]), pairs, "spearman")
+
+
+def _with_rare_ranks(rows: DataFrame, ranks: DataFrame, columns: list[str], large: list[str]) -> DataFrame:
+    """The ranks of each row (``_id``), those that no broadcast table had looked up among ``ranks``."""
+    cells = [F.struct(F.lit(c).alias(NAME), F.when(F.col(f"_r_{c}").isNull(), F.col(c)).alias(VALUE)) for c in large]
+    rare = rows.select("_id", F.inline(F.array(*cells))).where(F.col(VALUE).isNotNull())
+    found = rare.join(ranks.select(NAME, VALUE, "rank"), [NAME, VALUE]).select("_id", NAME, "rank")
+    known = rows.select("_id", *[f"_r_{c}" for c in columns])
+    together = known.unionByName(found, allowMissingColumns=True)
+    return together.groupBy("_id").agg(*[
+        F.max(F.coalesce(f"_r_{c}", F.when(F.col(NAME) == c, F.col("rank")))).alias(f"_r_{c}") for c in columns])
 
 
 def nullity_correlation(df: DataFrame) -> DataFrame:

@@ -5,28 +5,41 @@ How it stays exact without comparing everything with everything:
 1. Identical items are one *shape*. An item's list can hold at most k members of a shape, and these
    are its k + 1 lowest ids less the item itself, so a group of copies of any size adds at most
    k + 1 candidates. Shapes, not items, are compared.
-2. A first round compares each shape with a fixed number of candidates. The k-th best of them is a
-   floor under the true k-th best.
-3. Groups that cannot beat the floor are left out: tokens whose joint share of a vector is below it
-   (Cauchy-Schwarz). Dense vectors have no such groups: their blocks meet each other once, in both directions.
-4. What is left is compared in blocks. A group of any size is split by hash on both sides, each task
-   multiplies two bounded blocks, and only the k best per query and block leave the task.
+2. A first round compares each shape with a few shapes that share two of its three weightiest tokens. The k-th best
+   of them is a floor under the true k-th best.
+3. A pair is looked at where its first common token (in the query's order of tokens, weighty and rare ones first) is,
+   and only if its first two common tokens can lead above the floor: the weights of the two, and Cauchy-Schwarz for what
+   comes behind them. Pairs with a single common token need that token's weight in the item, by which postings are
+   ordered, to be large enough. Only pairs that pass are multiplied.
+4. Tokens are put into groups of bounded size, frequent ones alone and rare ones together; a vector goes to a group once,
+   however many of its tokens are there. Large groups are split by hash on both sides, so that a task holds two bounded
+   blocks, and only the k best per query and block leave it.
+5. Dense vectors have no bound that prunes: super-blocks, as large as a task's memory allows, meet once each, in both
+   directions. One is held, the other streams past it, and only the k best per vector are kept.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline.functions.storage import materialize
 
 BLOCK_ROWS = 2_000
-VOCABULARY_PART = 4_096
-SEED_CANDIDATES = 256
+#: Shapes of the first round for each pair of weighty tokens, where k + 1 isn't more.
+SEED_CANDIDATES = 64
+#: Weightiest tokens of an item under whose pairs it can be found in the first round.
+SEED_TOKENS = 6
+#: Candidates that a task looks at together.
+CANDIDATES = 2_000_000
+#: Memory of a super-block of dense vectors with its lists, and scores that are held at a time.
+HELD_BYTES = 128 << 20
+SCORES = 8_000_000
 PLACES = 4
 _MARGIN = 2 * 10.0 ** -PLACES
 UNKNOWN = "unknown"
@@ -85,57 +98,197 @@ def _lowest_members(items: DataFrame, item_id: str, feature: str, payload: list[
 
 
 def _token_vectors(shapes: DataFrame) -> DataFrame:
-    """(shape, terms): terms = array of (token, weight, df), heaviest saving first.
+    """(shape, ids, weights): token numbers and weights, vectors of length 1, weighty and rare tokens first.
 
-    The order is df / weight^2 descending: leaving out the first terms saves the most comparisons for
-    the smallest loss of length.
+    The order is df / weight^2 ascending: those at the end cost the most comparisons for the least similarity.
     """
     n = shapes.agg(F.sum("members").alias("n")).scalar()
     terms = shapes.select("shape", "members", "key", F.explode(F.array_distinct("key")).alias("token"))
     terms = terms.select("shape", "members", "token",
                          F.size(F.expr("filter(key, t -> t = token)")).alias("tf"))
-    idf = terms.groupBy("token").agg(F.sum("members").alias("df")).withColumn("idf", _idf(F.col("df"), n))
-    weighted = terms.join(idf, "token").select(
-        "shape", F.struct("token", (F.col("tf") * F.col("idf")).alias("weight"), "df").alias("term"))
+    idf = materialize(terms.groupBy("token").agg(F.sum("members").alias("df")).select(
+        "token", "df", _idf(F.col("df"), n).alias("idf"), F.monotonically_increasing_id().alias("id")), "vocabulary")
+    raw = F.col("tf") * F.col("idf")
+    weighted = terms.join(idf, "token").select("shape", F.struct(
+        (F.col("df") / F.pow(raw, 2)).alias("cost"), F.col("id").alias("id"), raw.alias("weight")).alias("term"))
     gathered = weighted.groupBy("shape").agg(F.sort_array(F.collect_list("term")).alias("terms"))
     norm = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda s, t: s + t["weight"] * t["weight"]))
-    scaled = gathered.withColumn("norm", norm).withColumn("terms", F.transform("terms", lambda t: F.struct(
-        (-t["df"] / F.pow(t["weight"], 2)).alias("cost"), t["token"].alias("token"),
-        (t["weight"] / F.col("norm")).alias("weight"))))
-    return scaled.select("shape", F.array_sort("terms").alias("terms"))
+    return gathered.withColumn("norm", norm).select("shape", F.transform("terms", lambda t: t["id"]).alias("ids"), F.transform(
+        "terms", lambda t: t["weight"] / F.col("norm")).alias("weights"))
 
 
 # --- block comparison ----------------------------------------------------------------------
 
 _OUT = "query long, item long, similarity double"
+_PRUNED_OUT = f"{_OUT}, evaluated long"
 
 
-def _token_scores(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
-    """Dot products of two blocks of token vectors, by the tokens that both sides hold, some thousands at a time.
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (sizes[0] of them), starts[1], ..."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
-    Memory follows BLOCK_ROWS and VOCABULARY_PART, not the vocabulary.
-    """
-    def entries(side: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        sizes = side["terms"].map(len).to_numpy()
-        return (np.repeat(np.arange(len(side)), sizes), np.concatenate(side["terms"].to_list()).astype(str),
-                np.concatenate(side["weights"].to_list()))
-
-    sides = [entries(left), entries(right)]
-    shared = np.intersect1d(sides[0][1], sides[1][1])
-    scores = np.zeros((len(left), len(right)))
-    for start in range(0, len(shared), VOCABULARY_PART):
-        part = shared[start:start + VOCABULARY_PART]
-        matrices = []
-        for n, (rows, terms, weights) in zip(scores.shape, sides):
-            at = np.minimum(np.searchsorted(part, terms), len(part) - 1)
-            held = part[at] == terms
-            matrix = np.zeros((n, len(part)))
-            matrix[rows[held], at[held]] = weights[held]
-            matrices.append(matrix)
-        scores += matrices[0] @ matrices[1].T
+
+class _Side:
+    """The vectors of a block, one after another, and where each starts. Tokens are numbered by the task."""
+
+    def __init__(self, table: pa.Table, name: str):
+        self.names = table.column(name).to_numpy()
+        self.tokens, self.weights = (_flat(table, c) for c in ("ids", "weights"))
+        self.sizes = _sizes(table, "ids")
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.rows = np.repeat(np.arange(len(self.names)), self.sizes)
+
+
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    parts = [c.flatten().to_numpy(zero_copy_only=False) for c in table.column(column).chunks]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def _sizes(table: pa.Table, column: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(c.value_lengths().to_numpy(zero_copy_only=False) for c in table.column(column).chunks)]).astype(np.int64)
+
+
+class _Items(_Side):
+    """Items with their weights by (item, token)."""
+
+    def __init__(self, table: pa.Table, name: str, vocabulary: int, tokens: np.ndarray):
+        super().__init__(table, name)
+        self.tokens, self.vocabulary = tokens, vocabulary
+        codes = self.rows * vocabulary + tokens
+        order = np.argsort(codes)
+        self.codes, self.by_code = codes[order], self.weights[order]
+
+    def weight(self, rows: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """0 where the item lacks the token."""
+        wanted = rows * self.vocabulary + tokens
+        at = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
+        return np.where(self.codes[at] == wanted, self.by_code[at], 0.0)
+
+
+def _dots(queries: _Side, items: _Items, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    scores = np.zeros(len(q))
+    for n in range(int(queries.sizes[q].max(initial=0))):
+        held = np.flatnonzero(queries.sizes[q] > n)
+        at = queries.starts[q[held]] + n
+        scores[held] += queries.weights[at] * items.weight(x[held], queries.tokens[at])
     return scores
 
 
+def _sides(left: pa.Table, right: pa.Table) -> tuple[_Side, _Items, np.ndarray]:
+    queries = _Side(left, "query")
+    other = _flat(right, "ids")
+    names, local = np.unique(np.concatenate([queries.tokens, other]), return_inverse=True)
+    queries.tokens = local[:len(queries.tokens)]
+    return queries, _Items(right, "item", len(names), local[len(queries.tokens):]), names
+
+
+def _k_best(queries: _Side, items: _Items, q: np.ndarray, x: np.ndarray, scores: np.ndarray, k: int) -> list[np.ndarray]:
+    """Query, item and rounded similarity of the k best positive scores per query; equal ones take the lowest item."""
+    steps = np.rint(scores * 10.0 ** PLACES).astype(np.int64)
+    kept = np.flatnonzero((scores > 0) & (queries.names[q] != items.names[x]))
+    order = kept[np.lexsort((items.names[x[kept]], -steps[kept], q[kept]))]
+    first = np.concatenate([[0], np.flatnonzero(np.diff(q[order])) + 1]).astype(np.int64) if len(order) else np.zeros(0, np.int64)
+    runs = np.diff(np.concatenate([first, [len(order)]]))
+    order = order[np.arange(len(order)) - np.repeat(first, runs) < k]
+    return [queries.names[q[order]], items.names[x[order]], steps[order] / 10.0 ** PLACES]
+
+
+def _result(parts: list[list[np.ndarray]], evaluated: int) -> pa.Table:
+    """The rows of a task, and one more, without a query, with the number of pairs that were multiplied."""
+    query, item, similarity = (np.concatenate(c) for c in zip(*parts)) if parts else ([], [], [])
+    n = len(query)
+    return pa.table([pa.array([*query, None], pa.int64()), pa.array([*item, None], pa.int64()),
+                     pa.array([*similarity, None], pa.float64()), pa.array([0] * n + [evaluated], pa.int64())],
+                    names=["query", "item", "similarity", "evaluated"])
+
+
+def _all_in_block(k: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _result([], 0)
+        queries, items, _ = _sides(left, right)
+        q, x = (i.ravel() for i in np.indices((len(queries.names), len(items.names))))
+        return _result([_k_best(queries, items, q, x, _dots(queries, items, q, x), k)], len(q))
+
+    return run
+
+
+def _pruned_in_block(k: int):
+    """Pairs that can reach the query's floor, in the group of their first common token. See the module's text."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _result([], 0)
+        queries, items, names = _sides(left, right)
+        owned = np.zeros(len(names), bool)  # the group's tokens
+        owned[np.searchsorted(names, np.intersect1d(names, np.concatenate([_flat(left, "own"), _flat(right, "own")])))] = True
+        floors = left.column("floor").to_numpy(zero_copy_only=False) - _MARGIN
+        floors = np.where(np.isnan(floors), 0.0, floors)
+
+        # What is left of a query's length from each of its tokens on.
+        squares = queries.weights ** 2
+        upto = np.cumsum(squares)
+        ends = (queries.starts + queries.sizes)[queries.rows]
+        rest = np.maximum(upto[ends - 1] - upto + squares, 0.0)
+        place = np.arange(len(queries.tokens)) - queries.starts[queries.rows]
+
+        # Items by (first, second) common token, where the second may be the first again, with falling weight of the first.
+        mine = np.flatnonzero(owned[items.tokens])
+        firsts = np.repeat(mine, items.sizes[items.rows[mine]])
+        seconds = _ranges(items.starts[items.rows[mine]], items.sizes[items.rows[mine]])
+        codes = items.tokens[firsts] * len(names) + items.tokens[seconds]
+        order = np.lexsort((-items.weights[firsts], codes))
+        firsts, seconds = firsts[order], seconds[order]
+        codes = codes[order] + (1 - items.weights[firsts]) / 2
+
+        # What the queries ask for: from each first token, every later one, and the first one alone (second = itself).
+        first = np.flatnonzero(owned[queries.tokens] & (np.sqrt(rest) >= floors[queries.rows]))
+        later = queries.sizes[queries.rows[first]] - place[first]
+        i, j = np.repeat(first, later), _ranges(first, later)
+        reach = np.where(i == j, squares[i], squares[i] + rest[j])
+        asked = np.sqrt(reach) >= floors[queries.rows[i]]
+        i, j = i[asked], j[asked]
+        code = queries.tokens[i] * len(names) + queries.tokens[j]
+        # An item that shares the first token alone needs a weight there that makes up the floor by itself.
+        least = np.where(i == j, floors[queries.rows[i]] / queries.weights[i], 0.0)
+        low = np.searchsorted(codes, code, "left")
+        high = np.searchsorted(codes, code + (1 - least) / 2 + 4 * np.spacing(float(len(names)) ** 2 + 1), "right")
+
+        parts, evaluated = [], 0
+        expected = np.cumsum(high - low)
+        last = np.append(np.flatnonzero(np.diff(queries.rows[i])), len(i) - 1) if len(i) else np.zeros(0, np.int64)  # of each query
+        start = 0
+        while start < len(i):
+            budget = (expected[start - 1] if start else 0) + CANDIDATES
+            end = last[max(np.searchsorted(expected[last], budget, "right") - 1, np.searchsorted(last, start))] + 1
+            part = slice(start, end)
+            start = end
+            asks = np.repeat(np.arange(part.start, part.stop), (high - low)[part])
+            found = _ranges(low[part], (high - low)[part])
+            own, a, b = queries.rows[i[asks]], i[asks], j[asks]
+            wa, wb = items.weights[firsts[found]], items.weights[seconds[found]]
+            single = a == b
+            after = np.where(place[b] + 1 < queries.sizes[own], rest[np.minimum(b + 1, len(rest) - 1)], 0.0)
+            left_over = np.sqrt(np.maximum(1.0 - wa ** 2 - np.where(single, 0.0, wb ** 2), 0.0))
+            bound = queries.weights[a] * wa + np.where(single, 0.0, queries.weights[b] * wb + np.sqrt(after) * left_over)
+            kept = np.flatnonzero((bound >= floors[own]) & (queries.names[own] != items.names[items.rows[firsts[found]]]))
+            # Each pair once, at its first common token.
+            pair, at = np.unique(own[kept] * len(items.names) + items.rows[firsts[found[kept]]], return_index=True)
+            q, x, f = pair // len(items.names), pair % len(items.names), place[a[kept[at]]]
+            for n in range(int(f.max(initial=0))):
+                earlier = np.flatnonzero(f > n)
+                has = items.weight(x[earlier], queries.tokens[queries.starts[q[earlier]] + n]) > 0
+                # A pair that was found at a later token of this group has also been found at the earlier one, if that
+                # can lead above the floor; another group looks at it otherwise.
+                f[earlier[has]] = -1
+            q, x = q[f >= 0], x[f >= 0]
+            evaluated += len(q)
+            parts.append(_k_best(queries, items, q, x, _dots(queries, items, q, x), k))
+        return _result(parts, evaluated)
+
+    return run
+
+
 def _best_of(queries: np.ndarray, items: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, item, rounded similarity) of the k best positive scores per row; ``items`` ascend, equal scores take the lowest."""
     scale = 10.0 ** PLACES
@@ -153,21 +306,8 @@ def _best_of(queries: np.ndarray, items: np.ndarray, scores: np.ndarray, k: int)
     return queries[row], items[column], steps[row, column] / scale
 
 
-def _best_in_block(k: int):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query": pd.Series(dtype="int64"), "item": pd.Series(dtype="int64"),
-                                 "similarity": pd.Series(dtype="float64")})
-        right = right.sort_values("item")
-        queries, items = left["query"].to_numpy(), right["item"].to_numpy()
-        query, item, similarity = _best_of(queries, items, _token_scores(left, right), k)
-        return pd.DataFrame({"query": query, "item": item, "similarity": similarity})
-
-    return run
-
-
-def _block_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """Best k items per query, group and block pair.
+def _in_blocks(queries: DataFrame, items: DataFrame, compare) -> DataFrame:
+    """``compare`` on every pair of blocks of a group: (query, item, similarity, evaluated).
 
     ``queries`` is (grp, query, vector columns), ``items`` is (grp, item, vector columns). Each group
     is split by hash into blocks of about ``BLOCK_ROWS`` on either side, and every pair of blocks of
@@ -187,87 +327,194 @@ def _block_top_k(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     keys = ["grp", "query_block", "item_block"]
     left = place(queries, "query", "query", "item").groupBy(*keys)
     right = place(items, "item", "item", "query").groupBy(*keys)
-    return left.cogroup(right).applyInPandas(_best_in_block(k), _OUT)
+    return left.cogroup(right).applyInArrow(compare, _PRUNED_OUT)
 
 
-def _best(pairs: DataFrame, k: int) -> DataFrame:
-    """The k best items per query over all groups; a pair met in several groups counts once."""
-    once = pairs.groupBy("query", "item").agg(F.max("similarity").alias("similarity"))
+def _k_of_each(pairs: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query").orderBy(F.desc("similarity"), "item")
-    return (once.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
+    return (pairs.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
             .select("query", "item", "similarity"))
 
 
+def _best(pairs: DataFrame, k: int) -> DataFrame:
+    """The k best items per query over all groups; a pair met in several groups counts once."""
+    return _k_of_each(pairs.groupBy("query", "item").agg(F.max("similarity").alias("similarity")), k)
+
+
+def _seeds(vectors: DataFrame, k: int) -> DataFrame:
+    """First round: (query, item, similarity, evaluated) among shapes that share two weighty tokens."""
+    def pairs(tokens: int) -> DataFrame:
+        head = F.slice("ids", 1, tokens)
+        two = F.transform(head, lambda a: F.transform(head, lambda b: F.when(a < b, F.struct(a.alias("a"), b.alias("b")))))
+        alone = F.when(F.size("ids") == 1, F.array(F.struct(F.col("ids")[0].alias("a"), F.col("ids")[0].alias("b"))))
+        keys = F.coalesce(alone, F.filter(F.flatten(two), lambda p: p.isNotNull()))
+        return vectors.select("shape", "ids", "weights", F.explode(keys).alias("grp"))
+
+    asked = pairs(3).withColumnRenamed("shape", "query")
+    weight = F.element_at("weights", F.array_position("ids", F.col("grp.a")).cast("int")) * F.element_at(
+        "weights", F.array_position("ids", F.col("grp.b")).cast("int"))
+    heaviest = Window.partitionBy("grp").orderBy(F.desc("_weight"), "item")
+    found = pairs(SEED_TOKENS).withColumnRenamed("shape", "item").withColumn("_weight", weight)
+    found = found.withColumn("_rank", F.row_number().over(heaviest)).where(F.col("_rank") <= max(SEED_CANDIDATES, k + 1))
+    return _in_blocks(asked, found.drop("_rank", "_weight"), _all_in_block(k))
+
+
 def _floors(seeds: DataFrame, k: int) -> DataFrame:
     """(shape, floor): the k-th best similarity of the first round, where it has k."""
-    best = seeds.groupBy("query").agg(F.count("*").alias("n"), F.min("similarity").alias("floor"))
-    return materialize(best.where(F.col("n") >= k).select(F.col("query").alias("shape"), "floor"), "floors")
+    best = _best(seeds.where("query IS NOT NULL"), k).groupBy("query").agg(F.count("*").alias("n"), F.min("similarity").alias("floor"))
+    return best.where(F.col("n") >= k).select(F.col("query").alias("shape"), "floor")
 
 
-def _top_token_shapes(vectors: DataFrame, k: int) -> DataFrame:
-    """k best shapes per shape for token vectors (shape, terms)."""
+def _token_groups(vectors: DataFrame) -> DataFrame:
+    """(id, grp): frequent tokens are groups of their own, rare ones are put together, about BLOCK_ROWS postings a group."""
+    sizes = vectors.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("shapes"))
+    rare = F.col("shapes") < BLOCK_ROWS // 2
+    total = sizes.where(rare).agg(F.coalesce(F.ceil(F.sum("shapes") / BLOCK_ROWS), F.lit(1)).cast("long").alias("n")).scalar()
+    return sizes.select("id", F.when(rare, -1 - F.pmod(F.xxhash64("id"), total)).otherwise(F.col("id")).alias("grp"))
+
+
+def _compared_shapes(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(query, item, similarity, evaluated) of the first round and of the second, which holds the k best of all shapes."""
     vectors = materialize(vectors, "token-vectors")
-    plain = [F.col("terms.token").alias("terms"), F.col("terms.weight").alias("weights")]
-    postings = vectors.select(F.explode("terms").alias("term"), F.col("shape").alias("item"), *plain).select(
-        F.col("term.token").alias("grp"), F.col("term.weight").alias("own_weight"), "item", "terms", "weights")
-    heaviest = F.array_max(F.transform("terms", lambda t: F.struct(t["weight"], t["token"])))["token"]
-    by_weight = Window.partitionBy("grp").orderBy(F.desc("own_weight"), "item")
-    candidates = (postings.withColumn("_rank", F.row_number().over(by_weight))
-                  .where(F.col("_rank") <= max(SEED_CANDIDATES, k + 1)).drop("_rank", "own_weight"))
-    seeds = _block_top_k(vectors.select(heaviest.alias("grp"), F.col("shape").alias("query"), *plain), candidates, k)
-    floors = _floors(seeds, k)
-    # Leaving out the first i terms misses only items whose similarity is at most the length of
-    # that part of the vector.
-    length = F.sqrt(F.aggregate(F.slice("terms", 1, F.col("i") + 1), F.lit(0.0),
-                                lambda s, t: s + t["weight"] * t["weight"]))
-    probes = (vectors.join(floors, "shape", "left")
-              .select("shape", "terms", "floor", F.posexplode("terms").alias("i", "term"))
-              .where(F.col("floor").isNull() | (length >= F.col("floor") - _MARGIN))
-              .select(F.col("term.token").alias("grp"), F.col("shape").alias("query"), *plain))
-    return _best(_block_top_k(probes, postings.drop("own_weight"), k), k)
+    seeds = materialize(_seeds(vectors, k), "seeds")
+    groups = materialize(_token_groups(vectors), "token-groups")
+
+    def postings(df: DataFrame, wanted: Column, name: str, *columns: str) -> DataFrame:
+        """A row per vector and group that holds one of its ``wanted`` tokens, which are ``own``."""
+        one = df.select("shape", F.explode(wanted).alias("id")).join(groups, "id")
+        own = one.groupBy("shape", "grp").agg(F.collect_list("id").alias("own"))
+        return own.join(df, "shape").select("grp", F.col("shape").alias(name), "own", "ids", "weights", *columns)
+
+    asking = vectors.join(_floors(seeds, k), "shape", "left")
+    # A query has no pair above its floor whose first common token comes where the rest of it is shorter.
+    rest = F.transform("ids", lambda _, n: F.sqrt(F.aggregate(F.slice("weights", n + 1, F.size("weights")), F.lit(0.0), lambda s, w: s + w * w)))
+    long_enough = F.filter(F.arrays_zip("ids", rest.alias("rest")), lambda t: F.col("floor").isNull() | (t["rest"] >= F.col("floor") - _MARGIN))
+    probes = postings(asking, F.transform(long_enough, lambda t: t["ids"]), "query", "floor")
+    return seeds, _in_blocks(probes, postings(vectors, F.col("ids"), "item"), _pruned_in_block(k))
+
+
+def _top_token_shapes(vectors: DataFrame, k: int) -> DataFrame:
+    """k best shapes per shape for token vectors (shape, ids, weights)."""
+    _, compared = _compared_shapes(vectors, k)
+    return _k_of_each(compared.where("query IS NOT NULL"), k)
 
 
 def _length(vector: str) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
 
 
-def _best_in_pair(k: int):
-    """Both directions of one block pair (i, j), i <= j: each product is taken once."""
-    def side(table: pa.Table, block: int) -> tuple[np.ndarray, np.ndarray]:
-        own = table.filter(pc.equal(table.column("block"), block)).sort_by("shape")
-        flat = np.concatenate([c.flatten().to_numpy() for c in own.column("vector").chunks] or [np.zeros(0)])
-        return own.column("shape").to_numpy(), flat.reshape(own.num_rows, -1) if own.num_rows else np.zeros((0, 1))
-
-    def run(table: pa.Table) -> pa.Table:
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        queries, a = side(table, i)
-        items, b = (queries, a) if i == j else side(table, j)
-        parts = []
-        if len(queries) and len(items):
-            scores = a @ b.T
-            parts.append(_best_of(queries, items, scores, k))
-            if i != j:
-                parts.append(_best_of(items, queries, scores.T, k))
-        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [[], [], []]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))],
-                        names=["query", "item", "similarity"])
+def _pool_best(pool: list[list[np.ndarray]], k: int) -> list[np.ndarray]:
+    """The k best rows (query, item, rounded similarity) of each query."""
+    query, item, similarity = (np.concatenate(c) for c in zip(*pool))
+    order = np.lexsort((item, -similarity, query))
+    first = np.flatnonzero(np.diff(query[order], prepend=-1))
+    runs = np.diff(np.append(first, len(order)))
+    order = order[np.arange(len(order)) - np.repeat(first, runs) < k]
+    return [query[order], item[order], similarity[order]]
+
+
+class _Held:
+    """A super-block in memory, and the best so far of what has streamed by."""
+
+    def __init__(self, shapes: np.ndarray, vectors: np.ndarray, k: int):
+        self.shapes, self.vectors, self.k = shapes, vectors, k
+        self.pool: list[list[np.ndarray]] = []
+        self.pooled = 0
+
+    def meet(self, shapes: np.ndarray, vectors: np.ndarray, both: bool) -> Iterator[list[np.ndarray]]:
+        """The lists of the rows that stream by; with ``both`` they also go into those of the held ones."""
+        step = max(1, SCORES // max(len(self.shapes), 1))
+        for start in range(0, len(shapes), step):
+            part = slice(start, start + step)
+            scores = vectors[part] @ self.vectors.T
+            yield list(_best_of(shapes[part], self.shapes, scores, self.k))
+            if both:
+                self.pool.append(list(_best_of(self.shapes, shapes[part], scores.T, self.k)))
+                self.pooled += len(self.pool[-1][0])
+                if self.pooled > 4 * self.k * len(self.shapes):
+                    self.pool = [_pool_best(self.pool, self.k)]
+                    self.pooled = len(self.pool[0][0])
+
+    def best(self) -> Iterator[list[np.ndarray]]:
+        if self.pool:
+            yield _pool_best(self.pool, self.k)
+
+
+def _stream_pairs(k: int):
+    """Over rows sorted by (pair, streaming, shape): the first kind of a pair is held, the second streams past it."""
+    def batch_of(lists: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(lists, (pa.int64(), pa.int64(), pa.float64()))],
+                                          names=["query", "item", "similarity"])
+
+    def finished(held: _Held | None, alone: bool) -> Iterator[pa.RecordBatch]:
+        if held is not None:
+            # A block without a partner meets itself.
+            yield from map(batch_of, held.meet(held.shapes, held.vectors, False) if alone else held.best())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, parts, held, alone = None, [], None, True
+
+        def hold() -> _Held | None:
+            return _Held(*(np.concatenate(c) for c in zip(*parts)), k) if parts else None
+
+        for batch in batches:
+            pairs, streaming, shapes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "streaming", "shape"))
+            flat = batch.column("vector").flatten().to_numpy()
+            vectors = flat.reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1))
+            cuts = np.flatnonzero((np.diff(pairs) != 0) | np.diff(streaming)) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if start == end:
+                    continue
+                if pairs[start] != pair:
+                    yield from finished(held or hold(), alone)
+                    pair, parts, held, alone = pairs[start], [], None, True
+                if not streaming[start]:
+                    parts.append((shapes[start:end], vectors[start:end]))
+                    continue
+                alone = False
+                held = held or hold()
+                if held is not None:
+                    yield from map(batch_of, held.meet(shapes[start:end], vectors[start:end], True))
+        yield from finished(held or hold(), alone)
 
     return run
 
 
+def super_blocks(n: int, dimensions: int, k: int, tasks: int, held_bytes: int = HELD_BYTES) -> int:
+    """How many super-blocks n vectors make: as few as fit into memory, and enough pairs of them for all tasks."""
+    row = 8 * dimensions + 24 * 5 * k  # a vector and its lists
+    return max(1, -(-n * row // held_bytes), math.isqrt(2 * tasks))
+
+
+def place_pairs(units: DataFrame, blocks: int) -> DataFrame:
+    """(pair, streaming, shape, vector): each vector ``blocks`` times, once for every super-block that its own one meets.
+
+    A pair of different blocks has one that is held and one that streams; a block with itself is held alone.
+    """
+    own = F.pmod(F.xxhash64("shape"), F.lit(blocks)).cast("long")
+    met = units.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    i, j = F.least("own", "other"), F.greatest("own", "other")
+    # Pairs are numbered without gaps.
+    number = i * blocks - (i * (i - 1) / 2).cast("long") + (j - i)
+    return met.select(number.alias("pair"), (F.col("own") > F.col("other")).alias("streaming"), "shape", "vector")
+
+
 def _top_vector_shapes(vectors: DataFrame, k: int) -> DataFrame:
     """k best shapes per shape by cosine for dense vectors (shape, vector).
 
-    Every two blocks meet once: n * (n + 1) / 2 products of pairs for n vectors, all rows in as many copies as
-    there are blocks. Exact and without any index: bounds on dense vectors like these rule out hardly anything.
+    Every two super-blocks meet once: n * (n + 1) / 2 products of pairs for n vectors, all rows in as many copies as
+    there are super-blocks. Exact and without any index: bounds on dense vectors like these rule out hardly anything.
     """
     units = materialize(vectors.withColumn("norm", _length("vector")).select(
         F.col("shape").cast("long").alias("shape"), F.transform("vector", lambda x: x / F.col("norm")).alias("vector")), "vectors")
-    n = max(1, -(-units.count() // BLOCK_ROWS))
-    placed = units.withColumn("block", F.pmod(F.xxhash64("shape"), F.lit(n)).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    pairs = placed.select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "shape", "vector")
-    return _best(pairs.groupBy("i", "j").applyInArrow(_best_in_pair(k), _OUT), k)
+    n, dimensions = units.agg(F.count("*"), F.max(F.size("vector"))).first()
+    tasks = units.sparkSession.sparkContext.defaultParallelism
+    blocks = super_blocks(n, dimensions or 1, k, tasks)
+    pairs = blocks * (blocks + 1) // 2
+    parts = min(pairs, 64 * tasks)
+    dealt = place_pairs(units, blocks).repartitionById(parts, F.pmod("pair", F.lit(parts)).cast("int"))
+    dealt = dealt.sortWithinPartitions("pair", "streaming", "shape")
+    return _k_of_each(dealt.mapInArrow(_stream_pairs(k), _OUT), k)
 
 
 def _lists(items: DataFrame, feature: str, members: DataFrame, best: DataFrame, k: int, item_id: str) -> DataFrame:
@@ -291,19 +538,32 @@ def _lists(items: DataFrame, feature: str, members: DataFrame, best: DataFrame,
 # --- operators -----------------------------------------------------------------------------
 
 
-def similar_games(parsed: DataFrame, k: int = 50, compat_spaces: bool = False) -> DataFrame:
-    """(appid, competitors): the k most similar games, best first, equal similarities by appid.
-
-    Only games that share a token are listed.
-    """
+def _shapes_of_games(parsed: DataFrame, k: int, compat_spaces: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Features (appid, key), members (key, shape, lowest) and vectors."""
     features = feature_tokens(parsed, compat_spaces).select("appid", F.array_sort("tokens").alias("key"))
     named = parsed.select("appid", F.coalesce("name", F.lit("Unknown Game")).alias("name"),
                           F.date_format("release_dt", "yyyy-MM-dd").alias("release_date"))
     items = features.join(named, "appid")
     members = materialize(_lowest_members(items, "appid", "key", ["name", "release_date"], k), "members")
     sizes = features.groupBy("key").agg(F.count("*").alias("members"))
-    shapes = members.select("key", "shape").join(sizes, "key")
-    best = _top_token_shapes(_token_vectors(shapes), k)
+    return features, members, _token_vectors(members.select("key", "shape").join(sizes, "key"))
+
+
+def comparison_work(parsed: DataFrame, k: int = 50, compat_spaces: bool = False) -> DataFrame:
+    """One row: distinct token lists, and the pairs of them that ``similar_games`` multiplies, in either round."""
+    _, members, vectors = _shapes_of_games(parsed, k, compat_spaces)
+    seeds, compared = _compared_shapes(vectors, k)
+    pairs = seeds.unionByName(compared).agg(F.coalesce(F.sum("evaluated"), F.lit(0)).alias("evaluated_pairs"))
+    return pairs.select(members.agg(F.count("*").alias("n")).scalar().alias("n_shapes"), "evaluated_pairs")
+
+
+def similar_games(parsed: DataFrame, k: int = 50, compat_spaces: bool = False) -> DataFrame:
+    """(appid, competitors): the k most similar games, best first, equal similarities by appid.
+
+    Only games that share a token are listed.
+    """
+    features, members, vectors = _shapes_of_games(parsed, k, compat_spaces)
+    best = _top_token_shapes(vectors, k)
     lists = _lists(features, "key", members, best, k, "appid")
     return lists.select("appid", F.transform("neighbours", lambda e: F.struct(
         e["id"].cast("int").alias("appid"), e["name"].alias("name"), e["release_date"].alias("release_date"),

@@ -84,6 +84,16 @@ def sim_topk(spark, sf_dir):
         "appid", F.col("c.appid").alias("other"), F.col("c.similarity").alias("similarity"), (F.col("i") + 1).alias("rank"))
 
 
+#: Pairs of shapes that are multiplied for each shape and each place of its list, at most; brute force takes all.
+_WORK_PER_PLACE = 20
+
+
+def _topk_work(spark, sf_dir):
+    """Distinct token lists, and whether the pairs multiplied stay in proportion to the lists that are asked for."""
+    work = similarity.comparison_work(parsed(spark, sf_dir))
+    return work.select("n_shapes", (F.col("evaluated_pairs") <= F.col("n_shapes") * _WORK_PER_PLACE * 50).alias("in_proportion"))
+
+
 _stored: dict[tuple[str, str], str] = {}
 
 
@@ -260,6 +270,9 @@ QUERIES = {
     "sim_tfidf": Query(lambda spark, sf_dir: rounded(similarity.tfidf(similarity.feature_tokens(parsed(spark, sf_dir))), 6),
                        with_games("SELECT appid, token, tf, ROUND(weight, 6) AS weight FROM vec", sim_ctes())),
     "sim_topk": Query(sim_topk, with_games("SELECT appid, other, similarity, rank FROM top", sim_ctes())),
+    "sim_topk_work": Query(_topk_work, with_games(
+        "SELECT COUNT(DISTINCT list_sort(l)) AS n_shapes, TRUE AS in_proportion FROM (SELECT CASE WHEN len(tag_names) + len(genres_array) = 0 "
+        "THEN ['unknown'] ELSE list_concat([LOWER(t) for t in tag_names], [LOWER(t) for t in genres_array]) END AS l FROM games)")),
     "sim_competitors_json": Query(_competitors_json, with_games(
         "SELECT t.appid, t.rank AS position, t.other AS competitor_appid, COALESCE(o.name, 'Unknown Game') AS competitor_name, "
         "o.release_date AS competitor_release_date, similarity FROM top t JOIN games o ON t.other = o.appid", sim_ctes())),
