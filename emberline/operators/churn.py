@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from emberline import schema as S
 from emberline.functions.columns import epoch_seconds
 from emberline.operators.quantiles import exact_cutoffs
+from emberline.operators.timeline import until
 
 SNAPSHOTS = {"train": 0.70, "val": 0.80, "test": 0.90}
 HORIZON_DAYS = 30
@@ -52,9 +53,8 @@ def churn_snapshots(df: DataFrame, cutoffs: dict[str, int | Column], horizon_day
     ends = {name: (t if isinstance(t, Column) else F.lit(t)).cast("long") for name, t in cutoffs.items()}
     last_end = F.greatest(*ends.values()) if len(ends) > 1 else next(iter(ends.values()))
     cut = F.struct(*[t.alias(name) for name, t in ends.items()])
-    known = df.withColumns({"created": epoch_seconds(df, S.CREATED), "played": epoch_seconds(df, S.LAST_PLAYED)}).where(
-        F.col(S.USER).isNotNull() & F.col("created").isNotNull() & (F.col("created") <= last_end + horizon)
-    ).withColumn("cut", cut)
+    known = until(df, last_end + horizon).where(F.col(S.USER).isNotNull()).withColumns({
+        "created": epoch_seconds(df, S.CREATED), "played": epoch_seconds(df, S.LAST_PLAYED), "cut": cut})
     features = {k: v for k, v in _FEATURES.items() if not (leak_safe and k in CRAWL_TIME_FEATURES)}
     parts = []
     for name in ends:

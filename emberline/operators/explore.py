@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from emberline import schema as S
 from emberline.functions.columns import long_form
-from emberline.operators.quantiles import describe
+from emberline.operators.frequent import frequent_values
+from emberline.operators.quantiles import COUNT, VALUE, describe
 
 SUMMARY_COLUMNS = ["author_playtime_forever", "author_num_games_owned", "votes_up", "comment_count"]
 
@@ -44,8 +45,17 @@ def top_by(df: DataFrame, key: str, measure: Column, name: str, n: int = 10) ->
     return df.groupBy(key).agg(measure.alias(name)).orderBy(F.desc(name), F.asc_nulls_last(key)).limit(n)
 
 
+def most_frequent(df: DataFrame, key: str, name: str, n: int = 10) -> DataFrame:
+    """The n keys of the most rows, NULL among them, without shuffling every key; equal counts are ordered by key."""
+    kind = df.schema[key].dataType.simpleString()
+    known = frequent_values(df, [key], n, ties=kind).select(F.col(VALUE).cast(kind).alias(key), F.col(COUNT).alias(name))
+    unknown = df.where(F.col(key).isNull()).agg(F.count("*").alias(name)).where(F.col(name) > 0)
+    both = known.unionByName(unknown.withColumn(key, F.lit(None).cast(kind)))
+    return both.orderBy(F.desc(name), F.asc_nulls_last(key)).limit(n)
+
+
 def top_users(df: DataFrame, n: int = 10) -> DataFrame:
-    return top_by(df, S.USER, F.count("*"), "review_count", n)
+    return most_frequent(df, S.USER, "review_count", n)
 
 
 def top_users_by_games(df: DataFrame, n: int = 10) -> DataFrame:
@@ -53,7 +63,7 @@ def top_users_by_games(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def top_apps(df: DataFrame, n: int = 10) -> DataFrame:
-    return top_by(df, S.APP, F.count("*"), "review_count", n)
+    return most_frequent(df, S.APP, "review_count", n)
 
 
 def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

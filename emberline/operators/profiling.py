@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from emberline.functions.columns import long_form, safe_rate
 from emberline.functions.storage import materialize
+from emberline.operators import frequent
 from emberline.operators.audit import distinct_counts
 from emberline.operators.duplicates import exact_duplicate_groups
 from emberline.operators.quantiles import COUNT, NAME, VALUE, percentiles, ranked_values, value_counts
@@ -79,9 +80,7 @@ def boxplot(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def categories(df: DataFrame, columns: list[str], n: int = 10) -> DataFrame:
     """The n most frequent values per column."""
-    counts = value_counts(df, columns, "string")
-    rank = F.row_number().over(Window.partitionBy(NAME).orderBy(F.desc(COUNT), VALUE))
-    return counts.withColumn("position", rank).where(F.col("position") <= n)
+    return frequent.frequent_values(df, columns, n)
 
 
 def imbalance(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -99,13 +98,7 @@ def imbalance(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def extreme_values(df: DataFrame, columns: list[str], n: int = 5) -> DataFrame:
     """The n lowest and n highest distinct values per column, with their counts."""
-    counts = value_counts(df, columns)
-
-    def side(name: str, order: Column) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(NAME).orderBy(order))
-        return counts.withColumn("position", rank).where(F.col("position") <= n).withColumn("side", F.lit(name))
-
-    return side("lowest", F.asc(VALUE)).unionByName(side("highest", F.desc(VALUE)))
+    return frequent.extreme_values(df, columns, n)
 
 
 def pearson(df: DataFrame, columns: list[str]) -> DataFrame:

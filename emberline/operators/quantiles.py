@@ -10,7 +10,7 @@ the bucket totals are broadcast, about columns x ``MAX_SPLITS`` of them at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,21 +18,26 @@ from emberline.functions.columns import count_each, long_form, union_all
 
 SPLIT_VALUES = 65_536
 MAX_SPLITS = 512
+#: Size of a stored sketch: its rank error stays below a thousandth.
+SKETCH_K = 8_192
 _HASHES = 1 << 31
 NAME, VALUE, COUNT = "column_name", "value", "value_count"
 
 
+def known_values(df: DataFrame, column: str) -> str:
+    """SQL text of a column without NaN and -0.0."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return f"CASE WHEN NOT isnan(`{column}`) THEN `{column}` + CAST(0.0 AS {kind.simpleString()}) END"
+    return f"`{column}`"
+
+
 def value_counts(df: DataFrame, columns: list[str], value_type: str = "double") -> DataFrame:
     """(column_name, value, value_count) of every known value; partial counts run before the shuffle.
 
     NaN is no value (``nan_counts`` reports it), and -0.0 is 0.0, also where values are taken as text.
     """
-    def known(c: str) -> str:
-        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-            return f"CASE WHEN NOT isnan(`{c}`) THEN `{c}` + CAST(0.0 AS {df.schema[c].dataType.simpleString()}) END"
-        return f"`{c}`"
-
-    typed = df.selectExpr(*[f"CAST({known(c)} AS {value_type}) AS `{c}`" for c in columns])
+    typed = df.selectExpr(*[f"CAST({known_values(df, c)} AS {value_type}) AS `{c}`" for c in columns])
     return (typed.unpivot([], columns, NAME, VALUE).where(f"{VALUE} IS NOT NULL")
             .groupBy(NAME, VALUE).agg(F.count("*").alias(COUNT)))
 
@@ -106,6 +111,27 @@ def approx_cutoffs(df: DataFrame, column: str, fractions: dict[str, float], accu
             .select([F.col("sketch")[i].cast("long").alias(name) for i, name in enumerate(fractions)]))
 
 
+def time_sketches(df: DataFrame, column: str, part: Column, k: int = SKETCH_K) -> DataFrame:
+    """(part, n, sketch): a quantile sketch of a LONG column per part of the data, to be stored and merged at will."""
+    return df.where(F.col(column).isNotNull()).groupBy(part.alias("part")).agg(
+        F.count("*").alias("n"), F.kll_sketch_agg_bigint(column, F.lit(k)).alias("sketch"))
+
+
+def sketched_cutoffs(sketches: DataFrame, fractions: dict[str, float], k: int = SKETCH_K) -> DataFrame:
+    """One row with the quantile for each named fraction, from stored sketches of any parts, without their data."""
+    merged = sketches.agg(F.kll_merge_agg_bigint("sketch", F.lit(k)).alias("sketch"))
+    return merged.select([F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(name) for name, q in fractions.items()])
+
+
+def rank_errors(df: DataFrame, column: str, cutoffs: dict[str, int], fractions: dict[str, float]) -> DataFrame:
+    """(cutoff_name, row_count, rank_error): how far each cutoff's ranks are from its fraction of all rows, as a share."""
+    tests = [f"named_struct('cutoff_name', '{name}', 'below', count_if({column} < {at}L), 'upto', count_if({column} <= {at}L), "
+             f"'wanted', {fractions[name]}D * count({column}), 'row_count', count({column}))" for name, at in cutoffs.items()]
+    ranks = df.selectExpr(f"array({', '.join(tests)}) AS ranks").selectExpr("inline(ranks)")
+    off = F.greatest(F.col("below") - F.col("wanted"), F.col("wanted") - F.col("upto"), F.lit(0.0))
+    return ranks.select("cutoff_name", "row_count", F.try_divide(off, F.col("row_count")).alias("rank_error"))
+
+
 def describe(df: DataFrame, columns: list[str], fractions: list[float]) -> DataFrame:
     """Long-form summary (column_name, measure, measure_value): moments, extremes and percentiles."""
     counts = value_counts(df, columns)

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline import schema as S
+from emberline.functions.bitmaps import may_contain
 from emberline.functions.columns import hash_bucket, union_all
 from emberline.operators.quantiles import exact_cutoffs
+from emberline.operators.timeline import until
 
 BUCKETS = 10_000
 PREFIX_DIGITS = 5
@@ -24,12 +26,18 @@ def user_share(share: float, user: str = S.USER, salt: str = "") -> Column:
 def sample_users_until(df: DataFrame, share: float = 0.02, quantile: float = 0.95) -> DataFrame:
     """All rows of a share of the users, up to a quantile of the event time."""
     cutoff = exact_cutoffs(df, S.CREATED, {"cutoff": quantile}).scalar()
-    return df.where(user_share(share) & (F.col(S.CREATED) <= cutoff))
+    return until(df, cutoff).where(user_share(share))
 
 
 def rows_of_users(df: DataFrame, users: DataFrame, user: str = S.USER) -> DataFrame:
-    """Rows whose user is in a given user table. Spark broadcasts it only if it measures small."""
-    return df.join(users.select(user), user, "left_semi")
+    """Rows whose user is in a given user table, which may repeat users.
+
+    A Bloom filter of the users drops nearly all other rows where they are read; what passes meets the users in an exact
+    semi join, whose hot users AQE splits. Spark broadcasts the users only if they measure small.
+    """
+    passes = may_contain(users, user)
+    rows = df if passes is None else df.where(passes)
+    return rows.join(users.select(user).where(F.col(user).isNotNull()).distinct(), user, "left_semi")
 
 
 def size_report(**frames: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberline import schema as S
-from emberline.functions.columns import utc_day
+from emberline.functions.columns import union_all, utc_day
 from emberline.functions.storage import scratch_path
 from emberline.operators import audit, cleaning, duplicates, prepare
 from emberline.plans.oracle import per_column, with_reviews
@@ -135,13 +135,33 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv_typed(spark, path, _PART_SCHEMA)
 
 
-def _raw_reviews_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_reviews_path(spark: SparkSession, sf_dir: str) -> str:
     """The review table as a raw dump: quotes and line breaks in texts, user ids that are no numbers."""
     raw = reviews(spark, sf_dir).withColumns({
         S.USER: F.expr(f"CASE WHEN {_BROKEN} THEN 'n/a' ELSE CAST({S.USER} AS STRING) END"),
         "review": F.expr("concat('He said \"', review, '\",\nthen left')")})
-    path = sinks.write_report(raw, scratch_path(spark, "raw"), "reviews", "csv")
-    return readers.read_reviews_csv(spark, path, multi_line=True)
+    return sinks.write_report(raw, scratch_path(spark, "raw"), "reviews", "csv")
+
+
+def _raw_reviews_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_reviews_csv(spark, _raw_reviews_path(spark, sf_dir), multi_line=True)
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of the raw dump that didn't cast, and the lines of reviews that a scan by lines can't put together."""
+    path = _raw_reviews_path(spark, sf_dir)
+    whole = readers.read_csv_rejects(spark, path, S.REVIEW_SCHEMA, S.KEY_COLUMNS, multi_line=True)
+    return whole.select("key", "column_name", "raw_text")
+
+
+def _report_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One report in each of the formats, read back."""
+    report = audit.row_rule_summary(reviews(spark, sf_dir), audit.ROW_RULES).withColumn("violation_rate", F.round("violation_rate", 9))
+    root, schema = scratch_path(spark, "reports"), report.schema
+    read = {"csv": lambda p: spark.read.schema(schema).option("header", True).csv(p),
+            "json": lambda p: spark.read.schema(schema).json(p), "parquet": lambda p: spark.read.parquet(p)}
+    return union_all([load(sinks.write_report(report, f"{root}/{fmt}", "rules", fmt)).select(
+        F.lit(fmt).alias("format"), *report.columns) for fmt, load in read.items()])
 
 
 #: Rows whose user id is written as text that is no number.
@@ -328,6 +348,14 @@ QUERIES = {
         f"SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE author_steamid IS NULL OR ({_BROKEN})) AS broken_key_rows, "
         "CAST(SUM(LENGTH(review) + 21) AS BIGINT) AS review_chars, COUNT(review) AS broken_lines, "
         "CAST(SUM(votes_funny) AS BIGINT) AS sum_votes_funny, COUNT(timestamp_created) AS with_time FROM reviews")),
+    "src_csv_rejects": Query(_csv_rejects, with_reviews(
+        "SELECT concat_ws('|', 'n/a', appid::VARCHAR, timestamp_created::VARCHAR) AS key, 'author_steamid' AS column_name, 'n/a' AS raw_text "
+        f"FROM reviews WHERE {_BROKEN}")),
+    "snk_report_formats": Query(_report_sinks, with_reviews(
+        "SELECT format, issue_name, violation_count, ROUND(violation_count::DOUBLE / (SELECT COUNT(*) FROM reviews), 9) AS violation_rate FROM ("
+        + " UNION ALL ".join(f"SELECT '{r.name}' AS issue_name, COUNT(*) FILTER ({next(t[r.name] for t in _RULE_SQL.values() if r.name in t)}) "
+                             "AS violation_count FROM reviews" for r in audit.ROW_RULES)
+        + "), (VALUES ('csv'), ('json'), ('parquet')) f(format)")),
     "ingest_reviews": Query(_ingest_reviews, with_reviews(
         "SELECT COUNT(*) AS row_count, COUNT(author_steamid) AS with_user FROM reviews")),
     "scalar_showcase": Query(_scalar_showcase, _SCALAR_SQL),

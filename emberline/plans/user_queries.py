@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emberline import schema as S
+from emberline.functions.columns import union_all
 from emberline.functions.storage import scratch_path
-from emberline.operators import audit, churn, coverage, explore, sampling
-from emberline.operators.quantiles import approx_cutoffs
+from emberline.operators import audit, churn, coverage, explore, sampling, timeline
+from emberline.operators.quantiles import approx_cutoffs, rank_errors, sketched_cutoffs, time_sketches
 from emberline.plans.oracle import per_column, with_both, with_reviews
 from emberline.plans.registry import Query, rounded
 from emberline.plans.review_queries import (
     COLS, _DECREASES, _USERS, _describe_sql, _on_reviews, _rounded_on_reviews, full_audit_select)
 from emberline.sources import readers, sinks
-from emberline.sources.testdata import DELISTED, UNREVIEWED, UNREVIEWED_SHIFT, catalog_dump, reviews
+from emberline.sources.testdata import DELISTED, UNREVIEWED, UNREVIEWED_SHIFT, catalog_dump, reviews, reviews_by_month, table
 
 _BUCKET = "('0x' || substr(md5({id}::VARCHAR), 1, 8))::BIGINT % 10000"
 _USER_BUCKET = _BUCKET.format(id="author_steamid")
@@ -65,7 +66,33 @@ sampled AS (SELECT {COLS} FROM reviews, cut WHERE {_USER_BUCKET} < 200 AND times
 
 
 def _sample(spark, sf_dir):
-    return sampling.sample_users_until(reviews(spark, sf_dir))
+    return sampling.sample_users_until(reviews_by_month(spark, sf_dir)).drop(timeline.MONTH)
+
+
+#: A given user table, with users who have no reviews and users who are listed more than once.
+_GIVEN_USERS = "SELECT o_custkey AS author_steamid FROM orders WHERE o_orderpriority = '1-URGENT'"
+
+
+def _given_users(spark, sf_dir):
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return urgent.select(F.col("o_custkey").alias(S.USER))
+
+
+def _split_given(spark, sf_dir):
+    """Train rows by a given user table, test rows by all other users."""
+    df, users = reviews(spark, sf_dir), _given_users(spark, sf_dir)
+    rest = df.where(F.col(S.USER).isNotNull()).select(S.USER).distinct().join(users, S.USER, "left_anti")
+    return sampling.size_report(train=sampling.rows_of_users(df, users), test=sampling.rows_of_users(df, rest))
+
+
+def _cutoff_errors(spark, sf_dir):
+    """Cutoffs by Spark's sketch and by stored monthly ones: whether their ranks are within a thousandth of the rows."""
+    df, path = reviews(spark, sf_dir), scratch_path(spark, "sketches")
+    sinks.write_parquet(time_sketches(df, S.CREATED, timeline.month_of(F.col(S.CREATED))), path)
+    found = {"approx": approx_cutoffs(df, S.CREATED, _FRACTIONS), "merged": sketched_cutoffs(spark.read.parquet(path), _FRACTIONS)}
+    return union_all([rank_errors(df, S.CREATED, cutoffs.first().asDict(), _FRACTIONS).select(
+        F.lit(method).alias("method"), "cutoff_name", "row_count", (F.col("rank_error") <= 0.001).alias("within_limit"))
+        for method, cutoffs in found.items()])
 
 
 def _sample_vs_full(spark, sf_dir):
@@ -113,18 +140,18 @@ FROM past LEFT JOIN future ON past.snapshot = future.snapshot AND past.author_st
 
 
 def snapshots_all(spark, sf_dir):
-    return rounded(churn.churn_snapshots_at_quantiles(reviews(spark, sf_dir)), 6)
+    return rounded(churn.churn_snapshots_at_quantiles(reviews_by_month(spark, sf_dir)), 6)
 
 
 def _snapshot(name: str):
     def run(spark, sf_dir):
         return rounded(churn.churn_snapshots_at_quantiles(
-            reviews(spark, sf_dir), {name: churn.SNAPSHOTS[name]}), 6)
+            reviews_by_month(spark, sf_dir), {name: churn.SNAPSHOTS[name]}), 6)
     return Query(run, with_reviews(f"SELECT * FROM labelled WHERE snapshot = '{name}'", _CUTS, _SNAPSHOTS))
 
 
 def _features(spark, sf_dir):
-    df = reviews(spark, sf_dir)
+    df = reviews_by_month(spark, sf_dir)
     cutoff = churn.temporal_cutoffs(df, {"train": 0.70}).scalar()
     return rounded(churn.churn_features(df, cutoff), 6)
 
@@ -192,6 +219,15 @@ QUERIES = {
             "(SELECT COUNT(*) FROM (SELECT appid FROM catalog INTERSECT SELECT appid FROM reviewed)) AS in_both", _COVERAGE)),
 
     "sample_user_time": Query(_sample, with_reviews("SELECT * FROM sampled", _SAMPLE)),
+    "sample_given_users": Query(
+        lambda spark, sf_dir: sampling.rows_of_users(reviews(spark, sf_dir), _given_users(spark, sf_dir)),
+        with_reviews(f"SELECT {COLS} FROM reviews WHERE author_steamid IN ({_GIVEN_USERS})")),
+    "split_given_users": Query(_split_given, with_reviews(
+        f"SELECT CASE WHEN author_steamid IN ({_GIVEN_USERS}) THEN 'train' ELSE 'test' END AS dataset, COUNT(*) AS row_count, "
+        "COUNT(DISTINCT author_steamid) AS user_count FROM reviews WHERE author_steamid IS NOT NULL GROUP BY 1")),
+    "split_cutoffs_error": Query(_cutoff_errors, with_reviews(
+        "SELECT method, cutoff_name, COUNT(timestamp_created) AS row_count, TRUE AS within_limit FROM reviews, "
+        "(VALUES ('approx'), ('merged')) m(method), (VALUES ('train'), ('val'), ('test')) c(cutoff_name) GROUP BY 1, 2")),
     "sample_report": Query(
         lambda spark, sf_dir: sampling.size_report(full=reviews(spark, sf_dir), sample=_sample(spark, sf_dir)),
         with_reviews("SELECT 'full' AS dataset, COUNT(*) AS row_count, COUNT(DISTINCT author_steamid) AS user_count FROM reviews "

@@ -22,6 +22,29 @@ def read_csv_typed(spark: SparkSession, path: str, schema: dict[str, T.DataType]
     return raw.select([typed(name, data_type) for name, data_type in schema.items()])
 
 
+_CORRUPT = "_corrupt"
+
+
+def read_csv_rejects(spark: SparkSession, path: str, schema: dict[str, T.DataType], keys: list[str],
+                     multi_line: bool = False) -> DataFrame:
+    """What ``read_csv_typed`` can't take: (file, key, column_name, raw_text), one row per cell whose text didn't cast.
+
+    A record with more or fewer fields than the header is one more row without a column, and its whole text. ``key``
+    has the texts of the key columns, joined by ``|``. Typed rows and rejects are separate scans of the same files, so
+    either can be had alone.
+    """
+    options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _CORRUPT]])
+    raw = spark.read.schema(fields).options(**options, columnNameOfCorruptRecord=_CORRUPT).csv(path)
+    raw = raw.select("*", F.col("_metadata.file_name").alias("file"))
+    cells = [F.struct(F.lit(c).alias("column_name"), F.when(F.col(c).try_cast(kind).isNull(), F.col(c)).alias("raw_text"))
+             for c, kind in schema.items() if c in names and not isinstance(kind, T.StringType)]
+    broken = F.struct(F.lit(None).cast("string").alias("column_name"), F.col(_CORRUPT).alias("raw_text"))
+    key = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in keys])
+    return raw.select("file", key.alias("key"), F.inline(F.filter(F.array(*cells, broken), lambda c: c["raw_text"].isNotNull())))
+
+
 def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv_typed(spark, path, REVIEW_SCHEMA, multi_line)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberline.functions.storage import scratch_path
+from emberline.operators.timeline import MONTH, write_by_month
 from emberline.schema import REVIEW_SCHEMA
 from emberline.sources.sinks import write_parquet
 
@@ -107,6 +108,16 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(_REVIEW_STRUCT).parquet(_ingested[key])
 
 
+def reviews_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review table stored by event month, with the month as its last column; written once per application."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} by month")
+    if key not in _ingested:
+        path = scratch_path(spark, "reviews-by-month")
+        write_by_month(reviews(spark, sf_dir), path)
+        _ingested[key] = path
+    return spark.read.schema(T.StructType([*_REVIEW_STRUCT, T.StructField(MONTH, T.IntegerType())])).parquet(_ingested[key])
+
+
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         *[f"{expression} AS {name}" for name, expression in _GAME_EXPRESSIONS.items()])
