@@ -120,10 +120,10 @@ def dense_ids(df: DataFrame, column: str, index: str) -> DataFrame:
     return spread.join(F.broadcast(before), "_part").select(column, (F.col("_before") + inside).alias(index))
 
 
-def playtime_factors(reviews: DataFrame) -> DataFrame:
-    """Predicted log playtime of held-out (user, app) pairs from ALS on the user x app matrix.
+def playtime_factors(reviews: DataFrame, held_out: bool = True) -> DataFrame:
+    """Predicted log playtime of held-out (user, app) pairs, or of those fitted to, from ALS on the user x app matrix.
 
-    Every held-out pair is returned; its prediction is NULL where the user or the app isn't in the training part.
+    Every such pair is returned; its prediction is NULL where the user or the app isn't in the training part.
     Users are numbered densely for the fit, which takes 32-bit ids only.
     """
     pairs = (reviews.where(F.col(S.USER).isNotNull()).groupBy(S.USER, S.APP)
@@ -132,8 +132,8 @@ def playtime_factors(reviews: DataFrame) -> DataFrame:
     if users.count() > 2 ** 31 - 1:
         raise ValueError("more users than 32-bit ids: fit on a share of them")
     numbered = materialize(pairs.join(users, S.USER).withColumn("user", F.col("user").cast("int")), "ratings")
-    held_out = hash_bucket(F.concat_ws("|", S.USER, S.APP)) < 2_000
+    left_out = hash_bucket(F.concat_ws("|", S.USER, S.APP)) < 2_000
     model = ALS(userCol="user", itemCol=S.APP, ratingCol="rating", rank=8, maxIter=5, seed=42,
-                coldStartStrategy="nan").fit(numbered.where(~held_out).where("rating IS NOT NULL"))
-    return model.transform(numbered.where(held_out)).select(
+                coldStartStrategy="nan").fit(numbered.where(~left_out).where("rating IS NOT NULL"))
+    return model.transform(numbered.where(left_out if held_out else ~left_out)).select(
         S.USER, S.APP, "rating", F.when(~F.isnan("prediction"), F.col("prediction")).alias("prediction"))

@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from emberline import schema as S
+from emberline.functions.columns import union_all
 from emberline.functions.storage import materialize
 from emberline.operators import churn, models, profiling, retention
 from emberline.operators.quantiles import nan_counts
@@ -76,6 +77,37 @@ def _fit(kind: str):
     return Query(run, None)
 
 
+def _model_scores(spark, sf_dir):
+    """Every user of the test snapshot with the label, from all three models; scores are probabilities that agree with the prediction."""
+    rows = materialize(churn.churn_snapshots_at_quantiles(reviews(spark, sf_dir), leak_safe=True), "snapshots")
+    train, test = rows.where(F.col("snapshot") == "train"), rows.where(F.col("snapshot") == "test")
+    agrees = (F.col("score").between(0, 1)) & ((F.col("score") > 0.5) == (F.col("predicted") == 1))
+    return union_all([models.fit_and_score(train, test, kind).select(
+        F.lit(kind).alias("model"), S.USER, F.col("label").cast("int").alias("label"), agrees.alias("consistent"))
+        for kind in ("logreg", "rf", "gbt")])
+
+
+def _pca_variance(spark, sf_dir):
+    """Variances of all components: their sum is that of the scaled features, they fall, and components don't correlate."""
+    rows = materialize(churn.churn_snapshots_at_quantiles(
+        reviews(spark, sf_dir), {"train": churn.SNAPSHOTS["train"]}, leak_safe=True), "snapshots")
+    k = len(models.FEATURES)
+    parts = models.principal_components(rows, k)
+    names = [f"pc{i + 1}" for i in range(k)]
+    found = parts.agg(F.count("*").alias("n_users"), F.array(*[F.var_samp(c) for c in names]).alias("v"),
+                      F.array(*[F.abs(F.covar_samp(a, b)) for a, b in combinations(names, 2)]).alias("c"))
+    falls = F.forall(F.sequence(F.lit(2), F.lit(k)), lambda i: F.element_at("v", i) <= F.element_at("v", i - 1) + 1e-9)
+    return found.select("n_users", F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 4).alias("total_variance"),
+                        falls.alias("in_order"), (F.array_max("c") < 1e-6).alias("uncorrelated"))
+
+
+def _als_fit(spark, sf_dir):
+    """ALS against the mean of all training ratings, on the pairs it was fitted to and in squared error."""
+    found = models.playtime_factors(reviews(spark, sf_dir), held_out=False)
+    return found.agg(F.count("*").alias("n_pairs"), F.count("prediction").alias("n_predicted"),
+                     (F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)) < F.var_pop("rating")).alias("better_than_mean"))
+
+
 def _pca(spark, sf_dir):
     return models.principal_components(materialize(churn.churn_snapshots_at_quantiles(
         reviews(spark, sf_dir), {"train": churn.SNAPSHOTS["train"]}, leak_safe=True), "snapshots"))
@@ -159,6 +191,16 @@ QUERIES = {
     "ml_gbt": _fit("gbt"),
     "ml_pca": Query(_pca, None),
     "ml_als": Query(_on_reviews(models.playtime_factors), None),
+    "ml_scores": Query(_model_scores, with_reviews(
+        "SELECT model, author_steamid, churn AS label, TRUE AS consistent FROM labelled, (VALUES ('logreg'), ('rf'), ('gbt')) m(model) "
+        "WHERE snapshot = 'test'", _CUTS, _SNAPSHOTS)),
+    "ml_pca_variance": Query(_pca_variance, with_reviews(
+        "SELECT COUNT(*) AS n_users, ROUND(" + " + ".join(f"CASE WHEN VAR_SAMP(COALESCE({c}, 0)::DOUBLE) > 0 THEN 1.0::DOUBLE ELSE 0 END" for c in models.FEATURES)
+        + ", 4) AS total_variance, TRUE AS in_order, TRUE AS uncorrelated FROM labelled WHERE snapshot = 'train'", _CUTS, _SNAPSHOTS)),
+    "ml_als_fit": Query(_als_fit, with_reviews(
+        "SELECT COUNT(*) AS n_pairs, COUNT(*) AS n_predicted, TRUE AS better_than_mean FROM (SELECT DISTINCT author_steamid, appid FROM reviews "
+        "WHERE author_steamid IS NOT NULL AND ('0x' || substr(md5(author_steamid::VARCHAR || '|' || appid::VARCHAR), 1, 8))::BIGINT "
+        "% 10000 >= 2000)")),
     "ml_als_held_out": Query(
         lambda spark, sf_dir: rounded(models.playtime_factors(reviews(spark, sf_dir)).select(S.USER, S.APP, "rating"), 6), with_reviews(
             "SELECT author_steamid, appid, ROUND(MAX(LN(1 + author_playtime_forever::DOUBLE)), 6) AS rating FROM reviews "

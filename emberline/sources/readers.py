@@ -36,7 +36,7 @@ def read_csv_rejects(spark: SparkSession, path: str, schema: dict[str, T.DataTyp
     options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multi_line}
     names = spark.read.options(**options).csv(path).columns
     fields = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _CORRUPT]])
-    raw = spark.read.schema(fields).options(**options, columnNameOfCorruptRecord=_CORRUPT).csv(path)
+    raw = spark.read.schema(fields).options(**options, columnPruning=False, columnNameOfCorruptRecord=_CORRUPT).csv(path)
     raw = raw.select("*", F.col("_metadata.file_name").alias("file"))
     cells = [F.struct(F.lit(c).alias("column_name"), F.when(F.col(c).try_cast(kind).isNull(), F.col(c)).alias("raw_text"))
              for c, kind in schema.items() if c in names and not isinstance(kind, T.StringType)]
