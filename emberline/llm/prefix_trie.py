@@ -84,7 +84,7 @@ def prefix_groups(blocks: DataFrame, sums: list[str]) -> DataFrame:
     segments = blocks.groupBy(*prefix, "oa", "ob").agg(
         F.min("conv_id").alias("conv_id"), F.first("turns").alias("turns"), *[F.sum(s).alias(s) for s in sums])
     segments = materialize(segments, "trie-segments")
-    diverging = segments.groupBy(*prefix).agg(F.count("*").alias("siblings"))
+    diverging = materialize(segments.groupBy(*prefix).agg(F.count("*").alias("siblings")), "trie-siblings")
     at = segments.join(diverging, prefix).select(
         "siblings", "pa", "pb", "turns", "conv_id", *sums, F.posexplode("turns").alias("pos", "turn"))
     upto = F.slice("turns", F.lit(1), F.col("pos") + 1)
