@@ -131,7 +131,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     state = materialize(state, "mix-bounds")
     over = words.join(state, "key").filter((F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")) & ~F.exists("bounds", _below))
     last = over.groupBy("key").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "size", "hash", "row")).alias("last"))
-    plan = goals.drop("rest").join(state.join(last, "key", "left").drop("gap"), "key")
+    plan = materialize(goals.drop("rest").join(state.join(last, "key", "left").drop("gap"), "key"), "mix-plan")
     more = F.exists("bounds", _below) | F.coalesce((F.col("last.hash") == F.col("hash")) & (F.col("last.row") == F.col("row")), F.lit(False))
     copies = F.when(F.col("size") > 0, F.col("repeats") + more.cast("long")).otherwise(0)
     return rows.join(plan, "key").select(
