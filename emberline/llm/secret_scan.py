@@ -218,16 +218,17 @@ BASE_RULES = (
     SecretRule("hex", re.compile(r"[0-9a-f]+"), 0, 32),
 )
 
-#: From the header through everything up to the END line; where none follows before another BEGIN, over the fields and
-#: the lines of base64 behind it: whatever stands alone on its line, and long runs anywhere. Between them may stand
-#: white space, also written as escapes, and the marks of quotes, comments and joined strings.
-_KEY_END = r"----END [A-Z ]{0,40}PRIVATE KEY-----"
+#: From the header through the key's fields and lines of base64 up to the END line, if that follows; whatever else comes
+#: first, such as prose, ends the span. Lines stand alone, or are long runs anywhere, or words between header and END
+#: where nothing but such words is between them. Between them may stand white space, also written as escapes, and the
+#: marks of quotes, comments and joined strings.
+_KEY_BEGIN = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+_KEY_END = r"-----END [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
 _KEY_GAP = r"""(?:[\s>#*|"'`,;]|\\+[nrt]?|[+-](?=\s)|//(?=\s))*+"""
-_KEY_FIELD = r"[A-Z][A-Za-z0-9]*(?:-[A-Za-z0-9]+)+:[^\S\r\n]*[^\s\\]+"
-_KEY_LINE = r"""(?:[A-Za-z0-9+/]{24,}+={0,2}|[A-Za-z0-9+/]++={0,2}(?=[ \t"'`,;+]*(?:[\r\n\\]|\Z|-----)))"""
-_PRIVATE_KEY = (rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----"
-                rf"(?:[^-]*+(?:-(?!----BEGIN |{_KEY_END})[^-]*+)*+-{_KEY_END}"
-                rf"|(?:{_KEY_GAP}{_KEY_FIELD})*+(?:{_KEY_GAP}{_KEY_LINE})*+)")
+_KEY_FIELD = r"[A-Z][A-Za-z0-9]*(?:-[A-Za-z0-9]+)*+:[^\S\r\n]*[^\r\n\\]+"
+_KEY_LINE = r"""(?:[A-Za-z0-9+/]{24,}+={0,2}|=?[A-Za-z0-9+/]++={0,2}(?=[ \t"'`,;+]*(?:[\r\n\\]|\Z|-----)))"""
+_KEY_BODY = rf"(?:{_KEY_GAP}{_KEY_FIELD}(?=\s|\\))*+(?:{_KEY_GAP}{_KEY_LINE})*+"
+_PRIVATE_KEY = rf"{_KEY_BEGIN}{_KEY_BODY}(?:{_KEY_GAP}{_KEY_END})?"
 
 #: Formats that their issuers have published.
 MORE_RULES = (
@@ -235,6 +236,11 @@ MORE_RULES = (
     SecretRule("github", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,255}")),
     SecretRule("slack", re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,250}")),
     SecretRule("google", re.compile(r"AIza[0-9A-Za-z_-]{35}")),
+    SecretRule("gitlab", re.compile(r"glpat-[A-Za-z0-9_-]{20,255}")),
+    SecretRule("npm", re.compile(r"npm_[A-Za-z0-9]{36,255}")),
+    SecretRule("openai", re.compile(r"sk-proj-[A-Za-z0-9_-]{20,255}")),
+    SecretRule("aws_secret", re.compile(r"""[Aa][Ww][Ss]_[Ss][Ee][Cc][Rr][Ee][Tt]_[Aa][Cc][Cc][Ee][Ss][Ss]_[Kk][Ee][Yy]["']?\x20*[:=]\x20*["']?"""
+                                         r"""[A-Za-z0-9+/]{40}""")),
     SecretRule("stripe", re.compile(r"[rs]k_live_[0-9A-Za-z]{16,250}")),
     SecretRule("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     SecretRule("bearer", re.compile(r"[Bb]earer\x20+[A-Za-z0-9._~+/-]{20,}")),

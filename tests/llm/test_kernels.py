@@ -120,6 +120,25 @@ def test_private_keys_are_masked_whole():
         two = masked("\n".join([head, *lines, "-----BEGIN CERTIFICATE-----", "Zm9v", head, *lines, end, "z"]))
         assert two == "[SECRET]\n-----BEGIN CERTIFICATE-----\nZm9v\n[SECRET]\nz"
     assert masked("the line -----BEGIN PRIVATE KEY----- starts a key") == "the line [SECRET] starts a key"
+    block = "\n".join(["-----BEGIN PGP PRIVATE KEY BLOCK-----", "Version: GnuPG v2", "Comment: a b c", "", *lines, "=Zm9v", "-----END PGP PRIVATE KEY BLOCK-----"])
+    assert masked(f"before\n{block}\nafter") == "before\n[SECRET]\nafter"
+
+
+def test_prose_between_key_lines_is_kept():
+    scanner = secret_scan.Scanner((*secret_scan.BASE_RULES, *secret_scan.MORE_RULES))
+    prose = "\nA header was quoted here. What follows is text, not a key: it stays as it is.\n" * 400
+    for end in ("-----END PRIVATE KEY-----", ""):
+        text = f"-----BEGIN PRIVATE KEY-----{prose}{end}"
+        assert secret_scan.masked(text, scanner.scan([text])[0]) == f"[SECRET]{prose}{end}"
+
+
+def test_further_formats():
+    scanner = secret_scan.Scanner((*secret_scan.BASE_RULES, *secret_scan.MORE_RULES))
+    key = "aB3" * 14
+    for text, want in (
+            (f"see glpat-{key[:20]} there", "see [SECRET] there"), (f"npm_{key[:36]}", "[SECRET]"), (f"x sk-proj-{key} y", "x [SECRET] y"),
+            (f"aws_secret_access_key = {key[:40]} .", "[SECRET] ."), (f'AWS_SECRET_ACCESS_KEY: "{key[:38]}/+" .', '[SECRET]" .')):
+        assert secret_scan.masked(text, scanner.scan([text])[0]) == want
 
 
 def test_license_base_columns():
