@@ -18,7 +18,7 @@ BITS_PER_KEY = 10
 HASHES = 5
 _BUCKET_BITS = 32768
 
-#: A filter travels with the plan; a list that needs more bits than this is refused, not cut.
+#: Bits of one filter, which travels with the plan. Longer lists are split by a hash of the key into several cascades.
 MAX_BITS = 1 << 27
 
 
@@ -43,10 +43,8 @@ def _positions(key: Column, n_bits: int, salt: int) -> list[Column]:
 
 
 def build(keys: DataFrame, column: str, n_keys: int, salt: int = 0) -> Bloom:
-    """Only bitmaps reach the driver: n_keys * BITS_PER_KEY bits, at most MAX_BITS."""
+    """Only bitmaps reach the driver: n_keys * BITS_PER_KEY bits."""
     n_bits = max(64, (n_keys * BITS_PER_KEY + 7) // 8 * 8)
-    if n_bits > MAX_BITS:
-        raise ValueError(f"{n_keys} keys need {n_bits} bits; raise MAX_BITS or split the list")
     at = F.explode(F.array(*_positions(F.col(column), n_bits, salt))).alias("at")
     maps = (keys.select(at).select((F.col("at") + 1).alias("at"))
             .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
@@ -70,14 +68,44 @@ class Cascade:
         return F.lit(False) if answer is None else answer
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, column: str) -> Cascade:
+@dataclass(frozen=True)
+class SplitCascade:
+    """Cascades over the parts of a list: a key is asked of the cascade of its part."""
+
+    parts: tuple[Cascade, ...]
+
+    def contains(self, key: Column) -> Column:
+        part, found = part_of(key, len(self.parts)), F.lit(False)
+        for i, cascade in enumerate(self.parts):
+            found = F.when(part == i, cascade.contains(key)).otherwise(found)
+        return found
+
+
+def part_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("part"), key), F.lit(parts))
+
+
+def build_cascade(listed: DataFrame, universe: DataFrame, column: str, max_bits: int | None = None) -> Cascade | SplitCascade:
     """``listed`` and ``universe`` hold keys in ``column``; ``universe`` may repeat them.
 
     The exact difference of the two is taken here, once, over the few keys that pass the first filter; asking
-    needs none. Both sides shrink about a hundredfold every second level.
+    needs none. Both sides shrink about a hundredfold every second level. A list whose first filter would have more than
+    ``max_bits`` (MAX_BITS) is split by a hash of its keys, and so is the universe.
     """
     inside = materialize(listed.select(column).filter(F.col(column).isNotNull()).distinct(), "cascade-listed")
     n_inside = inside.count()
+    parts = -(-n_inside * BITS_PER_KEY // (max_bits or MAX_BITS))
+    if parts <= 1:
+        return _one_cascade(inside, n_inside, universe, column)
+    cascades = []
+    for i in range(parts):
+        here = part_of(F.col(column), parts) == i
+        own = inside.filter(here)
+        cascades.append(_one_cascade(own, own.count(), universe.filter(here), column))
+    return SplitCascade(tuple(cascades))
+
+
+def _one_cascade(inside: DataFrame, n_inside: int, universe: DataFrame, column: str) -> Cascade:
     levels: list[Bloom] = []
     if not n_inside:
         return Cascade(())

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.bloom import Cascade, build_cascade
+from emberline.llm.bloom import Cascade, SplitCascade, build_cascade
 
 #: Fixed values of the result contract: (action, host, path prefix).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
@@ -60,7 +60,8 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULE
     The longest rule that fits decides (of two actions for one key, block); else ``hosts`` (column ``key``, by
     default listed_hosts) blocks a listed host and its subdomains, and everything else is allowed. A NULL url,
     one without ``://`` or with an empty host fits nothing and is allowed. NULL ids and repeated rows are judged
-    like any row, an empty table gives an empty result, other columns are ignored.
+    like any row, an empty table gives an empty result, other columns are ignored. Very long urls are judged whole: they
+    have as many keys as others, as both labels and path prefixes are bounded by the listed keys.
     """
     spark = pages.sparkSession
     hosts = listed_hosts(pages) if hosts is None else hosts
@@ -75,7 +76,7 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULE
     universe = judged.select(F.explode("keys").alias("key"))
     block, allow, spam = (build_cascade(listed, universe, "key") for listed in (blocked, allowed, hosts))
 
-    def matched(cascade: Cascade) -> Column:
+    def matched(cascade: Cascade | SplitCascade) -> Column:
         return longest(F.filter("keys", cascade.contains))
 
     judged = judged.select("page_id", "host", "path", matched(block).alias("blocked"), matched(allow).alias("allowed"),

@@ -166,6 +166,18 @@ def test_url_cascade_is_exact_for_many_keys(spark):
     assert wrong.count() == 0
 
 
+def test_url_list_that_is_split(spark, monkeypatch):
+    from emberline.llm import bloom
+    monkeypatch.setattr(bloom, "MAX_BITS", 4000)
+    long = "http://h1.io/" + "p" * 200_000
+    pages = spark.range(2000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), "id", F.lit(".io/p")).alias("url")).union(
+        spark.createDataFrame([(-1, long), (-3, long.replace("h1", "h3"))], "page_id long, url string"))
+    listed = spark.range(0, 2000, 3).select(F.concat(F.lit("h"), "id", F.lit(".io")).alias("key"))
+    assert isinstance(bloom.build_cascade(listed, listed, "key"), bloom.SplitCascade)
+    blocked = {r.page_id for r in filter_urls(pages, hosts=listed).filter("verdict = 'block'").collect()}
+    assert blocked == {-3, *range(0, 2000, 3)}
+
+
 def test_packing(messy, given):
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(PATH_6)
@@ -259,13 +271,31 @@ def test_bpe_folds_agree(spark):
     import tiktoken
     ranks = bpe.read_ranks(PATH_8)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    table, size = bpe.rank_map(ranks)
     words = ["", "a", " the", " erthntou", "ñandú", "中文字", "\x00\x1c", "aaaaaaaaaaaaaaaaaaa", " Überprüfung", "12345678901", "!?!?---"]
     words += [bytes([b]).decode("latin-1") * n for b in range(256) for n in (1, 2, 7)] + ["ab" * 60, "the" * 40]
-    rows = spark.createDataFrame([(w,) for w in words], "word string")
-    found = rows.select("word", bpe.let(table, lambda t: bpe.fold_ids(bpe.byte_ids(F.col("word"), ranks), t, size)).alias("ids")).collect()
+    rows = spark.createDataFrame([(w, [ranks[bytes([b])] + 1 for b in w.encode()]) for w in words], "word string, single array<long>")
+    found = rows.select("word", bpe.let(bpe.rank_map(ranks), lambda t: bpe.fold_ids(F.col("single"), t)).alias("ids")).collect()
     for r in found:
-        assert r.ids == library.encode_ordinary(r.word), r.word
+        assert [i - 1 for i in r.ids] == library.encode_ordinary(r.word), r.word
+
+
+def test_bpe_rank_table():
+    ranks = bpe.read_ranks(PATH_8)
+    starts, slots = bpe.pair_rows(ranks)
+    for token in list(ranks)[::50]:
+        for i in range(1, len(token)):
+            a, b = ranks.get(token[:i]), ranks.get(token[i:])
+            if a is not None and b is not None:
+                assert slots[starts[a + 1] + b + 1] == ((a + 1) << 21) + ranks[token] + 1
+    owners = [s >> 21 for s in slots]
+    assert len(slots) > max(starts) + max(ranks.values()) + 1 and owners.count((1 << 21) - 1) < len(slots)
+
+
+def test_bpe_packed_numbers_and_texts():
+    for values in ([], [0], [1, 2 ** 32 - 1, 77777]):
+        assert bpe.unpack(bpe.pack(np.array(values, np.int64))).tolist() == values
+    for texts in ([], ["", "é", "a\x00\n中", ""]):
+        assert bpe.unpack_texts(*bpe.pack_texts(texts)) == texts
 
 
 def test_bpe_of_many_shards(given):
