@@ -64,9 +64,9 @@ def rate_sql(count: str, total: str) -> str:
     return f"try_divide(CAST({count} AS DOUBLE), CAST({total} AS DOUBLE))"
 
 
-def count_each(df: DataFrame, tests: dict[str, str]) -> DataFrame:
-    """One row: ``_rows`` and, per name, how many rows pass the SQL test. One pass over the data."""
-    return df.selectExpr("count(*) AS _rows", *[f"count_if({test}) AS `{name}`" for name, test in tests.items()])
+def count_each(df: DataFrame, tests: dict[str, str], by: list[str] | None = None) -> DataFrame:
+    """One row (per ``by``): ``_rows`` and, per name, how many rows pass the SQL test. One pass over the data."""
+    return df.groupBy(*by or []).agg(F.count("*").alias("_rows"), *[F.expr(f"count_if({test}) AS `{name}`") for name, test in tests.items()])
 
 
 def long_form(one_row: DataFrame, names: list[str], values: dict[str, str],

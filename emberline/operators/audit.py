@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,13 +135,13 @@ def users_with_zero_reviews(df: DataFrame) -> DataFrame:
             .select(S.USER, "min_author_num_reviews"))
 
 
-def _user_minimum(df: DataFrame) -> DataFrame:
+def _user_minimum(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return (df.where(F.col(S.USER).isNotNull())
-            .groupBy(S.USER).agg(F.min("author_num_reviews").alias("min_author_num_reviews")))
+            .groupBy(*by or [], S.USER).agg(F.min("author_num_reviews").alias("min_author_num_reviews")))
 
 
-def playtime_decreases(df: DataFrame) -> DataFrame:
-    """Reviews whose lifetime playtime is below that of the previous review of the same user and app.
+def playtime_decreases(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Reviews whose lifetime playtime is below that of the previous review of the same user and app (and ``by``).
 
     The order is (created, updated, playtime, votes_up). Rows equal in all four have equal playtime
     and can never differ from each other, so copies collapse before the window. A (user, app) pair
@@ -149,7 +149,7 @@ def playtime_decreases(df: DataFrame) -> DataFrame:
     and the step from one bucket to the next compares the buckets' last and first rows.
     """
     order = [S.CREATED, S.UPDATED, "author_playtime_forever", "votes_up"]
-    pair = [S.USER, S.APP]
+    pair = [*(by or []), S.USER, S.APP]
     needed = [*pair, S.CREATED, "author_playtime_forever"]
     steps = df.select(*pair, *order)
     for c in needed:
@@ -212,47 +212,68 @@ def full_audit(df: DataFrame) -> DataFrame:
     Rows, nulls, zero values and all row rules come from one aggregate over the data; users,
     playtime order, distinct values and duplicates need a shuffle each.
     """
-    sections = {"null": _null_tests(df.columns), "noise": _noise_tests(),
+    return _audit(df, []).select("section", "item", "item_count", "item_rate")
+
+
+def _audit(df: DataFrame, by: list[str]) -> DataFrame:
+    """``full_audit`` for each value of the columns ``by`` at once, every report from one pass over all of them."""
+    columns = [c for c in df.columns if c not in by]
+    sections = {"null": _null_tests(columns), "noise": _noise_tests(),
                 **{section: {r.name: r.predicate for r in rules} for section, rules in (
                     ("consistency", CONSISTENCY_RULES), ("validity", VALIDITY_RULES), ("anomaly", ANOMALY_RULES))}}
     counted = count_each(df, {f"{section}|{item}": test for section, tests in sections.items()
-                              for item, test in tests.items()})
-    width = len(df.columns)
+                              for item, test in tests.items()}, by)
+    width, valued = len(columns), [*S.NUMERIC_COLUMNS, *S.BOOLEAN_COLUMNS]
     cells = [("structure", "rows", "_rows", "CAST(NULL AS BIGINT)"),
              ("structure", "columns", f"CAST({width} AS BIGINT)", "CAST(NULL AS BIGINT)"),
              ("structure", "cells", f"_rows * {width}", "CAST(NULL AS BIGINT)"),
-             *[(section, item, f"`{section}|{item}`", "_rows") for section, tests in sections.items() for item in tests]]
-    base = counted.selectExpr("inline(array(" + ", ".join(
+             *[(section, item, f"`{section}|{item}`", "_rows") for section, tests in sections.items() for item in tests],
+             # Zero where the reports below have nothing to say.
+             *[(section, item, "0L", total) for section, item, total in [
+                 ("consistency", ZERO_REVIEW_RULE, "0L"), ("consistency", DECREASE_RULE, "_rows"),
+                 *[("uniqueness", c, "_rows") for c in valued],
+                 *[("duplicates", f"{kind}_{n}", "_rows") for kind in ("exact", "key")
+                   for n in ("duplicate_groups", "duplicate_group_rows", "duplicate_surplus_rows")]]]]
+    table = counted.selectExpr(*by, "inline(array(" + ", ".join(
         f"named_struct('section', '{section}', 'item', '{item}', 'item_count', {count}, 'denominator', {total})"
         for section, item, count, total in cells) + "))")
 
-    def part(source: DataFrame, section: str, item: str, count: str, denominator: str = "-1") -> DataFrame:
-        return source.selectExpr(f"'{section}' AS section", f"{item} AS item", f"CAST({count} AS BIGINT) AS item_count",
+    def part(source: DataFrame, section: str, item: str, count: str, denominator: str = "0") -> DataFrame:
+        return source.selectExpr(*by, f"'{section}' AS section", f"{item} AS item", f"CAST({count} AS BIGINT) AS item_count",
                                  f"CAST({denominator} AS BIGINT) AS denominator")
 
-    users = _user_minimum(df).agg(
+    users = _user_minimum(df, by).groupBy(*by).agg(
         F.count("*").alias("users"), F.count_if(F.col("min_author_num_reviews") <= 0).alias("n"))
-    decreases = playtime_decreases(df).agg(F.count("*").alias("n"))
-    distinct = distinct_counts(df, [*S.NUMERIC_COLUMNS, *S.BOOLEAN_COLUMNS])
-    dups = duplicates.duplicate_totals(df)
-    table = union_all([
-        base,
+    decreases = playtime_decreases(df, by).groupBy(*by).agg(F.count("*").alias("n"))
+    distinct = value_counts(df, valued, "string", by).groupBy(*by, NAME).agg(F.count(VALUE).alias("n_unique"))
+    found = union_all([
+        table,
         part(users, "consistency", f"'{ZERO_REVIEW_RULE}'", "n", "users"),
         part(decreases, "consistency", f"'{DECREASE_RULE}'", "n"),
         part(distinct, "uniqueness", "column_name", "n_unique"),
-        part(dups, "duplicates", "item", "item_count"),
+        part(duplicates.duplicate_totals(df, by=by), "duplicates", "item", "item_count"),
     ])
-    # A report of under a hundred rows, so one window over all of it is bounded by the rule list.
-    everything = Window.partitionBy(F.lit(1))
-    rows = F.max(F.when((F.col("section") == "structure") & (F.col("item") == "rows"),
-                        F.col("item_count"))).over(everything)
-    return table.select("section", "item", "item_count", safe_rate(
-        F.col("item_count"),
-        F.when(F.col("denominator") == -1, rows).otherwise(F.col("denominator"))).alias("item_rate"))
+    # Of two rows for an item one is a zero or has no denominator.
+    total = found.groupBy(*by, "section", "item").agg(F.sum("item_count").alias("item_count"), F.sum("denominator").alias("denominator"))
+    return total.withColumn("item_rate", safe_rate(F.col("item_count"), F.col("denominator")))
+
+
+def compare_with_sample(df: DataFrame, in_sample: Column) -> DataFrame:
+    """The same rules on all rows and on those of a sample, side by side, from one pass per report over both.
+
+    A row of the sample is read once and counted in both datasets, so that the comparison costs the audit of all rows
+    and that of the sample's share of them.
+    """
+    datasets = F.when(in_sample, F.array(F.lit("full"), F.lit("sample"))).otherwise(F.array(F.lit("full")))
+    audited = _audit(df.withColumn("_dataset", F.explode(datasets)), ["_dataset"])
+    both = audited.groupBy("section", "item").agg(*[
+        F.max(F.when(F.col("_dataset") == d, F.col(f"item_{m}"))).alias(f"{d}_{m}") for d in ("full", "sample") for m in ("count", "rate")])
+    return both.select("section", "item", "full_count", "full_rate", "sample_count", "sample_rate",
+                       (F.col("sample_rate") - F.col("full_rate")).alias("rate_difference"))
 
 
 def compare_audits(sample: DataFrame, full: DataFrame) -> DataFrame:
-    """The same rules on a sample and on the full data, side by side."""
+    """The same rules on two tables, side by side. ``compare_with_sample`` costs half where one is part of the other."""
     left = full_audit(full).withColumnsRenamed({"item_count": "full_count", "item_rate": "full_rate"})
     right = full_audit(sample).withColumnsRenamed({"item_count": "sample_count", "item_rate": "sample_rate"})
     return left.join(right, ["section", "item"], "left").select(

@@ -26,15 +26,18 @@ def key_duplicate_groups(df: DataFrame, keys: list[str] = S.KEY_COLUMNS) -> Data
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
-def duplicate_totals(df: DataFrame, keys: list[str] = S.KEY_COLUMNS) -> DataFrame:
-    """(item, item_count): exact and key duplicate groups, their rows, and the surplus copies."""
-    exact = exact_duplicate_groups(df).agg(
-        F.count("*").alias("groups"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"))
-    by_key = key_duplicate_groups(df, keys).agg(
-        F.count("*").alias("groups"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"))
+def duplicate_totals(df: DataFrame, keys: list[str] = S.KEY_COLUMNS, by: list[str] | None = None) -> DataFrame:
+    """(item, item_count): exact and key duplicate groups, their rows, and the surplus copies.
+
+    With ``by`` (columns of ``df``) per value of them, where there are duplicates.
+    """
+    own = by or []
+    totals = [F.count("*").alias("groups"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")]
+    exact = exact_duplicate_groups(df).groupBy(*own).agg(*totals)
+    by_key = key_duplicate_groups(df, [*own, *keys]).groupBy(*own).agg(*totals)
 
     def rows(source: DataFrame, kind: str) -> DataFrame:
-        return source.select(F.inline(F.array(*[
+        return source.select(*own, F.inline(F.array(*[
             F.struct(F.lit(f"{kind}_{name}").alias("item"), value.alias("item_count")) for name, value in [
                 ("duplicate_groups", F.col("groups")),
                 ("duplicate_group_rows", F.col("rows")),

@@ -32,14 +32,15 @@ def known_values(df: DataFrame, column: str) -> str:
     return f"`{column}`"
 
 
-def value_counts(df: DataFrame, columns: list[str], value_type: str = "double") -> DataFrame:
-    """(column_name, value, value_count) of every known value; partial counts run before the shuffle.
+def value_counts(df: DataFrame, columns: list[str], value_type: str = "double", by: list[str] | None = None) -> DataFrame:
+    """(column_name, value, value_count) of every known value, per ``by``; partial counts run before the shuffle.
 
     NaN is no value (``nan_counts`` reports it), and -0.0 is 0.0, also where values are taken as text.
     """
-    typed = df.selectExpr(*[f"CAST({known_values(df, c)} AS {value_type}) AS `{c}`" for c in columns])
-    return (typed.unpivot([], columns, NAME, VALUE).where(f"{VALUE} IS NOT NULL")
-            .groupBy(NAME, VALUE).agg(F.count("*").alias(COUNT)))
+    keys = by or []
+    typed = df.selectExpr(*keys, *[f"CAST({known_values(df, c)} AS {value_type}) AS `{c}`" for c in columns])
+    return (typed.unpivot(keys, columns, NAME, VALUE).where(f"{VALUE} IS NOT NULL")
+            .groupBy(*keys, NAME, VALUE).agg(F.count("*").alias(COUNT)))
 
 
 def nan_counts(df: DataFrame, columns: list[str]) -> DataFrame:

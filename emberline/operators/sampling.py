@@ -25,8 +25,16 @@ def user_share(share: float, user: str = S.USER, salt: str = "") -> Column:
 
 def sample_users_until(df: DataFrame, share: float = 0.02, quantile: float = 0.95) -> DataFrame:
     """All rows of a share of the users, up to a quantile of the event time."""
-    cutoff = exact_cutoffs(df, S.CREATED, {"cutoff": quantile}).scalar()
-    return until(df, cutoff).where(user_share(share))
+    return until(df, time_quantile(df, quantile)).where(user_share(share))
+
+
+def time_quantile(df: DataFrame, quantile: float) -> Column:
+    return exact_cutoffs(df, S.CREATED, {"cutoff": quantile}).scalar()
+
+
+def in_sample(df: DataFrame, share: float = 0.02, quantile: float = 0.95) -> Column:
+    """Whether a row is one of ``sample_users_until``."""
+    return user_share(share) & (F.col(S.CREATED) <= time_quantile(df, quantile))
 
 
 def rows_of_users(df: DataFrame, users: DataFrame, user: str = S.USER) -> DataFrame:
