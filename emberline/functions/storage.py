@@ -29,8 +29,24 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+_scratch_folders: dict[str, str] = {}
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The application's own folder in the shared one. It is deleted, with all it holds, when the driver's JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch_folders:
+        folder = f"{shared_folder(spark).rstrip('/')}/scratch-{app}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _scratch_folders[app] = folder
+    return _scratch_folders[app]
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, kind: str = "table") -> DataFrame:

@@ -1,6 +1,9 @@
 """Inputs that the given tables don't hold: NaN, -0.0, 64-bit ids, undeclared genres, young cohorts, no shared folder."""
 
 import math
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,3 +151,18 @@ def test_ranks_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "SPLIT_VALUES", 20)
     many = sorted(map(tuple, quantiles.ranked_values(counts).collect()))
     assert one == many and [r[3] for r in many if r[0] == "a"][0] == 0 and max(r[4] for r in many) == 3000
+
+
+def test_scratch_goes_with_the_application(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+from emberline.functions.storage import materialize
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate())
+import os
+print("ROWS", materialize(spark.range(5)).count(), len([f for _, _, names in os.walk("{tmp_path}/shared") for f in names]) > 0)
+spark.stop()
+"""
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert "ROWS 5 True" in run.stdout, run.stderr[-800:]
+    assert [f for _, _, names in os.walk(tmp_path / "shared") for f in names] == []
