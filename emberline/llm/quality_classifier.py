@@ -131,7 +131,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted (score >= 0.3) for every row of ``docs`` (doc_id, text).
 
     ``labels`` (doc_id, quality): only rows that aren't held out are learnt from. NULL texts count as empty and
-    are scored; repeated rows are scored each; an empty table gives an empty result; without labels of both
+    are scored; repeated rows are scored each; very long texts are counted whole; an empty table gives an empty result; without labels of both
     classes each score is the share of label 1 (0.5 without any). Other columns are ignored.
     """
     vectors = materialize(document_features(docs), "quality-features")
@@ -143,7 +143,8 @@ def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are predicted as good.
 
-    Texts are scored where they lie: no row is joined back, so that NULL and repeated ids don't matter.
+    NULL and empty texts get the score of a text without words; an empty table gives an empty one; very long texts are
+    counted whole. Texts are scored where they lie: no row is joined back, so that NULL and repeated ids don't matter.
     """
     model = train(materialize(document_features(docs), "quality-features"), labels)
 

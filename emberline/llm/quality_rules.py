@@ -134,8 +134,8 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
 
     ``base_failed``: fewer than ten words, or more than a fifth of the words in repeated five-word windows.
     ``kept``: not base_failed and posterior >= 0.5. NULL and empty texts have no words and fail; a NULL doc_id
-    and repeated rows are judged like any other row; an empty table gives an empty result. Other columns of
-    ``docs`` are ignored.
+    and repeated rows are judged like any other row; very long texts are counted whole; an empty table gives an empty
+    result. Other columns of ``docs`` are ignored.
     """
     statistics = materialize(document_statistics(docs), "quality-statistics")
     return judge(statistics, learn(statistics.filter(~_base_failed()), rules), rules)
@@ -155,7 +155,7 @@ def judge(statistics: DataFrame, model: VoteModel, rules: tuple[Rule, ...] = RUL
 def keep_by_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are kept.
 
-    Statistics are taken again beside each text: no row is joined back, so that NULL and repeated ids don't matter.
+    NULL and empty texts are not kept; an empty table gives an empty one; very long texts are counted whole. Statistics are taken again beside each text: no row is joined back, so that NULL and repeated ids don't matter.
     """
     statistics = materialize(document_statistics(docs), "quality-statistics")
     model = learn(statistics.filter(~_base_failed()), rules)

@@ -287,8 +287,8 @@ def scan_secrets(docs: DataFrame, base: tuple[SecretRule, ...] = BASE_RULES,
     """Counts per base kind, digest of the base spans and all spans, for every row of ``docs`` (doc_id, text).
 
     Spans are kind:start:end in code points, by start and then in the order of the rules. NULL texts count as
-    empty and have none; a NULL doc_id and repeated rows are scanned like any row; an empty table gives an empty
-    result; other columns are ignored.
+    empty and have none; a NULL doc_id and repeated rows are scanned like any row; very long texts are scanned whole; an
+    empty table gives an empty result; other columns are ignored.
     """
     rules = (*base, *more)
     schema = ("doc_id long, " + ", ".join(f"n_{r.kind} long" for r in base) + ", base_sha256 string, spans string")
@@ -313,7 +313,10 @@ def masked(text: str, spans: list[tuple[int, int, int]], mask: str = MASK) -> st
 
 
 def mask_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = (*BASE_RULES, *MORE_RULES)) -> DataFrame:
-    """``docs`` with the secrets in ``text`` replaced by MASK; all other columns and rows stay as they are."""
+    """``docs`` with the secrets in ``text`` replaced by MASK; all other columns and rows stay as they are.
+
+    NULL stays NULL and empty texts stay empty; very long texts are masked whole; an empty table stays empty.
+    """
 
     @pandas_udf("string")
     def mask(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
