@@ -1,6 +1,8 @@
 """From raw documents to packed sequences: classify, apply rules, drop near duplicates, mask secrets, pack.
 
-Each stage reads the Parquet that the one before it wrote. All but the last return the columns of documents.
+Each stage reads the Parquet that the one before it wrote. All but the last return the columns of documents, whatever
+further columns there are. Every stage takes NULLs in any column, repeated rows and ids, and very long texts (worked on
+whole), and turns an empty table into an empty one; what becomes of NULL and empty texts is said with each.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ from emberline.llm.secret_scan import mask_secrets
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, taught by the labels of ``sf_dir``, predicts as good."""
+    """Documents that the classifier, taught by the labels of ``sf_dir``, predicts as good; NULL and empty texts are scored as texts without words."""
     return keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base checks and that the rules' votes find good."""
+    """Documents that pass the base checks and that the rules' votes find good: NULL and empty texts don't."""
     return keep_by_rules(docs)
 
 
@@ -34,12 +36,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced in their texts; n_chars follows."""
+    """All documents, secrets replaced in their texts; n_chars follows, and stays where the text is NULL."""
     return mask_secrets(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences; NULL and empty texts are the end mark alone."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
