@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 ARCHIVE_BYTES = 256 << 20
 GAP_BYTES = 64 << 10
 RANGE_BYTES = 8 << 20
+#: Bytes of archive that a task reads, about.
+TASK_BYTES = 32 << 20
 SALTS = 16
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -170,7 +172,10 @@ def joined_ranges(rows: list[tuple[str, int, int]]) -> Iterator[tuple[str, int,
 
 
 def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the chosen rows of an index (RECORD); each payload is checked against its digest."""
+    """The records of the chosen rows of an index (RECORD); each payload is checked against its digest.
+
+    Tasks are stretches of files with about TASK_BYTES of chosen records each, however few index rows these are.
+    """
     struct = T._parse_datatype_string(RECORD)
     schema = arrow_schema(struct)
 
@@ -188,5 +193,7 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, f.type) for v, f in zip(zip(*rows), schema)], schema=schema)
 
-    by_file = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
-    return by_file.mapInArrow(read, struct)
+    ranges = index.select("file", "offset", "length")
+    tasks = max(1, -(-(ranges.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    by_place = ranges.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
+    return by_place.mapInArrow(read, struct)
