@@ -480,10 +480,10 @@ def _stream_pairs(k: int):
     return run
 
 
-def super_blocks(n: int, dimensions: int, k: int, tasks: int, held_bytes: int = HELD_BYTES) -> int:
+def super_blocks(n: int, dimensions: int, k: int, tasks: int, held_bytes: int | None = None) -> int:
     """How many super-blocks n vectors make: as few as fit into memory, and enough pairs of them for all tasks."""
     row = 8 * dimensions + 24 * 5 * k  # a vector and its lists
-    return max(1, -(-n * row // held_bytes), math.isqrt(2 * tasks))
+    return max(1, -(-n * row // (held_bytes or HELD_BYTES)), math.isqrt(2 * tasks))
 
 
 def place_pairs(units: DataFrame, blocks: int) -> DataFrame:

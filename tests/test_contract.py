@@ -29,6 +29,8 @@ feat_full clean_full clean_step_counts prof_quantiles prof_skewness prof_histogr
 prof_imbalance prof_extremes prof_pearson prof_spearman prof_nullity_corr prof_duplicates prof_text_lengths
 prof_interactions prof_rejects ml_logreg ml_rf ml_gbt ml_metrics ml_error_slices ml_pca ml_threshold_sweep
 retention_curve ml_als ml_als_held_out src_csv_reviews ingest_reviews scalar_showcase games_load_csv prof_nan_counts
+sim_topk_work split_cutoffs_error sample_given_users split_given_users src_csv_rejects snk_report_formats ml_scores
+ml_pca_variance ml_als_fit
 """.split()
 ROWS_ONLY = {"split_cutoffs_approx", "ml_logreg", "ml_rf", "ml_gbt", "ml_pca", "ml_als"}
 #: What was wrong once or is intricate, and every third of the rest.
@@ -36,7 +38,8 @@ CHOSEN = ["audit_all", "audit_consistency_summary", "audit_playtime_decreases",
           "churn_snapshots_all", "sim_topk", "sim_embeddings_topk", "cooc_genre_matrix", "prof_boxplot", "prof_rejects",
           "cov_catalog_union", "cov_reviews_not_in_catalog", "cov_games_not_reviewed", "cov_summary", "ml_als_held_out",
           "src_csv_reviews", "ingest_reviews", "scalar_showcase", "games_load_csv", "games_inspect", "sample_n_rows",
-          "retention_curve"]
+          "retention_curve", "sim_topk_work", "split_cutoffs_error", "sample_given_users", "split_given_users", "src_csv_rejects",
+          "snk_report_formats", "audit_sample_vs_full", "prof_spearman", "prof_categories", "prof_extremes", "ml_als_fit"]
 OWN = {name: query for name, query in all_queries().items()}
 CHECKED = [*CHOSEN, *[n for n in sorted(n for n, q in OWN.items() if q.sql and n not in CHOSEN)][::3]]
 

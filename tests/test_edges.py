@@ -99,7 +99,7 @@ def test_sample_rows_sorts_only_what_it_needs(spark):
 
 
 def test_dense_pairs_are_multiplied_once(spark, monkeypatch):
-    monkeypatch.setattr(similarity, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(similarity, "HELD_BYTES", 20 * 1_000)
     n = 97
     df = spark.range(n).select(F.col("id").alias("vec_id"), F.array(*[
         (F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) - 500).cast("float") for i in range(6)]).alias("embedding"))
@@ -115,7 +115,7 @@ def test_dense_pairs_are_multiplied_once(spark, monkeypatch):
         assert [s for _, s in got] == pytest.approx([-s for s, _ in best], abs=1e-4)
     blocks = similarity._top_vector_shapes(df.select(F.col("vec_id").alias("shape"), F.col("embedding").cast("array<double>").alias("vector")), 5)
     plan = blocks._jdf.queryExecution().executedPlan().toString()
-    assert "FlatMapGroupsInArrow" in plan and "CartesianProduct" not in plan
+    assert "MapInArrow" in plan and plan.count("REPARTITION_BY_NUM") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
 def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):

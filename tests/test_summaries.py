@@ -73,6 +73,7 @@ def test_sketches_of_parts_merge_to_cutoffs_within_a_thousandth(spark):
 
 
 def test_cuts_prune_months(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
     df = reviews_by_month(spark, SF)
     sample = sampling.sample_users_until(df, 0.5, 0.3)
     def partition_filters(rows):
