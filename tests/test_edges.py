@@ -68,6 +68,16 @@ def test_als_takes_64_bit_ids_and_keeps_every_held_out_pair(spark):
     assert all(r.prediction is None or not math.isnan(r.prediction) for r in found)
 
 
+def test_als_beats_the_mean_where_users_share_many_apps(spark):
+    """No structure and many ratings each: whatever is drawn towards zero by the penalty does worse than the mean."""
+    reviews = spark.range(400 * 400).select(
+        (F.col("id") % 400).alias("author_steamid"), F.floor(F.col("id") / 400).cast("int").alias("appid"),
+        (F.pmod(F.xxhash64("id"), F.lit(50)) * 60 + 60).cast("int").alias("author_playtime_forever"))
+    found = models.playtime_factors(reviews, held_out=False)
+    error, variance = found.agg(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)), F.var_pop("rating")).first()
+    assert error < variance
+
+
 def test_dense_ids_are_dense_and_ordered(spark):
     ids = spark.range(0, 5000, 7).select((F.col("id") * 10**12).alias("u")).union(spark.range(3).select(F.lit(None).cast("long")))
     found = sorted((r.u, r.i) for r in models.dense_ids(ids.repartition(5), "u", "i").collect())
