@@ -79,3 +79,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "review:" not in scan
     latest = entry.queries()["clean_keep_latest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert latest.count("WindowGroupLimit") == 2
+
+
+def test_showcase_works_out_a_review_before_it_is_multiplied(spark):
+    plan = entry.queries()["scalar_showcase"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2
+    assert "from_json" not in plan[:plan.rindex("Generate explode")] and "from_json" in plan
