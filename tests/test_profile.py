@@ -112,3 +112,13 @@ def test_models_fit(spark):
         assert scored.count() == 120
         assert models.classification_metrics(scored).first().roc_auc > 0.6
     assert models.principal_components(snapshots).select("pc1", "pc2").dropna().count() == 120
+
+
+def test_csv_reports_come_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    """A file with line breaks inside texts can't be split, so that a task reads as much as the largest file holds."""
+    monkeypatch.setattr(sinks, "CSV_FILE_ROWS", 100)
+    texts = spark.range(0, 1_000, 1, 2).select("id", F.concat(F.lit('a "b"\n'), "id").alias("text"))
+    path = sinks.write_report(texts, str(tmp_path), "texts", "csv")
+    read = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    assert read.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] == 100
+    assert sorted((int(r.id), r.text) for r in read.collect()) == sorted((r.id, r.text) for r in texts.collect())
