@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emberline import schema as S
 from emberline.functions.columns import is_missing
+from emberline.functions.layout import deal
 from emberline.operators.duplicates import drop_exact_duplicates
 
 
@@ -27,15 +28,17 @@ def drop_artifacts(df: DataFrame) -> DataFrame:
     return df.where(F.col("votes_funny") < S.UINT32_ARTIFACT_FROM)
 
 
-def keep_latest(df: DataFrame, keys: list[str] = S.KEY_COLUMNS, version: str = S.UPDATED) -> DataFrame:
+def keep_latest(df: DataFrame, keys: list[str] = S.KEY_COLUMNS, version: str = S.UPDATED,
+                counted: DataFrame | None = None) -> DataFrame:
     """One row per key: the latest version, ties broken by every other column (DESC, NULLs last).
 
-    ``row_number() = 1`` lets Spark drop older versions inside each input partition before the
-    shuffle, so a key that holds a large part of the rows sends one row per partition.
+    Rows are dealt by key into parts of bounded size (``counted`` as in ``deal``), so that no task sorts more of a
+    larger table; a part with a key of very many rows is sorted on disk. Of small tables, ``row_number() = 1`` lets
+    Spark drop older versions inside each input partition before the shuffle.
     """
     others = [c for c in df.columns if c not in (*keys, version)]
     order = [F.col(c).desc_nulls_last() for c in [version, *others]]
-    ranked = df.withColumn("_version", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    ranked = deal(df, keys, counted).withColumn("_version", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_version") == 1).drop("_version")
 
 
@@ -44,7 +47,7 @@ def clean_reviews(df: DataFrame) -> DataFrame:
 
     Exact copies share their key, so keeping one version per key removes them as well: one shuffle.
     """
-    return keep_latest(drop_artifacts(drop_incomplete(df)))
+    return keep_latest(drop_artifacts(drop_incomplete(df)), counted=df)
 
 
 def step_counts(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emberline import schema as S
 from emberline.functions.columns import union_all
+from emberline.functions.layout import deal
 
 
 def exact_duplicate_groups(df: DataFrame) -> DataFrame:
@@ -83,4 +84,5 @@ def conflicting_rows(df: DataFrame, keys: list[str] = S.KEY_COLUMNS) -> DataFram
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """Distinct rows, in parts of bounded size; copies of a row take no memory where they meet."""
+    return deal(df, df.columns).dropDuplicates()

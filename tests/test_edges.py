@@ -8,8 +8,8 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from emberline.functions import storage
-from emberline.operators import audit, catalog, cooccurrence, models, profiling, quantiles, retention, sampling, similarity
+from emberline.functions import layout, storage
+from emberline.operators import audit, catalog, cleaning, cooccurrence, models, profiling, quantiles, retention, sampling, similarity
 
 NAN = float("nan")
 
@@ -176,3 +176,17 @@ spark.stop()
     run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert "ROWS 5 True" in run.stdout, run.stderr[-800:]
     assert [f for _, _, names in os.walk(tmp_path / "shared") for f in names] == []
+
+
+def test_parts_of_cleaning_do_not_grow_with_the_table(spark, monkeypatch):
+    df = spark.range(4_000).select(
+        (F.col("id") % 700).alias("author_steamid"), (F.col("id") % 3).cast("int").alias("appid"),
+        (F.col("id") % 7).alias("timestamp_created"), (F.col("id") % 2_100).alias("timestamp_updated"))
+    operators = [cleaning.keep_latest, cleaning.drop_exact_duplicates]
+    whole = [sorted(map(tuple, operator(df).collect())) for operator in operators]
+    monkeypatch.setattr(layout, "PART_ROWS", 100)
+    for operator, rows in zip(operators, whole):
+        found = operator(df)
+        sizes = found.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+        assert sizes[0] > 30 and sizes[1] < 200
+        assert sorted(map(tuple, found.collect())) == rows
