@@ -117,3 +117,12 @@ def test_exploration(spark):
 def test_snapshots_of_no_reviews_are_empty(spark):
     out = churn.churn_snapshots_at_quantiles(rows_frame(spark, []))
     assert out.count() == 0 and "churn" in out.columns
+
+
+def test_snapshots_read_the_log_as_it_was_ingested(spark):
+    """They need most of it; a copy by month would shuffle and write more than they themselves do."""
+    from emberline.plans import all_queries
+    queries = all_queries()
+    for name in ("churn_snapshot_train", "churn_snapshot_val", "churn_snapshot_test", "churn_snapshots_all"):
+        files = queries[name].run(spark, "/root/testdata/sf0.001").inputFiles()
+        assert files and all("/reviews-" in f and "by-month" not in f for f in files), name
