@@ -27,7 +27,7 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
 
 
 def map_rows(df: DataFrame, columns: list[str], schema: str,
-             make: Callable[[], Callable[..., Iterable[tuple]]]) -> DataFrame:
+             make: Callable[[], Callable[..., Iterable[tuple]]], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``make()`` runs once per task and returns a function from the columns of a slice to result rows.
 
     Only ``columns`` are read, so other columns of the table, whatever their names, play no part. A slice is
@@ -39,8 +39,8 @@ def map_rows(df: DataFrame, columns: list[str], schema: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(start, SLICE_ROWS)
+            for start in range(0, batch.num_rows, slice_rows):
+                part = batch.slice(start, slice_rows)
                 rows = list(work(*(column.to_pylist() for column in part.columns)))
                 if rows:
                     yield pa.RecordBatch.from_arrays(

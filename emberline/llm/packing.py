@@ -11,15 +11,20 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
+from itertools import chain, compress, islice
+from operator import not_
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline.functions.storage import materialize
 from emberline.llm.common import map_rows
-from emberline.llm.text_chunks import chunks
+from emberline.llm.text_chunks import chunks_by_line
 
 #: Fixed values of the result contract.
 LENGTH = 1024
@@ -32,15 +37,18 @@ GROUP_ITEMS = 65_536
 WORTH = 0.001
 MAX_ROUNDS = 20
 
-#: Chunks longer than this aren't kept; the cache is emptied when it has so many.
+#: Chunks longer than this aren't kept; when the cache has so many, only those that the next texts hold stay.
 CACHE_CHARS = 48
 CACHE_CHUNKS = 600_000
 
-#: Punctuation that ends many chunks; a chunk is put together from the one without it.
-MARKS = ".,;:!?"
+#: Rows, and characters of their texts, that are cut into chunks at a time; a longer text is cut by itself.
+TOGETHER_ROWS = 2_048
+TOGETHER_CHARS = 4_000_000
+#: Texts whose ids are put together at a time.
+GATHERED_TEXTS = 64
 
-#: How byte-level vocabularies write a blank.
-BLANK = "\u0120"
+#: How byte-level vocabularies write a blank and a line break.
+BLANK, BREAK = "\u0120", "\u010a"
 
 
 class ChunkEncoder:
@@ -63,47 +71,76 @@ class ChunkEncoder:
         self.cut_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
         self.tokenizer.encode_special_tokens = True  # what reaches the library holds none, or takes them for text
         vocabulary = self.tokenizer.get_vocab()
-        self.starts_blank = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.starts_blank[[i for t, i in vocabulary.items() if t.startswith(BLANK)]] = True
+        self.opens = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in " \n"}
+        for before, written in ((" ", BLANK), ("\n", BREAK)):
+            self.opens[before][[i for t, i in vocabulary.items() if t.startswith(written)]] = True
         self.marks: dict[str, bytes] = {}
-        self._learn(self.marks, list(MARKS), "")
         self.whole: dict[str, bytes] = {}
         self.after_blank: dict[str, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self, known: dict[str, bytes], new: list[str], before: str) -> None:
-        if before:  # blanks stand before chunks only, so that all can be encoded as one text and told apart
-            text = [before + before.join(new)]
-            ids = np.array(self.tokenizer.encode_batch_fast(text, add_special_tokens=False)[0].ids, "<u4")
-            starts = np.flatnonzero(self.starts_blank[ids])
+        """``new`` are chunks that stand behind ``before``, which the ids include."""
+        if before:  # it stands before chunks only, so that all can be encoded as one text and told apart
+            text = before + before.join(new)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            starts = np.flatnonzero(self.opens[before][ids])
             if len(starts) == len(new):
                 data, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-                known.update((c, data[i:j]) for c, i, j in zip(new, cuts, cuts[1:]))
+                known.update(zip(new, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
                 return
-        found = self.tokenizer.encode_batch_fast([before + c for c in new], add_special_tokens=False)
-        known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, found))
-
-    def _look_up(self, known: dict[str, bytes], parts: list[list[str]], before: str) -> list[list[bytes]]:
-        """Ids of each chunk of each part; chunks that aren't known are learnt together."""
+        known.update(zip(new, self._ids([before + c for c in new])))
+
+    def _learn_all(self, known: dict[str, bytes], new: list[str], before: str) -> None:
+        """Chunks that begin with a line break bring what stands before them, others are behind ``before``."""
+        if not before:
+            self._learn(known, new, "")
+            return
+        lines = [c[1:] for c in new if c[:1] == "\n"]
+        if lines:
+            broken: dict[str, bytes] = {}
+            self._learn(broken, lines, "\n")
+            known.update(("\n" + c, ids) for c, ids in broken.items())
+            new = [c for c in new if c[:1] != "\n"]
+        if new:
+            self._learn(known, new, before)
+
+    def _look_up(self, known: dict[str, bytes], every: list[str], before: str) -> list[bytes]:
+        """Ids of each chunk; those that aren't known are learnt together."""
         if len(known) > CACHE_CHUNKS:
+            kept = {c: known[c] for c in known.keys() & every}
             known.clear()
-        found = [list(map(known.get, part)) for part in parts]
-        missing = []
-        for ids, part in zip(found, parts):
-            at = -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                missing.append((ids, at, part[at]))
-        new = {c for _, _, c in missing}
-        marked = {c for c in new if c[-1:] in self.marks and c[-2:-1].isalpha()}  # a token ends between the two
-        learn = new - marked
-        learn.update(c[:-1] for c in marked if c[:-1] not in known)
+            known.update(kept)
+        found = list(map(known.get, every))
+        missing = list(compress(range(len(every)), map(not_, found)))
+        new = {every[at] for at in missing}
+        if not new:
+            return found
+        learn, marked = [], []
+        for c in new:
+            stem = c.rstrip(punctuation)
+            # A token ends between a letter and punctuation.
+            if stem == c or not stem[-1:].isalpha() or len(c) - len(stem) > CACHE_CHARS:
+                learn.append(c)
+            else:
+                marked.append((c, stem, c[len(stem):]))
+        stems = {stem for _, stem, _ in marked}.difference(known, new)
+        runs = {run for _, _, run in marked}.difference(self.marks)
+        if runs:
+            self._learn(self.marks, list(runs), "")
+        learn += stems
         if learn:
-            self._learn(known, list(learn), before)
-        known.update((c, known[c[:-1]] + self.marks[c[-1]]) for c in marked)
-        for ids, at, c in missing:
-            ids[at] = known[c]
-        for c in learn | new:
-            if len(c) > CACHE_CHARS:
+            self._learn_all(known, learn, before)
+        for c, stem, run in marked:
+            known[c] = known[stem] + self.marks[run]
+        if len(self.marks) > CACHE_CHUNKS:
+            self.marks.clear()
+        for at in missing:
+            found[at] = known[every[at]]
+        if max(map(len, new)) > CACHE_CHARS:
+            for c in [c for c in chain(new, stems) if len(c) > CACHE_CHARS]:
                 del known[c]
         return found
 
@@ -116,10 +153,25 @@ class ChunkEncoder:
                 for part in parts]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [chunks(t) for t in texts]
-        first = self._look_up(self.whole, [w for w, _ in cut], "")
-        rest = self._look_up(self.after_blank, [r for _, r in cut], " ")
-        return [b"".join(f + r) for f, r in zip(first, rest)]
+        cut = [chunks_by_line(t) for t in texts]
+        whole = iter(self._look_up(self.whole, [c for first, _ in cut for c in first], ""))
+        first = [b"".join(islice(whole, len(f))) for f, _ in cut]
+        rests = pa.array([rest for _, rest in cut], pa.large_string())
+        parts = pc.split_pattern(rests, " ")  # no part where there is no rest
+        distinct = parts.flatten().dictionary_encode()
+        ids = self._look_up(self.after_blank, distinct.dictionary.to_pylist(), " ")
+        tokens, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, which, offsets = np.cumsum(sizes) - sizes, distinct.indices.to_numpy(), parts.offsets.to_numpy()
+        del cut, rests, parts, distinct, ids
+        out = []
+        for at in range(0, len(first), GATHERED_TEXTS):
+            bounds = offsets[at:at + GATHERED_TEXTS + 1]
+            own = which[bounds[0]:bounds[-1]]
+            ends = np.concatenate([[0], np.cumsum(sizes[own])])
+            places = np.arange(ends[-1]) + np.repeat(starts[own] - ends[:-1], sizes[own])
+            data, cuts = tokens[places].tobytes(), (4 * ends[bounds - bounds[0]]).tolist()
+            out += [f + data[i:j] for f, i, j in zip(first[at:], cuts, cuts[1:])]
+        return out
 
 
 _encoders: dict[tuple[str, bool], ChunkEncoder] = {}
@@ -133,6 +185,17 @@ def encoder(path: str, added_tokens: bool = False) -> ChunkEncoder:
     return _encoders[key]
 
 
+def together(texts: list[str], chars: int = TOGETHER_CHARS) -> Iterator[list[str]]:
+    """Runs of ``texts`` of ``chars`` characters at most, or of one text."""
+    start, held = 0, 0
+    for at, text in enumerate(texts):
+        if at > start and held + len(text) > chars:
+            yield texts[start:at]
+            start, held = at, 0
+        held += len(text)
+    yield texts[start:]
+
+
 def cut_lengths(total: int, length: int = LENGTH) -> list[int]:
     """Lengths of the pieces of a document: all full but the first, which takes what is left over."""
     first = total % length
@@ -145,8 +208,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, added_tokens: bool = False) ->
         encode, end = encoder(tokenizer, added_tokens).encode, np.array([END_ID], "<u4").tobytes()
 
         def work(ids, texts):
-            rows = []
-            for i, data in zip(ids, encode([t or "" for t in texts])):
+            rows, texts = [], [t or "" for t in texts]
+            found = chain.from_iterable(map(encode, together(texts)))
+            for i, data in zip(ids, found):
                 data, start = data + end, 0
                 for piece, length in enumerate(cut_lengths(len(data) // 4)):
                     crc = zlib.crc32(data[4 * start:4 * (start + length)])
@@ -155,7 +219,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, added_tokens: bool = False) ->
             return rows
         return work
 
-    return map_rows(docs, ["doc_id", "text"], "doc_id long, piece int, start long, length long, ids_crc32 long", make)
+    return map_rows(docs, ["doc_id", "text"], "doc_id long, piece int, start long, length long, ids_crc32 long", make,
+                    TOGETHER_ROWS)
 
 
 def best_fit(sizes: np.ndarray, capacity: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:

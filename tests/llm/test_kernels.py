@@ -223,6 +223,44 @@ def test_encoder_with_added_tokens_equals_the_library_at_its_defaults():
     assert encoder.encode(["a<|endoftext|>b"]) == [np.array([64, 50256, 65], "<u4").tobytes()]
 
 
+def test_line_breaks_and_runs_of_punctuation_equal_the_library():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), packing.ChunkEncoder(path, added_tokens=True)
+    r = np.random.default_rng(5)
+    parts = ["a", "b.\n", "\n", " ", "Aa", "é$$$", "!!", "'s", "'", "\t", "\r\n", "1", "x" * 60, "!" * 60, "\u3000", "\xa0", "ß.'"]
+    texts = ["".join(r.choice(parts, r.integers(0, 12))) for _ in range(4000)] + ["\n", " \n", "a \nb", "a\n", "a\n\nb ", "\na\n b"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    for start in range(0, len(texts), 500):
+        assert encoder.encode(texts[start:start + 500]) == want[start:start + 500]
+    assert all(len(c) <= packing.CACHE_CHARS for c in encoder.after_blank)
+
+
+def test_a_word_is_learnt_once_whatever_marks_and_lines_it_stands_in(monkeypatch):
+    encoder = packing.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
+    learnt, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda known, new, before: learnt.extend(new) or learn(known, new, before))
+    encoder.encode(["the one", "the one$$$ one!! one. one,%%%", "the one.\nAnd one!!\nAnd one$$$\nAnd"])
+    assert sorted(learnt) == sorted(["the", "one", "$$$", "!!", ".", ",%%%", "And"])
+
+
+def test_a_full_cache_keeps_what_the_next_texts_hold(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_CHUNKS", 10)
+    encoder = packing.ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = " ".join(f"w{i}" for i in range(20))
+    want = encoder.encode([f"a {words} z"])
+    learnt, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda known, new, before: learnt.extend(new) or learn(known, new, before))
+    assert encoder.encode(["b w1 w2 new"]) and sorted(learnt) == ["b", "new"]
+    assert len(encoder.after_blank) == 3 and encoder.encode([f"a {words} z"]) == want
+
+
+def test_texts_are_cut_together_up_to_a_size():
+    texts = ["a" * n for n in (3, 3, 9, 1, 2, 3)]
+    assert [list(map(len, t)) for t in packing.together(texts, 6)] == [[3, 3], [9], [1, 2, 3]]
+    assert list(packing.together([])) == [[]]
+
+
 def test_cut_lengths():
     assert packing.cut_lengths(1) == [1] and packing.cut_lengths(1024) == [1024]
     assert packing.cut_lengths(1025) == [1, 1024] and packing.cut_lengths(3000) == [952, 1024, 1024]
