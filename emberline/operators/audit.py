@@ -158,15 +158,16 @@ def playtime_decreases(df: DataFrame, by: list[str] | None = None) -> DataFrame:
              .withColumn("bucket", F.floor(F.col(S.CREATED) / (_BUCKET_DAYS * S.SECONDS_PER_DAY))))
     playtime = "author_playtime_forever"
     inside = Window.partitionBy(*pair, "bucket").orderBy(*order)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     steps = steps.select(
-        *pair, *order, "bucket", F.lag(playtime).over(inside).alias("prev_playtime_forever"),
-        (F.row_number().over(inside) == 1).alias("opens"), F.lead(F.lit(1)).over(inside).isNull().alias("closes"))
-    # At most two rows per pair and bucket are left for the window over whole pairs.
-    across = Window.partitionBy(*pair).orderBy("bucket", *order)
-    between = (steps.where(F.col("opens") | F.col("closes"))
-               .withColumn("prev_playtime_forever", F.lag(playtime).over(across)).where("opens"))
-    found = steps.where(~F.col("opens")).unionByName(between)
-    return found.where(F.col(playtime) < F.col("prev_playtime_forever")).select(*needed, "prev_playtime_forever")
+        *needed, F.lag(playtime).over(inside).alias("prev_playtime_forever"),
+        F.last(playtime).over(whole).alias("closing"), (F.row_number().over(inside) == 1).alias("opens"))
+    # One narrow row per pair and bucket, its first with the playtime of its last, is left for the window over whole pairs.
+    across = Window.partitionBy(*pair).orderBy(S.CREATED)
+    between = steps.where("opens").select(*needed, "closing").withColumn("prev_playtime_forever", F.lag("closing").over(across))
+    found = [rows.where(F.col(playtime) < F.col("prev_playtime_forever")).select(*needed, "prev_playtime_forever")
+             for rows in (steps.where(~F.col("opens")), between)]
+    return found[0].unionByName(found[1])
 
 
 def consistency_report(df: DataFrame) -> DataFrame:

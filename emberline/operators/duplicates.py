@@ -6,19 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline import schema as S
+from emberline.functions.bitmaps import may_contain
 from emberline.functions.columns import union_all
 from emberline.functions.layout import deal
+from emberline.functions.storage import materialize
+
+#: With more repeated hashes than this, which may be too many to broadcast, rows are thinned before they are shuffled.
+UNTHINNED_HASHES = 1_000_000
 
 
 def exact_duplicate_groups(df: DataFrame) -> DataFrame:
     """Distinct rows that occur more than once, with ``copies``.
 
     Only a 64-bit hash per row is shuffled for the whole data. Rows whose hash repeats are then
-    grouped on all columns, so a hash collision cannot make a false duplicate.
+    grouped on all columns, so a hash collision cannot make a false duplicate. The repeated hashes are
+    written down first: their size is not known before, and whole rows would be shuffled to meet them.
     """
     hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
-    repeated = (hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
-                .where(F.col("_n") > 1).select("_hash"))
+    repeated = materialize(hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
+                           .where(F.col("_n") > 1).select("_hash"), "repeated-hashes")
+    test = may_contain(repeated, "_hash") if repeated.count() > UNTHINNED_HASHES else None
+    if test is not None:
+        hashed = hashed.where(test)
     return (hashed.join(repeated, "_hash", "left_semi").groupBy(*df.columns)
             .agg(F.count("*").alias("copies")).where(F.col("copies") > 1))
 

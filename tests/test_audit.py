@@ -112,3 +112,38 @@ def test_prepare(spark):
     row = kept.select("language", "appid").first()
     assert row.language is None and row.appid is None
     assert {f.name: f.dataType for f in kept.schema.fields} == S.REVIEW_SCHEMA
+
+
+def _shuffled_columns(df):
+    """Per exchange of the final plan, the columns that it shuffles."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in plan.splitlines() if "Exchange" in line or "Window [lag" in line]
+
+
+def test_bucket_edges_meet_without_the_columns_that_order_a_bucket(spark):
+    df = rows_frame(spark, [{S.USER: 1, S.CREATED: d * S.SECONDS_PER_DAY, "author_playtime_forever": 500 - d} for d in (0, 1, 45, 90)])
+    found = audit.playtime_decreases(df)
+    across = [line for line in _shuffled_columns(found) if "Window [lag" in line and "bucket" not in line]
+    assert len(across) == 1 and "votes_up" not in across[0]
+    assert found.count() == 3
+
+
+def test_whole_rows_are_not_shuffled_to_find_exact_copies(spark):
+    # By its estimated size the table of hashes is too long for a broadcast, by its real one it isn't.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    df = rows_frame(spark, [{S.USER: i % 3000, S.CREATED: i % 3000, "review": f"text {i % 3000}"} for i in range(3010)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")
+    try:
+        found = duplicates.exact_duplicate_groups(df)
+        assert not any("hashpartitioning(_hash" in line for line in _shuffled_columns(found))
+        assert found.count() == 10 and found.agg(F.sum("copies")).first()[0] == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_exact_copies_are_the_same_with_thinned_rows(spark, monkeypatch):
+    monkeypatch.setattr(duplicates, "UNTHINNED_HASHES", 0)
+    df = rows_frame(spark, [{S.USER: i % 90, S.CREATED: i % 90, "review": None if i % 2 else "x"} for i in range(100)])
+    assert sorted((r[S.USER], r["copies"]) for r in duplicates.exact_duplicate_groups(df).collect()) == [(i, 2) for i in range(10)]
+    assert duplicates.exact_duplicate_groups(df.limit(0)).count() == 0
