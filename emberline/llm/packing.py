@@ -37,13 +37,13 @@ GROUP_ITEMS = 65_536
 WORTH = 0.001
 MAX_ROUNDS = 20
 
-#: Chunks longer than this aren't kept; when the cache has so many, only those that the next texts hold stay.
+#: Chunks longer than this aren't kept; where the cache would have more, only those that the next texts hold stay.
 CACHE_CHARS = 48
 CACHE_CHUNKS = 600_000
 
 #: Rows, and characters of their texts, that are cut into chunks at a time; a longer text is cut by itself.
 TOGETHER_ROWS = 2_048
-TOGETHER_CHARS = 4_000_000
+TOGETHER_CHARS = 2_000_000
 #: Texts whose ids are put together at a time.
 GATHERED_TEXTS = 64
 
@@ -109,7 +109,7 @@ class ChunkEncoder:
 
     def _look_up(self, known: dict[str, bytes], every: list[str], before: str) -> list[bytes]:
         """Ids of each chunk; those that aren't known are learnt together."""
-        if len(known) > CACHE_CHUNKS:
+        if len(known) + len(every) > CACHE_CHUNKS:
             kept = {c: known[c] for c in known.keys() & every}
             known.clear()
             known.update(kept)
@@ -163,6 +163,7 @@ class ChunkEncoder:
         tokens, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts, which, offsets = np.cumsum(sizes) - sizes, distinct.indices.to_numpy(), parts.offsets.to_numpy()
         del cut, rests, parts, distinct, ids
+        pa.default_memory_pool().release_unused()
         out = []
         for at in range(0, len(first), GATHERED_TEXTS):
             bounds = offsets[at:at + GATHERED_TEXTS + 1]
