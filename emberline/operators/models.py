@@ -124,18 +124,21 @@ def playtime_factors(reviews: DataFrame, held_out: bool = True) -> DataFrame:
     """Predicted log playtime of held-out (user, app) pairs, or of those fitted to, from ALS on the user x app matrix.
 
     Every such pair is returned; its prediction is NULL where the user or the app isn't in the training part.
-    Users are numbered densely for the fit, which takes 32-bit ids only. Ratings are fitted as differences from their
+    Users are numbered densely for the fit, which takes 32-bit ids only. They get their numbers before pairs are grouped, so
+    that rows are dealt once, by user, for both, and each user's are written together. Ratings are fitted as differences from their
     mean: the penalty, which grows with a user's number of ratings, would otherwise draw all predictions below it.
     As each iteration ends with the users' ridge regressions, the squared error on the training pairs is below the
     ratings' variance.
     """
-    pairs = materialize(reviews.where(F.col(S.USER).isNotNull()).groupBy(S.USER, S.APP)
-                        .agg(F.max(F.log1p(F.col("author_playtime_forever").cast("double"))).alias("rating")), "pairs")
-    users = materialize(dense_ids(pairs, S.USER, "user"), "users")
+    rated = materialize(reviews.where(F.col(S.USER).isNotNull()).select(
+        S.USER, S.APP, F.log1p(F.col("author_playtime_forever").cast("double")).alias("rating")), "rated")
+    users = materialize(dense_ids(rated, S.USER, "user"), "users")
     if users.count() > 2 ** 31 - 1:
         raise ValueError("more users than 32-bit ids: fit on a share of them")
-    numbered = materialize(pairs.join(users, S.USER).withColumn("user", F.col("user").cast("int")), "ratings")
-    left_out = hash_bucket(F.concat_ws("|", S.USER, S.APP)) < 2_000
+    pairs = rated.join(users.hint("merge"), S.USER).groupBy(S.USER, F.col("user").cast("int").alias("user"), S.APP).agg(F.max("rating").alias("rating"))
+    # The mean, the fit and the result all ask which pairs are left out.
+    numbered = materialize(pairs.withColumn("left_out", hash_bucket(F.concat_ws("|", S.USER, S.APP)) < 2_000), "ratings")
+    left_out = F.col("left_out")
     training = numbered.where(~left_out).where("rating IS NOT NULL")
     mean = training.agg(F.avg("rating")).first()[0] or 0.0
     model = ALS(userCol="user", itemCol=S.APP, ratingCol="difference", rank=8, maxIter=5, seed=42,

@@ -15,7 +15,7 @@ from emberline.plans.oracle import per_column, with_reviews
 from emberline.plans.registry import Query, rounded
 from emberline.plans.review_queries import ALL, COLS, N, _on_reviews, _rounded_on_reviews
 from emberline.plans.user_queries import _CUTS, _SNAPSHOTS
-from emberline.sources.testdata import reviews, table
+from emberline.sources.testdata import reviews, reviews_once, table
 
 CATEGORIES = [*S.BOOLEAN_COLUMNS, "language", "author_num_reviews"]
 TARGETS = ["author_playtime_forever", "author_playtime_at_review", S.SCORE_COLUMN, "review_length", "review_word_count"]
@@ -103,7 +103,7 @@ def _pca_variance(spark, sf_dir):
 
 def _als_fit(spark, sf_dir):
     """ALS against the mean of all training ratings, on the pairs it was fitted to and in squared error."""
-    found = models.playtime_factors(reviews(spark, sf_dir), held_out=False)
+    found = models.playtime_factors(reviews_once(spark, sf_dir), held_out=False)
     return found.agg(F.count("*").alias("n_pairs"), F.count("prediction").alias("n_predicted"),
                      (F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)) < F.var_pop("rating")).alias("better_than_mean"))
 
@@ -190,7 +190,7 @@ QUERIES = {
     "ml_rf": _fit("rf"),
     "ml_gbt": _fit("gbt"),
     "ml_pca": Query(_pca, None),
-    "ml_als": Query(_on_reviews(models.playtime_factors), None),
+    "ml_als": Query(lambda spark, sf_dir: models.playtime_factors(reviews_once(spark, sf_dir)), None),
     "ml_scores": Query(_model_scores, with_reviews(
         "SELECT model, author_steamid, churn AS label, TRUE AS consistent FROM labelled, (VALUES ('logreg'), ('rf'), ('gbt')) m(model) "
         "WHERE snapshot = 'test'", _CUTS, _SNAPSHOTS)),
@@ -202,7 +202,7 @@ QUERIES = {
         "WHERE author_steamid IS NOT NULL AND ('0x' || substr(md5(author_steamid::VARCHAR || '|' || appid::VARCHAR), 1, 8))::BIGINT "
         "% 10000 >= 2000)")),
     "ml_als_held_out": Query(
-        lambda spark, sf_dir: rounded(models.playtime_factors(reviews(spark, sf_dir)).select(S.USER, S.APP, "rating"), 6), with_reviews(
+        lambda spark, sf_dir: rounded(models.playtime_factors(reviews_once(spark, sf_dir)).select(S.USER, S.APP, "rating"), 6), with_reviews(
             "SELECT author_steamid, appid, ROUND(MAX(LN(1 + author_playtime_forever::DOUBLE)), 6) AS rating FROM reviews "
             "WHERE author_steamid IS NOT NULL AND ('0x' || substr(md5(author_steamid::VARCHAR || '|' || appid::VARCHAR), 1, 8))::BIGINT "
             "% 10000 < 2000 GROUP BY 1, 2")),

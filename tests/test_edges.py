@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from emberline.functions import layout, storage
 from emberline.operators import audit, catalog, cleaning, cooccurrence, models, profiling, quantiles, retention, sampling, similarity
+from emberline.plans import all_queries
+from emberline.sources import testdata
 
 NAN = float("nan")
 
@@ -78,6 +80,34 @@ def test_als_beats_the_mean_where_users_share_many_apps(spark):
     assert error < variance
 
 
+def test_als_deals_rows_once_for_their_numbers_and_their_pairs(spark, monkeypatch):
+    """Rows meet their user's number and are grouped after one exchange, however few the users are."""
+    plans, materialize = {}, models.materialize
+
+    def noted(df, kind):
+        plans[kind] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, kind)
+
+    monkeypatch.setattr(models, "materialize", noted)
+    reviews = spark.createDataFrame([(2 ** 40 * u, a, 10 * (u + a) % 97) for u in range(60) for a in range(1, 9)],
+                                    "author_steamid long, appid int, author_playtime_forever int")
+    found = models.playtime_factors(reviews, held_out=False).collect()
+    assert len(found) > 300 and all(r.prediction is not None for r in found)
+    # One for the rows and one for the users.
+    assert "SortMergeJoin" in plans["ratings"] and plans["ratings"].count("Exchange hashpartitioning") == 2
+    assert "Exchange" not in plans["rated"]
+
+
+def test_als_does_not_deal_or_write_columns_that_it_does_not_read(spark, monkeypatch):
+    monkeypatch.setattr(testdata, "_ingested", {})
+    seen, fit = {}, models.playtime_factors
+    monkeypatch.setattr(models, "playtime_factors", lambda reviews: seen.update(reviews=reviews) or fit(reviews))
+    all_queries()["ml_als_held_out"].run(spark, "/root/testdata/sf0.001")
+    assert not testdata._ingested
+    plan = seen["reviews"].select("author_steamid", "appid", "author_playtime_forever")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_suppkey" not in plan[plan.index("Repartition"):plan.index("Relation")] and "o_orderpriority" not in plan.split("Relation")[0]
+
+
 def test_dense_ids_are_dense_and_ordered(spark):
     ids = spark.range(0, 5000, 7).select((F.col("id") * 10**12).alias("u")).union(spark.range(3).select(F.lit(None).cast("long")))
     found = sorted((r.u, r.i) for r in models.dense_ids(ids.repartition(5), "u", "i").collect())
